@@ -53,29 +53,35 @@ def index_in_group(indexed: DataFrame, group: list[str], idx: str = "idx",
             .withColumn(col, F.col(idx) - F.col("_start")).drop("_start"))
 
 
-def running_sum(df: DataFrame, order, value: str, col: str = "cum",
-                n_parts: int | None = None) -> DataFrame:
-    """Inclusive running sum of ``value`` in a total ``order`` with the same
-    partition-offset scheme (a per-partition window plus broadcast offsets)."""
+def running_sums(df: DataFrame, order, values: dict[str, str],
+                 n_parts: int | None = None) -> DataFrame:
+    """Inclusive running sums (``out <- value``) in a total ``order`` with the same
+    partition-offset scheme: a window per range partition (bounded by the partition
+    size, never by a key) plus broadcast per-partition offsets."""
+    from pyspark.sql.window import Window
     spark = df.sparkSession
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(order)
     ranged = (df.repartitionByRange(n, *order)
               .withColumn("_pid", F.spark_partition_id())
               .persist(StorageLevel.MEMORY_AND_DISK))
-    sums = sorted((r["_pid"], r["s"]) for r in
-                  ranged.groupBy("_pid").agg(F.sum(value).alias("s")).collect())
-    offsets, run = [], 0
-    for pid, s in sums:
-        offsets.append((pid, run))
-        run += s or 0
-    typ = dict(df.dtypes)[value]
-    off = spark.createDataFrame(offsets or [(0, 0)], f"_pid int, _off {typ}")
-    from pyspark.sql.window import Window
-    # the window is partitioned by the range partition id: one task per partition,
-    # bounded by the partition size, never by a key
+    sums = ranged.groupBy("_pid").agg(*[F.sum(v).alias(o) for o, v in values.items()]).collect()
+    sums = sorted(sums, key=lambda r: r["_pid"])
+    types = dict(df.dtypes)
+    is_int = {o: types[v] in ("int", "bigint", "smallint", "tinyint") for o, v in values.items()}
+    run = {o: (0 if is_int[o] else 0.0) for o in values}
+    rows = []
+    for r in sums:
+        rows.append((r["_pid"], *[run[o] for o in values]))
+        for o in values:
+            run[o] += r[o] or 0
+    ddl = ", ".join(["_pid int"] + [f"_off_{o} {'long' if is_int[o] else 'double'}" for o in values])
+    off = spark.createDataFrame(rows or [(0, *[run[o] for o in values])], ddl)
     w = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (ranged.withColumn("_loc", F.sum(value).over(w))
-            .join(F.broadcast(off), "_pid")
-            .withColumn(col, F.col("_off") + F.col("_loc"))
-            .drop("_pid", "_off", "_loc"))
+    out = ranged
+    for o, v in values.items():
+        out = out.withColumn(f"_loc_{o}", F.sum(v).over(w))
+    out = out.join(F.broadcast(off), "_pid")
+    for o in values:
+        out = out.withColumn(o, F.col(f"_off_{o}") + F.col(f"_loc_{o}"))
+    return out.drop("_pid", *[f"_off_{o}" for o in values], *[f"_loc_{o}" for o in values])
