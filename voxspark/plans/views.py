@@ -202,14 +202,56 @@ V_SCORES = f"""v_scores AS (
   FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
 
 
+
+
+# ---------------------------------------------------------------- v_audio
+def v_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audio store: (path, content) for the labelled documents only, so the other
+    manifest rows have missing audio.  Content is a 16-bit WAV of ``n_chars`` samples
+    at 16 Hz (so its length agrees with the manifest duration)."""
+    from ..functions.naming import wav_bytes
+    d = table(spark, sf_dir, "documents").join(
+        table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    return d.select(
+        F.concat(F.lit("clips/"), "source", F.lit("/"), F.col("doc_id").cast("string"),
+                 F.lit(".wav")).alias("path"),
+        wav_bytes(F.col("n_chars")).alias("content"))
+
+
+# ---------------------------------------------------------------- v_token_scores
+def v_token_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens = words of the hypothesis by position; correct when equal to the reference
+    word at the same position; score from md5(doc_id-i); a word = 3 neighbours."""
+    p = v_pairs(spark, sf_dir)
+    p = p.select("utt_id", "doc_id", "lang", X.words("prediction").alias("pw"),
+                 X.words(X.no_punct("reference")).alias("rw"))
+    t = p.select("utt_id", "doc_id", "lang", "rw", F.posexplode("pw").alias("i", "w"))
+    key = F.concat(F.col("doc_id").cast("string"), F.lit("-"), F.col("i").cast("string"))
+    return t.select(
+        "utt_id", "lang", "i", (F.col("i") / 3).cast("int").alias("word_id"),
+        F.when(F.col("w") == F.element_at("rw", F.col("i") + 1), 1).otherwise(0).alias("correct"),
+        _score(key).alias("score"))
+
+
+V_TOKEN_SCORES = f"""v_token_scores AS (
+  SELECT utt_id, lang, i - 1 AS i, CAST((i - 1) // 3 AS INTEGER) AS word_id,
+         CASE WHEN w = rw[i] THEN 1 ELSE 0 END AS correct,
+         {sql_score("CAST(doc_id AS VARCHAR) || '-' || CAST(i - 1 AS VARCHAR)")} AS score
+  FROM (SELECT utt_id, doc_id, lang, rw, unnest(pw) AS w, generate_subscripts(pw, 1) AS i
+        FROM (SELECT utt_id, doc_id, lang, {sql_words('prediction')} AS pw,
+                     {sql_words(sql_no_punct('reference'))} AS rw FROM v_pairs)))"""
+
+
 def with_views(*names: str) -> str:
     """WITH clause holding the named views (and what they need)."""
-    order = ["v_manifest", "v_repeats", "v_tokens", "v_pairs", "v_keep", "v_scores"]
+    order = ["v_manifest", "v_repeats", "v_tokens", "v_pairs", "v_keep", "v_scores",
+             "v_token_scores"]
     need = {"v_repeats": {"v_manifest"}, "v_tokens": {"v_manifest"},
-            "v_pairs": {"v_manifest"}}
+            "v_pairs": {"v_manifest"}, "v_token_scores": {"v_pairs", "v_manifest"}}
     want = set(names)
     for n in list(want):
         want |= need.get(n, set())
     text = {"v_manifest": V_MANIFEST, "v_repeats": V_REPEATS, "v_tokens": V_TOKENS,
-            "v_pairs": V_PAIRS, "v_keep": V_KEEP, "v_scores": V_SCORES}
+            "v_pairs": V_PAIRS, "v_keep": V_KEEP, "v_scores": V_SCORES,
+            "v_token_scores": V_TOKEN_SCORES}
     return "WITH " + ",\n".join(text[n] for n in order if n in want)
