@@ -51,3 +51,17 @@ def bins_2d(durs, toks, n, m, thr=4.0, legacy=False):
         tot += s
     sub(start, len(d) - 1 if legacy else len(d), d[-1])
     return bins, caps
+
+
+def edit_distance(s, t):
+    if not s:
+        return len(t)
+    if not t:
+        return len(s)
+    prev = list(range(len(t) + 1))
+    for i in range(1, len(s) + 1):
+        cur = [i] + [0] * len(t)
+        for j in range(1, len(t) + 1):
+            cur[j] = min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + (s[i - 1] != t[j - 1]))
+        prev = cur
+    return prev[-1]

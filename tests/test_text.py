@@ -1,0 +1,55 @@
+"""Golden strings and properties of the text functions (SCL1-SCL13)."""
+import random
+
+from pyspark.sql import functions as F
+
+from brute import edit_distance
+from voxspark.functions import text as X
+
+GOLDEN = [
+    ('Я все время слышу слова ""застой"", ""тупик"", ""затор"", ""блокировка"".',
+     'Я все время слышу слова "застой", "тупик", "затор", "блокировка".'),
+    ('""Отсадите от меня этого остолопа!"" - не унимался ученик с последней парты.',
+     '"Отсадите от меня этого остолопа!" - не унимался ученик с последней парты.'),
+    ('Да.. нет… что?.. а....б  «в» (г) , „д” x..y..z', 'Да... нет... что?... а....б в г, "д" x...y...z'),
+]
+
+
+def test_clean_text_golden(spark):
+    df = spark.createDataFrame([(a,) for a, _ in GOLDEN], "t string")
+    got = [r.c for r in df.select(X.clean_text("t").alias("c")).collect()]
+    assert got == [b for _, b in GOLDEN]
+
+
+def test_no_punct_and_words(spark):
+    df = spark.createDataFrame([("Hello,  World! — it's   «fine»…",), (None,), ("",)], "t string")
+    rows = df.select(X.no_punct("t").alias("n")).collect()
+    assert [r.n for r in rows] == ["hello world its fine", "", ""]
+    w = spark.createDataFrame([("a b",), ("",)], "t string").select(F.size(X.words("t")).alias("n")).collect()
+    assert [r.n for r in w] == [2, 0]
+
+
+def test_word_distance_golden(spark):
+    df = spark.createDataFrame([("a b c d", "a x c"), ("мама мыла раму", "мама раму"), ("", "q w")], "a string, b string")
+    d = df.select(X.word_distance(X.words("a"), X.words("b")).alias("d")).collect()
+    assert [r.d for r in d] == [2, 1, 2]
+
+
+def test_word_distance_matches_dp(spark):
+    rnd = random.Random(7)
+    rows = []
+    for _ in range(60):
+        v = rnd.randint(1, 40)
+        a = [str(rnd.randint(0, v)) for _ in range(rnd.randint(0, 80))]
+        b = [str(rnd.randint(0, v)) for _ in range(rnd.randint(0, 80))]
+        rows.append((a, b, edit_distance(a, b)))
+    df = spark.createDataFrame(rows, "a array<string>, b array<string>, e int")
+    out = df.select("e", X.word_distance("a", "b").alias("d")).collect()
+    assert all(r.e == r.d for r in out)
+
+
+def test_wer_band(spark):
+    vals = [float("inf"), 1.5, 1.0, 0.6, 0.5, 0.31, 0.3, 0.16, 0.15, 0.0]
+    df = spark.createDataFrame([(v,) for v in vals], "w double")
+    got = [r.b for r in df.select(X.wer_band("w").alias("b")).collect()]
+    assert got == ["inf", "critical", "very high", "very high", "high", "high", "medium", "medium", "low", "low"]
