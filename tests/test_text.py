@@ -53,3 +53,15 @@ def test_wer_band(spark):
     df = spark.createDataFrame([(v,) for v in vals], "w double")
     got = [r.b for r in df.select(X.wer_band("w").alias("b")).collect()]
     assert got == ["inf", "critical", "very high", "very high", "high", "high", "medium", "medium", "low", "low"]
+
+
+def test_nfkc_gate_is_sound(spark):
+    """Random strings over mixed scripts: the UDF-gated NFKC equals Python's NFKC."""
+    import unicodedata
+    rnd = random.Random(11)
+    pool = ([chr(c) for c in range(0x20, 0x7F)] + list("éèüßñç") + ["́", "̈", "ﬁ", "①",
+            "Ａ", "ᄀ", "ᅡ", "ᆨ", "େ", "ା", "Ω", "½", "Å"])
+    rows = ["".join(rnd.choice(pool) for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    got = [r.n for r in df.select(X.nfkc("t").alias("n")).collect()]
+    assert got == [unicodedata.normalize("NFKC", r) for r in rows]

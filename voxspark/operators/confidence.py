@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import itertools
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -58,34 +59,36 @@ def grid(params: dict[str, list]) -> list[dict]:
     return [dict(zip(keys, vals)) for vals in itertools.product(*[params[k] for k in keys])]
 
 
-def _score_hist(df: DataFrame, by: list[str], score: str, correct: str) -> DataFrame:
-    y = F.col(correct).cast("int")
-    return df.groupBy(*by, score).agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
-
-
 def confidence_metrics(df: DataFrame, by: list[str], score: str = "score",
                        correct: str = "correct") -> DataFrame:
-    """AGG15-AGG20 per group of ``by``."""
-    s, y = F.col(score), F.col(correct).cast("double")
+    """AGG15-AGG20 per group of ``by``.
+
+    The rows are read once, into a histogram ``(group, score) -> (pos, neg)``; every
+    metric is derived from that histogram, whose size is bounded by the number of
+    distinct scores per group, whatever the row count."""
+    y = F.col(correct).cast("long")
+    hist = (df.groupBy(*by, F.col(score).alias("s"))
+            .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    s = F.col("s")
+    cnt = F.col("pos") + F.col("neg")
     clipped = F.least(F.greatest(s, F.lit(EPS)), F.lit(1 - EPS))
-    base = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(y).alias("P"),
-        F.avg(y * F.log(clipped) + (1 - y) * F.log(1 - clipped)).alias("_ll"))
+    base = hist.groupBy(*by).agg(
+        F.sum(cnt).alias("n"), F.sum("pos").alias("P"),
+        F.sum(F.col("pos") * F.log(clipped) + F.col("neg") * F.log(1 - clipped)).alias("_lls"))
     p = F.col("P") / F.col("n")
     h = -(p * F.log(p) + (1 - p) * F.log(1 - p))
     base = base.withColumn("nce", F.when((F.col("P") > 0) & (F.col("P") < F.col("n")),
-                                         (h + F.col("_ll")) / h)).drop("_ll")
-
-    # ranks: per group, distinct scores ascending with counts (bounded by distinct scores)
-    hist = _score_hist(df, by, score, correct)
-    asc = Window.partitionBy(*by).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    desc = Window.partitionBy(*by).orderBy(F.col(score).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    hist = (hist.withColumn("neg_below", F.coalesce(F.sum("neg").over(asc), F.lit(0)))
-                .withColumn("tp", F.sum("pos").over(desc))
-                .withColumn("fp", F.sum("neg").over(desc))
-                .withColumn("tn_inv", F.coalesce(F.sum("neg").over(asc), F.lit(0)) + F.col("neg"))
-                .withColumn("fn_inv", F.coalesce(F.sum("pos").over(asc), F.lit(0)) + F.col("pos")))
-    ranks = hist.groupBy(*by).agg(
+                                         (h + F.col("_lls") / F.col("n")) / h)).drop("_lls")
+
+    asc = Window.partitionBy(*by).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    desc = Window.partitionBy(*by).orderBy(s.desc()).rowsBetween(Window.unboundedPreceding, 0)
+    r = (hist.withColumn("neg_below", F.coalesce(F.sum("neg").over(asc), F.lit(0)))
+             .withColumn("tp", F.sum("pos").over(desc))
+             .withColumn("fp", F.sum("neg").over(desc))
+             .withColumn("tn_inv", F.coalesce(F.sum("neg").over(asc), F.lit(0)) + F.col("neg"))
+             .withColumn("fn_inv", F.coalesce(F.sum("pos").over(asc), F.lit(0)) + F.col("pos")))
+    ranks = r.groupBy(*by).agg(
         F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))).alias("_mw"),
         F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("_ap"),
         # inverted: class = incorrect, score = 1 - s, so thresholds run over s ascending
@@ -93,14 +96,14 @@ def confidence_metrics(df: DataFrame, by: list[str], score: str = "score",
 
     # calibration: 100 equal bins
     b = F.least(F.floor(s * ECE_BINS), F.lit(ECE_BINS - 1)).cast("int")
-    cal = df.groupBy(*by, b.alias("_b")).agg(F.count(F.lit(1)).alias("_nb"),
-                                             F.avg(y).alias("_acc"), F.avg(s).alias("_conf"))
-    ece = cal.groupBy(*by).agg(F.sum(F.col("_nb") * F.abs(F.col("_acc") - F.col("_conf"))).alias("_ece"))
+    cal = hist.groupBy(*by, b.alias("_b")).agg(
+        F.sum(cnt).alias("_nb"), F.sum("pos").alias("_pb"), F.sum(s * cnt).alias("_sb"))
+    ece = cal.groupBy(*by).agg(F.sum(F.abs(F.col("_pb") - F.col("_sb"))).alias("_ece"))
 
     # Youden curve: counts per threshold step, dense 0..100 per group via a generated
     # sequence joined on (group, step) - an equi join, no cartesian product
     step = F.least(F.floor(s * YC_STEPS), F.lit(YC_STEPS)).cast("int")
-    yh = df.groupBy(*by, step.alias("t")).agg(F.sum(y).alias("_p"), F.sum(1 - y).alias("_q"))
+    yh = hist.groupBy(*by, step.alias("t")).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_q"))
     dense = base.select(*by, F.explode(F.sequence(F.lit(0), F.lit(YC_STEPS))).alias("t"))
     yd = dense.join(yh, [*by, "t"], "left").fillna(0, subset=["_p", "_q"])
     top = Window.partitionBy(*by).orderBy(F.col("t").desc()).rowsBetween(Window.unboundedPreceding, 0)
@@ -125,6 +128,8 @@ def evaluate_grid(tokens: DataFrame, word_keys: list[str], score: str = "score",
     """JOIN8: every grid point (aggregation x target level) over the whole data set in
     one job: token level once, word level for all aggregations from one groupBy."""
     by = extra_by or []
+    # read by both levels: keep it instead of recomputing the text pipeline twice
+    tokens = tokens.persist(StorageLevel.MEMORY_AND_DISK)
     tok = tokens.select(*by, score, correct).withColumn("aggregation", F.lit("-")) \
         .withColumn("target_level", F.lit("token"))
     words = word_confidence(tokens, word_keys + [k for k in by if k not in word_keys], score, correct)

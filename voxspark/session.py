@@ -65,4 +65,6 @@ def spread(df, key: str | None = None):
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, key) if key else df.repartition(cores)
+    # a few tasks per core so a handful of very long texts do not set the pace
+    n = 4 * cores
+    return df.repartition(n, key) if key else df.repartition(n)
