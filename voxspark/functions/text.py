@@ -96,11 +96,11 @@ def _nfkc_udf(s: pd.Series) -> pd.Series:
 
 
 @functools.lru_cache(maxsize=None)
-def nfkc_unstable_class() -> str:
-    """Java regex class of every character NFKC can change or use: characters whose
-    own NFKC differs, combining marks (reordering), second halves of canonical pairs
-    and Hangul vowel/trailing jamo (composition).  A string without any of them is
-    already NFKC.  Derived from the running Python's Unicode tables."""
+def nfkc_unstable_chars() -> str:
+    """Every character NFKC can change or use: characters whose own NFKC differs,
+    combining marks (reordering), second halves of canonical pairs and Hangul vowel /
+    trailing jamo (composition).  A string holding none of them is already NFKC.
+    Derived from the running Python's Unicode tables."""
     bad = set(range(0x1161, 0x1176)) | set(range(0x11A8, 0x11C3))
     for cp in range(0x110000):
         if 0xD800 <= cp <= 0xDFFF:
@@ -111,25 +111,23 @@ def nfkc_unstable_class() -> str:
         d = unicodedata.decomposition(ch)
         if d and not d.startswith("<") and len(d.split()) == 2:
             bad.add(int(d.split()[1], 16))
-    cps = sorted(bad)
-    ranges, lo, hi = [], cps[0], cps[0]
-    for cp in cps[1:]:
-        if cp == hi + 1:
-            hi = cp
-        else:
-            ranges.append((lo, hi))
-            lo = hi = cp
-    ranges.append((lo, hi))
-    return "[" + "".join(f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}"
-                         for a, b in ranges) + "]"
+    return "".join(chr(cp) for cp in sorted(bad))
+
+
+def needs_nfkc(c) -> Column:
+    """True when the text holds a character NFKC can change: ``translate`` deletes
+    those characters (one hash lookup per character; a regex class of this size would
+    test hundreds of ranges per character)."""
+    c = _col(c)
+    return F.length(F.translate(c, nfkc_unstable_chars(), "")) != F.length(c)
 
 
 def nfkc(c) -> Column:
     """SCL9: NFKC.  Spark has no built-in, so an Arrow UDF normalises only the rows
-    holding a character NFKC can change (Spark evaluates a UDF for every row even
-    inside CASE, so the other rows reach Python as nulls and come back unchanged)."""
+    that need it (Spark evaluates a UDF for every row even inside CASE, so the other
+    rows reach Python as nulls and come back unchanged)."""
     c = _col(c)
-    return F.coalesce(_nfkc_udf(F.when(c.rlike(nfkc_unstable_class()), c)), c)
+    return F.coalesce(_nfkc_udf(F.when(needs_nfkc(c), c)), c)
 
 
 def no_punct(c, unicode_normalize: bool = True) -> Column:

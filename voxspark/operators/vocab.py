@@ -70,24 +70,31 @@ def char_vocab(texts: DataFrame, coverage: float = 1.0, lower: bool = True) -> D
 
 
 # ------------------------------------------------------------------ merges
-def _apply_merges(sym: Column, merges: list[tuple[str, str]], wordpiece: bool) -> Column:
-    """One left-to-right pass applying a set of merges with disjoint symbols; a symbol
-    made in this pass is not merged again in the same pass."""
-    m = F.create_map(*[x for a, b in merges for x in (F.lit(a), F.lit(b))])
-    empty = F.struct(F.array().cast("array<string>").alias("s"), F.lit(False).alias("fresh"))
-
-    def step(acc, x):
-        last = F.element_at(acc["s"], -1)
-        can = (F.size(acc["s"]) > 0) & ~acc["fresh"] & (F.element_at(m, last) == x)
-        joined = F.concat(last, F.regexp_replace(x, "^##", "")) if wordpiece else F.concat(last, x)
-        merged = F.concat(F.slice(acc["s"], 1, F.size(acc["s"]) - 1), F.array(joined))
-        return F.when(can, F.struct(merged.alias("s"), F.lit(True).alias("fresh"))).otherwise(
-            F.struct(F.concat(acc["s"], F.array(x)).alias("s"), F.lit(False).alias("fresh")))
-    return F.aggregate(sym, empty, step)["s"]
+# A word's symbols are kept as one space-separated string (words hold no white space).
+_META = set("\\^$.|?*+()[]{}")
+
+
+def _re(sym: str) -> str:
+    return "".join("\\" + ch if ch in _META else ch for ch in sym)
+
+
+def _apply_merges(seq: Column, merges: list[tuple[str, str]], wordpiece: bool) -> Column:
+    """One left-to-right pass applying a set of merges with disjoint symbols.  Matches
+    consume both symbols, so a symbol made in this pass is not merged again in it (the
+    same result as applying the merges one after another to non-overlapping pairs)."""
+    alts, k = [], 2
+    for a, b in merges:
+        rb = _re(b[len(WPE_CONT):]) if wordpiece and b.startswith(WPE_CONT) else _re(b)
+        pre = _re(WPE_CONT) if wordpiece and b.startswith(WPE_CONT) else ""
+        alts.append(f"({_re(a)}) {pre}({rb})")
+        k += 2
+    pattern = "(^| )(?:" + "|".join(alts) + ")(?= |$)"
+    repl = "".join(f"${i}" for i in range(1, k))
+    return F.regexp_replace(seq, pattern, repl)
 
 
 def _pairs(table: DataFrame) -> DataFrame:
-    s = F.col("sym")
+    s = F.split(F.col("seq"), " ")
     n = F.size(s) - 1
     z = F.arrays_zip(F.slice(s, 1, n).alias("a"), F.slice(s, 2, n).alias("b"))
     return (table.select(F.explode(z).alias("p"), "count")
@@ -95,6 +102,18 @@ def _pairs(table: DataFrame) -> DataFrame:
             .agg(F.sum("count").alias("n")))
 
 
+def _alphabet(words: DataFrame, coverage: float) -> list[str]:
+    """Character coverage set from the word table (same counts as a pass over the
+    texts, without reading them again); bounded by the alphabet."""
+    ch = (words.select(F.explode(chars(F.col("word"))).alias("piece"), "count")
+          .groupBy("piece").agg(F.sum("count").alias("count")))
+    w = Window.orderBy(F.col("count").desc(), "piece")
+    ch = (ch.withColumn("_cum", F.sum("count").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("_tot", F.sum("count").over(Window.partitionBy())))
+    kept = ch.filter((F.col("_cum") - F.col("count")) < F.lit(coverage) * F.col("_tot"))
+    return [r["piece"] for r in kept.orderBy(F.col("count").desc(), "piece").collect()]
+
+
 def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
                    lower: bool = True, coverage: float = 1.0, max_piece_len: int = 16,
                    split_digits: bool = False, merges_per_round: int = 16,
@@ -108,16 +127,14 @@ def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
     (score -rank), then the characters."""
     spark = texts.sparkSession
     scratch_dir(spark)                        # checkpoint dir set (shared on a cluster)
-    words = word_freq(texts, lower)
-    alphabet = [r["piece"] for r in char_vocab(texts, coverage, lower).orderBy("rank").collect()]
-    allowed = set(alphabet)
+    words = word_freq(texts, lower).persist()
+    alphabet = _alphabet(words, coverage)
     if wordpiece:
-        first = F.transform(chars(F.col("word")), lambda c, i: F.when(i == 0, c).otherwise(
+        sym = F.transform(chars(F.col("word")), lambda c, i: F.when(i == 0, c).otherwise(
             F.concat(F.lit(WPE_CONT), c)))
-        sym = first
     else:
         sym = F.concat(F.array(F.lit(WORD_START)), chars(F.col("word")))
-    table = words.select(sym.alias("sym"), "count").persist()
+    table = words.select(F.array_join(sym, " ").alias("seq"), "count").persist()
     specials = specials if specials is not None else (WPE_SPECIALS if wordpiece else [UNK])
     base = [WORD_START] + alphabet if not wordpiece else \
         alphabet + [WPE_CONT + c for c in alphabet]
@@ -139,7 +156,7 @@ def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
     while len(merges) < target:
         pc = _pairs(table).filter((F.col("n") >= min_pair_count) & mergeable())
         if wordpiece:
-            sc = (table.select(F.explode("sym").alias("x"), "count")
+            sc = (table.select(F.explode(F.split("seq", " ")).alias("x"), "count")
                   .groupBy("x").agg(F.sum("count").alias("nx")))
             pc = (pc.join(sc.withColumnRenamed("x", "a").withColumnRenamed("nx", "na"), "a")
                     .join(sc.withColumnRenamed("x", "b").withColumnRenamed("nx", "nb"), "b")
@@ -162,7 +179,7 @@ def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
         for a, b in chosen:
             merges.append(a + b.replace(WPE_CONT, "", 1) if wordpiece else a + b)
         rounds += 1
-        nxt = table.withColumn("sym", _apply_merges(F.col("sym"), chosen, wordpiece))
+        nxt = table.withColumn("seq", _apply_merges(F.col("seq"), chosen, wordpiece))
         if rounds % checkpoint_every == 0:
             nxt = nxt.checkpoint(eager=True)          # reliable: written to the shared dir
         else:
