@@ -35,3 +35,12 @@ def test_scan_prunes_columns(spark):
     df = V.v_manifest(spark, SF).select("utt_id", "duration")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "text" not in plan.split("ReadSchema:")[1].split("\n")[0]
+
+
+def test_key_plans_have_no_cartesian_or_row_udf(spark):
+    from voxspark.plans.registry import REGISTRY
+    for name in ["agg1_wer", "join2_attach_custom", "win5_number_repeats", "agg15_confidence_metrics",
+                 "join4_missing_audio", "src6_mix"]:
+        plan = _plan(REGISTRY[name].fn(spark, SF))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+            assert bad not in plan, (name, bad)

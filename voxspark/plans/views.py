@@ -126,16 +126,16 @@ def sql_no_punct(e: str) -> str:
 
 
 # ---------------------------------------------------------------- v_pairs
-def prediction_words(ref_words: Column, doc_id: Column) -> Column:
+def prediction_text(ref_words: Column, doc_id: Column) -> Column:
     """Synthetic hypothesis: word i (from 1) dropped if (doc_id+i)%13=0, else 'x' if
-    %11=0, else doubled if %17=0."""
+    %11=0, else doubled if %17=0 (``array_join`` skips the nulls of dropped words)."""
     def one(w, i):
         k = doc_id + i + 1
-        return (F.when(k % 13 == 0, F.array().cast("array<string>"))
-                .when(k % 11 == 0, F.array(F.lit("x")))
-                .when(k % 17 == 0, F.array(w, w))
-                .otherwise(F.array(w)))
-    return F.flatten(F.transform(ref_words, one))
+        return (F.when(k % 13 == 0, F.lit(None).cast("string"))
+                .when(k % 11 == 0, F.lit("x"))
+                .when(k % 17 == 0, F.concat(w, F.lit(" "), w))
+                .otherwise(w))
+    return F.array_join(F.transform(ref_words, one), " ")
 
 
 def v_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,8 +145,7 @@ def v_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = m.select("utt_id", "doc_id", F.col("source_lang").alias("lang"), "split",
                     F.col("text").alias("reference"), X.no_punct("text").alias("np"))
     return base.select("utt_id", "doc_id", "lang", "split", "reference",
-                       F.array_join(prediction_words(X.words("np"), F.col("doc_id")), " ")
-                       .alias("prediction"))
+                       prediction_text(X.words("np"), F.col("doc_id")).alias("prediction"))
 
 
 def sql_prediction(words_e: str, doc_e: str) -> str:
