@@ -224,11 +224,15 @@ def v_token_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = v_pairs(spark, sf_dir)
     p = p.select("utt_id", "doc_id", "lang", X.words("prediction").alias("pw"),
                  X.words(X.no_punct("reference")).alias("rw"))
-    t = p.select("utt_id", "doc_id", "lang", "rw", F.posexplode("pw").alias("i", "w"))
+    # zip hypothesis and reference words by position and explode once (no per-token
+    # copy of the whole reference array); positions past the hypothesis are dropped
+    z = F.arrays_zip(F.col("pw").alias("w"), F.col("rw").alias("r"))
+    t = (p.select("utt_id", "doc_id", "lang", F.posexplode(z).alias("i", "wr"))
+         .filter(F.col("wr.w").isNotNull()))
     key = F.concat(F.col("doc_id").cast("string"), F.lit("-"), F.col("i").cast("string"))
     return t.select(
         "utt_id", "lang", "i", (F.col("i") / 3).cast("int").alias("word_id"),
-        F.when(F.col("w") == F.element_at("rw", F.col("i") + 1), 1).otherwise(0).alias("correct"),
+        F.when(F.col("wr.w") == F.col("wr.r"), 1).otherwise(0).alias("correct"),
         _score(key).alias("score"))
 
 
