@@ -107,7 +107,8 @@ def duration_bins(df: DataFrame, num_buckets: int, dur: str = "duration") -> lis
 
 # ------------------------------------------------------------------ 2-D bins (WIN10)
 def _tps(t: Column, d: Column) -> Column:
-    return t.cast("double") / d
+    """Tokens per second; a zero-length row has infinite TPS (as numpy gives)."""
+    return F.when(d > 0, t.cast("double") / d).otherwise(F.lit(float("inf")))
 
 
 def duration_bins_2d(df: DataFrame, num_buckets: int, num_subbuckets: int,

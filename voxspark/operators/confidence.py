@@ -109,7 +109,7 @@ def confidence_metrics(df: DataFrame, by: list[str], score: str = "score",
     top = Window.partitionBy(*by).orderBy(F.col("t").desc()).rowsBetween(Window.unboundedPreceding, 0)
     yd = (yd.withColumn("_tp", F.sum("_p").over(top)).withColumn("_fp", F.sum("_q").over(top))
             .join(base.select(*by, "n", "P"), by))
-    j = F.col("_tp") / F.col("P") - F.col("_fp") / (F.col("n") - F.col("P"))
+    j = F.try_divide(F.col("_tp"), F.col("P")) - F.try_divide(F.col("_fp"), F.col("n") - F.col("P"))
     yc = yd.withColumn("_j", j).groupBy(*by).agg(
         F.avg("_j").alias("auc_yc"), F.stddev_pop("_j").alias("std_yc"), F.max("_j").alias("max_yc"))
 
@@ -117,10 +117,11 @@ def confidence_metrics(df: DataFrame, by: list[str], score: str = "score",
     neg = F.col("n") - F.col("P")
     return out.select(
         *by, "n",
-        (F.col("_mw") / (F.col("P") * neg)).alias("auc_roc"),
-        (F.col("_ap") / F.col("P")).alias("auc_pr"),
-        (F.col("_nt") / neg).alias("auc_nt"),
-        "nce", (F.col("_ece") / F.col("n")).alias("ece"), "auc_yc", "std_yc", "max_yc")
+        # single-class groups have no ranking metrics (null, not an error under ANSI)
+        F.try_divide(F.col("_mw"), F.col("P") * neg).alias("auc_roc"),
+        F.try_divide(F.col("_ap"), F.col("P")).alias("auc_pr"),
+        F.try_divide(F.col("_nt"), neg).alias("auc_nt"),
+        "nce", F.try_divide(F.col("_ece"), F.col("n")).alias("ece"), "auc_yc", "std_yc", "max_yc")
 
 
 def evaluate_grid(tokens: DataFrame, word_keys: list[str], score: str = "score",

@@ -40,7 +40,7 @@ def _le_uint(content: Column, offset: int, width: int) -> Column:
 
 def wav_duration(content: Column) -> Column:
     """PRJ3 from bytes: canonical 44-byte WAV header -> data bytes / byte rate."""
-    return _le_uint(content, 40, 4).cast("double") / _le_uint(content, 28, 4).cast("double")
+    return F.try_divide(_le_uint(content, 40, 4).cast("double"), _le_uint(content, 28, 4).cast("double"))
 
 
 def resolve_path(path: Column, manifest_file: Column) -> Column:
@@ -81,8 +81,8 @@ def clean_custom(m: Column) -> Column:
 
 
 def tps(tokens: Column, dur: Column) -> Column:
-    """PRJ14: tokens per second."""
-    return tokens.cast("double") / dur
+    """PRJ14: tokens per second (infinite for a zero-length row)."""
+    return F.when(dur > 0, tokens.cast("double") / dur).otherwise(F.lit(float("inf")))
 
 
 # ------------------------------------------------------------------ filters

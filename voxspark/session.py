@@ -25,8 +25,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", os.environ.get("VOX_DRIVER_MEMORY", "16g"))
-         .config("spark.sql.ansi.enabled", "false"))
+         .config("spark.driver.memory", os.environ.get("VOX_DRIVER_MEMORY", "16g")))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
