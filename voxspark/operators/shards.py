@@ -32,8 +32,9 @@ def shard_even(df: DataFrame, num_shards: int, order) -> tuple[DataFrame, DataFr
     if 0 < n < num_shards:                                    # D-2
         raise ValueError(f"{n} rows cannot fill {num_shards} shards")
     k = n // num_shards if n else 1
-    kept = ix.filter(F.col("idx") < k * num_shards).withColumn(
-        "shard_id", (F.col("idx") / F.lit(k)).cast("int"))
+    kept = (ix.filter(F.col("idx") < k * num_shards)
+            .withColumn("shard_id", (F.col("idx") / F.lit(k)).cast("int"))
+            .withColumn("shard_size", F.lit(k).cast("long")))   # rows per shard (a literal)
     return kept, ix.filter(F.col("idx") >= k * num_shards)
 
 
@@ -54,15 +55,28 @@ def shard_fixed(df: DataFrame, size: int, order) -> DataFrame:
     return ix.withColumn("shard_id", (F.col("idx") / F.lit(size)).cast("int"))
 
 
-def order_in_shard(sharded: DataFrame, sort_by_duration: bool = True) -> DataFrame:
+def order_in_shard(sharded: DataFrame, sort_by_duration: bool = True,
+                   first_shard: int = 0) -> DataFrame:
     """WIN4: position inside each shard; by duration (ties in shard order) when
-    ``sort_in_shards`` is on, else the shard order itself."""
+    ``sort_in_shards`` is on, else the shard order itself.
+
+    Even shards are contiguous blocks of ``shard_size`` rows in shard order (the column
+    ``shard_even`` adds), so a position is the index in (shard, order) minus
+    ``(shard_id - first_shard) * shard_size``: no group-start join.  Without that column
+    the start is joined back."""
+    known = "shard_size" in sharded.columns
+    start = (F.col("shard_id") - first_shard) * F.col("shard_size") if known else None
     if not sort_by_duration:
+        if known:
+            return sharded.withColumn("pos", F.col("idx") - start)
         return index_in_group(sharded, ["shard_id"], idx="idx", col="pos")
     ix = with_index(sharded.withColumnRenamed("idx", "shard_idx"),
                     ["shard_id", "duration", "shard_idx"], col="sidx")
-    return index_in_group(ix, ["shard_id"], idx="sidx", col="pos").drop("sidx") \
-        .withColumnRenamed("shard_idx", "idx")
+    if known:
+        out = ix.withColumn("pos", F.col("sidx") - start)
+    else:
+        out = index_in_group(ix, ["shard_id"], idx="sidx", col="pos")
+    return out.drop("sidx").withColumnRenamed("shard_idx", "idx")
 
 
 def number_repeats(df: DataFrame, file: str = "audio_filepath") -> DataFrame:

@@ -179,7 +179,9 @@ def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
         for a, b in chosen:
             merges.append(a + b.replace(WPE_CONT, "", 1) if wordpiece else a + b)
         rounds += 1
-        nxt = table.withColumn("seq", _apply_merges(F.col("seq"), chosen, wordpiece))
+        # words merged into a single symbol yield no more pairs: drop them
+        nxt = (table.withColumn("seq", _apply_merges(F.col("seq"), chosen, wordpiece))
+               .filter(F.col("seq").contains(" ")))
         if rounds % checkpoint_every == 0:
             nxt = nxt.checkpoint(eager=True)          # reliable: written to the shared dir
         else:

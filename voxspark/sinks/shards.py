@@ -33,7 +33,7 @@ def write_shards(df: DataFrame, path: str, shard_manifests: bool = True,
                  mode: str = "overwrite") -> str:
     """SNK4: aggregate manifest plus, optionally, one manifest per shard, rows in shard
     order (``pos``); ``audio_filepath`` is the member name inside the shard."""
-    out = df.withColumn("audio_filepath", F.col("member")).drop("member")
+    out = df.withColumn("audio_filepath", F.col("member")).drop("member", "shard_size")
     ordered = out.repartition("shard_id").sortWithinPartitions("shard_id", "pos")
     ordered.write.mode(mode).json(f"{path}/tarred_audio_manifest")
     if shard_manifests:
