@@ -43,3 +43,14 @@ def test_merge_bins(spark):
 def test_static_buckets_admit_max():
     r = B.static_buckets(0.0, 10.0, 4)
     assert r[0][0] == 0.0 and r[-1][1] > 10.0 and len(r) == 4
+
+
+def test_walk_and_cluster_lookups_agree(spark, monkeypatch):
+    rnd = random.Random(9)
+    rows = [(rnd.randint(1, 200) / 16.0, rnd.randint(0, 60)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "duration double, tokens long")
+    local, _ = B.duration_bins_2d(df, 6, 3)
+    monkeypatch.setattr(B, "LOCAL_WALK_LIMIT", 0)
+    remote, _ = B.duration_bins_2d(df, 6, 3)
+    key = lambda d: [(r.max_duration, r.max_tokens, r.max_tps) for r in d.orderBy("bin_id").collect()]
+    assert key(local) == key(remote)

@@ -61,13 +61,61 @@ def _next_boundaries(cells: DataFrame, group: str, state: dict, w: str, value: s
     return {r[group]: (r["b"]["i"], r["b"]["s"], r["b"]["v"]) for r in best}
 
 
+# Most histogram cells a walk may fetch in one job before falling back to per-boundary
+# lookups on the cluster.
+LOCAL_WALK_LIMIT = 500_000
+
+
+def _walk(cells: list, share: float, max_rounds: int) -> list:
+    """Sequential walk over cells in order (same arithmetic as the distributed lookup)."""
+    out, sb, j = [], 0.0, 0
+    while j < len(cells) and len(out) < max_rounds:
+        r0, p0, c, w, v = cells[j]
+        if p0 + (c - 1) * w - sb > share:
+            if p0 - sb > share:
+                k = 0
+            else:
+                k = math.floor((share + sb - p0) / w) + 1
+                if k >= 1 and p0 + (k - 1) * w - sb > share:
+                    k -= 1
+            if k < c:
+                out.append((int(r0 + k), v))
+                sb = p0 + k * w
+                continue                       # a cell may hold several boundaries
+        j += 1
+    return out
+
+
 def resetting_boundaries(cells: DataFrame, group: str, shares: dict, w: str, value: str,
                          max_rounds: int) -> dict:
     """All boundaries of the resetting cumulative sum per group.
 
     ``cells`` holds ``group, c, R0, P0, <w>, <value>`` (prefixes within the group, in
-    walk order).  Returns {group: [(row index, boundary value), ...]}."""
+    walk order).  Returns {group: [(row index, boundary value), ...]}.
+
+    The k-th boundary's mass-before lies in ``(k*share, k*(share + wmax)]`` (each bin
+    overshoots its share by less than one row), so one job selects just the cells that
+    overlap those windows; if that slice is within ``LOCAL_WALK_LIMIT`` cells it is
+    walked in order, else each boundary is one lookup job on the cluster."""
     wmax = cells.agg(F.max(w)).first()[0] or 0.0
+    groups = sorted(shares)
+    sh = F.create_map(*[x for g in groups for x in (F.lit(g), F.lit(float(shares[g])))])
+    s_ = sh[F.col(group)]
+    lo_k = F.ceil(F.col("P0") / (s_ + F.lit(float(wmax))))
+    hi_k = F.floor((F.col("P0") + F.col("c") * F.col(w) + F.lit(float(wmax))) / s_)
+    near = cells.filter(F.col(group).isin(groups) & (s_ > 0)
+                        & (F.greatest(lo_k, F.lit(1)) <= F.least(hi_k, F.lit(max_rounds))))
+    near = near.select(group, "R0", "P0", "c", F.col(w).cast("double").alias("_w"),
+                       F.col(value).alias("_v"))
+    if near.count() <= LOCAL_WALK_LIMIT:
+        rows = near.orderBy(group, "R0").collect()
+        out = {g: [] for g in groups}
+        by_group: dict = {}
+        for r in rows:
+            by_group.setdefault(r[group], []).append((r["R0"], r["P0"], r["c"], r["_w"], r["_v"]))
+        for g in groups:
+            out[g] = _walk(by_group.get(g, []), float(shares[g]), max_rounds)
+        return out
     state = {g: (0.0, s) for g, s in shares.items()}
     out = {g: [] for g in shares}
     for _ in range(max_rounds):
