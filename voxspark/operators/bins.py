@@ -107,8 +107,8 @@ def resetting_boundaries(cells: DataFrame, group: str, shares: dict, w: str, val
                         & (F.greatest(lo_k, F.lit(1)) <= F.least(hi_k, F.lit(max_rounds))))
     near = near.select(group, "R0", "P0", "c", F.col(w).cast("double").alias("_w"),
                        F.col(value).alias("_v"))
-    if near.count() <= LOCAL_WALK_LIMIT:
-        rows = near.orderBy(group, "R0").collect()
+    rows = near.orderBy(group, "R0").limit(LOCAL_WALK_LIMIT + 1).collect()   # size-checked
+    if len(rows) <= LOCAL_WALK_LIMIT:
         out = {g: [] for g in groups}
         by_group: dict = {}
         for r in rows:
@@ -265,12 +265,17 @@ def assign_bin_2d(df: DataFrame, bins: list[tuple[float, int]], dur: str = "dura
     return df.withColumn("bin_id", F.get(hits, 0)["i"].cast("int"))
 
 
+def within_tps(caps: list[float], dur: str = "duration", tok: str = "tokens") -> Column:
+    """True when a row's tokens/second is within its bin's cap; null when unassigned."""
+    arr = F.array(*[F.lit(float(c)) for c in caps])
+    cap = F.get(arr, F.col("bin_id"))
+    return F.when(F.col("bin_id").isNotNull(), _tps(F.col(tok), F.col(dur)) <= cap)
+
+
 def filter_tps(assigned: DataFrame, caps: list[float], dur: str = "duration",
                tok: str = "tokens") -> DataFrame:
     """FLT8: drop training rows whose tokens/second exceed their bin's cap."""
-    arr = F.array(*[F.lit(float(c)) for c in caps])
-    cap = F.element_at(arr, F.col("bin_id") + 1)
-    return assigned.filter(_tps(F.col(tok), F.col(dur)) <= cap)
+    return assigned.filter(F.coalesce(within_tps(caps, dur, tok), F.lit(False)))
 
 
 # ------------------------------------------------------------------ other bin forms

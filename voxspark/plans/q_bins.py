@@ -223,14 +223,8 @@ FROM a LEFT JOIN bins x ON x.bin_id = a.bin_id""")
 def join6_assign_bin_2d(spark, sf):
     bins, _ = _bins_2d(spark, sf)
     pairs, caps = _bin_list(bins)
-    t = V.v_tokens(spark, sf)
-    a = B.assign_bin_2d(t, pairs)
-    ok = B.filter_tps(a, caps).select("utt_id", F.lit(True).alias("within_tps"))
-    out = a.join(ok, "utt_id", "left").select(
-        "utt_id", "bin_id",
-        F.when(F.col("bin_id").isNull(), F.lit(None).cast("boolean"))
-         .otherwise(F.coalesce("within_tps", F.lit(False))).alias("within_tps"))
-    return out
+    a = B.assign_bin_2d(V.v_tokens(spark, sf), pairs)
+    return a.select("utt_id", "bin_id", B.within_tps(caps).alias("within_tps"))
 
 
 @query("scl17_format_bins", covers=("SCL17", "SCL16", "PRJ13"),
