@@ -61,3 +61,13 @@ def test_stream_equals_batch(spark):
     got = sorted((r.utt_id, r.text) for r in spark.read.parquet(out).collect())
     exp = sorted((r.utt_id, r.t) for r in m.select("utt_id", X.clean_text("text").alias("t")).collect())
     assert got == exp
+
+
+def test_stream_dedup_with_watermark(spark):
+    src = scratch_path(spark, "dd")
+    rows = [("a", "2024-01-01 00:00:00"), ("a", "2024-01-01 00:10:00"), ("b", "2024-01-01 00:20:00")]
+    spark.createDataFrame(rows, "text string, ts string").withColumn("ts", F.to_timestamp("ts")) \
+        .repartition(2).write.json(src)
+    s = spark.readStream.schema("text string, ts timestamp").json(src)
+    out = ST.run_to_files(ST.stream_dedup(s, event_time="ts"), scratch_path(spark, "ddo"))
+    assert sorted(r.text for r in spark.read.parquet(out).collect()) == ["a", "b"]

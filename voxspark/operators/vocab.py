@@ -272,12 +272,14 @@ def encode_counts(texts: DataFrame, vocab: DataFrame, key: str = "utt_id",
         return ws.map(one)
 
     t = F.lower(F.col(col)) if lower else F.col(col)
-    occ = texts.select(key, F.explode(X.raw_words(t)).alias("word"))
+    # pre-aggregate occurrences per (row, word) before any shuffle by word
+    occ = (texts.select(key, F.explode(X.raw_words(t)).alias("word"))
+           .groupBy(key, "word").agg(F.count(F.lit(1)).alias("_n")))
     enc = (occ.select("word").distinct()
            .withColumn("pieces", encode(F.col("word")))
            .select("word", F.size("pieces").alias("n_pieces")))
     return (occ.join(enc, "word").groupBy(key)
-            .agg(F.sum("n_pieces").cast("long").alias("text_tokens")))
+            .agg(F.sum(F.col("_n") * F.col("n_pieces")).cast("long").alias("text_tokens")))
 
 
 def token_count(df: DataFrame, encoded: DataFrame, slots: Column, key: str = "utt_id") -> DataFrame:
