@@ -123,11 +123,6 @@ def has_text(c: str = "text") -> Column:
     return F.col(c).isNotNull() & (F.col(c) != "")
 
 
-def single_supervision_violations(cuts: DataFrame, sup: str = "supervisions") -> DataFrame:
-    """FLT5: cuts without exactly one supervision (the error set)."""
-    return cuts.filter(F.coalesce(F.size(sup), F.lit(0)) != 1)
-
-
 def exclude(df: DataFrame, names, col: str = "dataset") -> DataFrame:
     """FLT6: drop named data sets."""
     return df.filter(~F.col(col).isin(list(names)))
