@@ -79,7 +79,8 @@ def _re(sym: str) -> str:
 
 
 def _apply_merges(seq: Column, merges: list[tuple[str, str]], wordpiece: bool) -> Column:
-    """One left-to-right pass applying a set of merges with disjoint symbols.  Matches
+    """One left-to-right pass applying a set of merges without chains (no symbol is the
+    second of one pair and the first of another).  Matches
     consume both symbols, so a symbol made in this pass is not merged again in it (the
     same result as applying the merges one after another to non-overlapping pairs)."""
     alts, k = [], 2
@@ -152,7 +153,7 @@ def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
             ok = ok & ~body.rlike("[0-9]")
         return ok
 
-    rounds = 0
+    rounds, prev = 0, None
     while len(merges) < target:
         pc = _pairs(table).filter((F.col("n") >= min_pair_count) & mergeable())
         if wordpiece:
@@ -163,15 +164,22 @@ def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
                     .withColumn("rank_score", F.col("n") / (F.col("na") * F.col("nb"))))
         else:
             pc = pc.withColumn("rank_score", F.col("n").cast("double"))
+        # this job also fills the cache of the current table, so the previous one can go
         cand = (pc.orderBy(F.col("rank_score").desc(), F.col("n").desc(), "a", "b")
                 .limit(merges_per_round * 8).collect())
-        chosen, used = [], set()
+        if prev is not None:
+            prev.unpersist()
+            prev = None
+        # pairs sharing a first (or a second) symbol never meet at one position; only a
+        # chain (a symbol second in one pair and first in another) would depend on order
+        chosen, firsts, seconds = [], set(), set()
         for r in cand:
             a, b = r["a"], r["b"]
-            if a in used or b in used:
+            if a in seconds or b in firsts or (a == b and (a in firsts or a in seconds)):
                 continue
             chosen.append((a, b))
-            used.update((a, b))
+            firsts.add(a)
+            seconds.add(b)
             if len(chosen) >= min(merges_per_round, target - len(merges)):
                 break
         if not chosen:
@@ -184,10 +192,10 @@ def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
                .filter(F.col("seq").contains(" ")))
         if rounds % checkpoint_every == 0:
             nxt = nxt.checkpoint(eager=True)          # reliable: written to the shared dir
+            table.unpersist()
         else:
-            nxt = nxt.persist()
-            nxt.count()
-        table.unpersist()
+            nxt = nxt.persist()                       # filled by the next pair count
+            prev = table
         table = nxt
     rows = [(p, 0.0) for p in specials] + [(p, -float(i)) for i, p in enumerate(merges)]
     seen = {p for p, _ in rows}
