@@ -71,3 +71,19 @@ def test_stream_dedup_with_watermark(spark):
     s = spark.readStream.schema("text string, ts timestamp").json(src)
     out = ST.run_to_files(ST.stream_dedup(s, event_time="ts"), scratch_path(spark, "ddo"))
     assert sorted(r.text for r in spark.read.parquet(out).collect()) == ["a", "b"]
+
+
+def test_stream_append_is_idempotent(spark):
+    from voxspark.sinks.shards import read_versions
+    m = V.v_manifest(spark, SF).select("utt_id", "split", "duration", "text")
+    src = scratch_path(spark, "arr")
+    m.repartition(3, "utt_id").write.json(src)
+    root = scratch_path(spark, "app")
+    for _ in range(2):                      # a replay (new checkpoint) must not append again
+        s = spark.readStream.schema("utt_id string, split string, duration double, text string") \
+            .option("maxFilesPerTrigger", 1).json(src)
+        meta = ST.stream_append(s, root, per_shard=20, first_shard=0)
+    v = read_versions(spark, meta)
+    assert v.count() == 3
+    rows = spark.read.parquet(f"{root}/manifest").count()
+    assert rows == v.agg(F.max("dataset_config.num_shards")).first()[0] * 20
