@@ -101,7 +101,8 @@ cb(bin_id, pos_in_bin, tot, batch) AS (
          CASE WHEN cb.tot > 0 AND cb.tot + q.eff > {CAP} THEN q.eff ELSE cb.tot + q.eff END,
          CASE WHEN cb.tot > 0 AND cb.tot + q.eff > {CAP} THEN cb.batch + 1 ELSE cb.batch END
   FROM cb JOIN q ON q.bin_id = cb.bin_id AND q.pos_in_bin = cb.pos_in_bin + 1)
-SELECT q.utt_id, CAST(q.bin_id AS INTEGER) AS bin_id, q.pos_in_bin, CAST(0 AS BIGINT) AS chunk, cb.batch AS batch_in_chunk
+SELECT q.utt_id, CAST(q.bin_id AS INTEGER) AS bin_id, q.pos_in_bin, CAST(0 AS BIGINT) AS chunk,
+       CAST(cb.batch AS BIGINT) AS batch_in_chunk
 FROM q JOIN cb ON q.bin_id = cb.bin_id AND q.pos_in_bin = cb.pos_in_bin""")
 def win13_capped_batches(spark, sf):
     b = _bounds_1d(spark, sf)
@@ -170,7 +171,7 @@ z AS (SELECT *, t / d AS tps, avg(t / d) OVER (PARTITION BY b) AS mu,
 tagged AS (SELECT *, (sigma = 0 OR sigma IS NULL OR (tps - mu) / sigma <= {THR}) AS keep FROM z),
 stats AS (SELECT b, count(*) AS rows, min(CASE WHEN keep THEN t END) AS min_tokens,
                  max(CASE WHEN keep THEN t END) AS max_tokens, max(CASE WHEN keep THEN tps END) AS max_tps,
-                 count_if(NOT keep) AS outliers FROM tagged GROUP BY b),
+                 CAST(count_if(NOT keep) AS BIGINT) AS outliers FROM tagged GROUP BY b),
 kept AS (SELECT b, t, row_number() OVER (PARTITION BY b ORDER BY t, d, utt_id) AS rn2 FROM tagged WHERE keep),
 sh AS (SELECT b, sum(t) / {NSUB} AS share FROM kept GROUP BY b),
 tw(b, rn2, t, tot, sb) AS (
@@ -231,7 +232,7 @@ def join6_assign_bin_2d(spark, sf):
        sql=f"""{WALK_2D},
 f AS (SELECT '[' || string_agg(printf('[%.3f,%d]', max_duration, max_tokens), ',' ORDER BY bin_id) || ']' AS bins,
              '[' || string_agg(printf('%.2f', max_tps), ',' ORDER BY bin_id) || ']' AS max_tps,
-             sum(CAST(round_even(max_duration * 16000, 0) AS BIGINT)) AS total_input_samples FROM bins)
+             CAST(sum(CAST(round_even(max_duration * 16000, 0) AS BIGINT)) AS BIGINT) AS total_input_samples FROM bins)
 SELECT bins, max_tps, total_input_samples, true AS is_2d,
        CAST(len(CAST(bins AS DOUBLE[][])) AS INTEGER) AS n_bins FROM f""")
 def scl17_format_bins(spark, sf):

@@ -267,9 +267,9 @@ def agg6_corpus_stats(spark, sf):
 
 @query("agg7_duration_summary", covers=("AGG7", "FLT1"),
        sql=f"""{MANIFEST}
-SELECT split, count_if(duration >= 20.0 AND duration < 250.0) AS kept_rows,
+SELECT split, CAST(count_if(duration >= 20.0 AND duration < 250.0) AS BIGINT) AS kept_rows,
        sum(CASE WHEN duration >= 20.0 AND duration < 250.0 THEN duration END) AS kept_seconds,
-       count_if(NOT (duration >= 20.0 AND duration < 250.0)) AS filtered_rows,
+       CAST(count_if(NOT (duration >= 20.0 AND duration < 250.0)) AS BIGINT) AS filtered_rows,
        sum(CASE WHEN NOT (duration >= 20.0 AND duration < 250.0) THEN duration END) AS filtered_seconds
 FROM v_manifest GROUP BY split""")
 def agg7_duration_summary(spark, sf):

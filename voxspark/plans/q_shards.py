@@ -160,7 +160,7 @@ def snk4_write_shards(spark, sf):
 
 @query("snk6_metadata_versions", covers=("SNK6", "SCL19", "AGG11"),
        sql=f"""{MANIFEST},
-c AS (SELECT count_if(split = 'train') // 10 AS per, count_if(split <> 'train') AS m FROM v_manifest)
+c AS (SELECT CAST(count_if(split = 'train') // 10 AS INTEGER) AS per, count_if(split <> 'train') AS m FROM v_manifest)
 SELECT 1 AS version, per AS num_samples_per_shard, false AS is_concatenated_manifest,
        10 AS num_shards, 0 AS n_history FROM c
 UNION ALL
