@@ -24,9 +24,11 @@ def with_index(df: DataFrame, order, col: str = "idx", n_parts: int | None = Non
     Deterministic under recomputation: the range bounds come from a seeded sample and
     the order is total, so a lost partition is rebuilt with the same numbers."""
     spark = df.sparkSession
-    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(order)
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # without an explicit count the range exchange uses spark.sql.shuffle.partitions and
+    # AQE may merge adjacent ranges (still in order, so offsets stay valid)
+    by_range = df.repartitionByRange(n_parts, *order) if n_parts else df.repartitionByRange(*order)
+    ranged = (by_range.sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())
               .persist(StorageLevel.MEMORY_AND_DISK))
@@ -60,9 +62,9 @@ def running_sums(df: DataFrame, order, values: dict[str, str],
     size, never by a key) plus broadcast per-partition offsets."""
     from pyspark.sql.window import Window
     spark = df.sparkSession
-    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = _cols(order)
-    ranged = (df.repartitionByRange(n, *order)
+    by_range = df.repartitionByRange(n_parts, *order) if n_parts else df.repartitionByRange(*order)
+    ranged = (by_range
               .withColumn("_pid", F.spark_partition_id())
               .persist(StorageLevel.MEMORY_AND_DISK))
     sums = ranged.groupBy("_pid").agg(*[F.sum(v).alias(o) for o, v in values.items()]).collect()
