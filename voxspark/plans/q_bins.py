@@ -145,9 +145,17 @@ r AS (SELECT i, lo + i * ((hi - lo) / 5.0) AS a,
 SELECT m.utt_id, CAST((SELECT min(i) FROM r WHERE m.duration >= r.a AND m.duration < r.b) AS INTEGER) AS bucket
 FROM v_manifest m""")
 def win11_static_buckets(spark, sf):
+    """One manifest folder per static bucket (``bucket=<i>/``), read back: a reader of
+    one bucket prunes the others by path."""
+    from ..session import scratch_path
+    from ..sinks.manifest import write_manifest
     m = V.v_manifest(spark, sf)
     lo, hi = m.agg(F.min("duration"), F.max("duration")).first()
-    return B.assign_static_bucket(m, B.static_buckets(lo, hi, 5)).select("utt_id", "bucket")
+    b = B.assign_static_bucket(m, B.static_buckets(lo, hi, 5))
+    root = scratch_path(spark, "buckets")
+    write_manifest(b.select("utt_id", "duration", "text", "bucket"), root, partition_by=("bucket",))
+    return spark.read.schema("utt_id string, duration double, text string, bucket int").json(root) \
+        .select("utt_id", "bucket")
 
 
 # ---------------------------------------------------------------- 2-D (WIN10)
