@@ -36,18 +36,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and intermediate files.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); sets a local one
-    only when neither is configured (local runs and tests).
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    Uses ``spark.checkpoint.dir`` (the shared folder a cluster names) or the context's
+    checkpoint dir; only when neither is set (local runs, tests) does it create a local
+    folder and make it the context's checkpoint dir (``spark.checkpoint.dir`` itself
+    cannot be changed at run time)."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="voxspark-ckpt-", dir=os.environ.get("VOX_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    # keep the RDD checkpoint dir in step so DataFrame.checkpoint() works
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+        spark.sparkContext.setCheckpointDir(d)      # DataFrame.checkpoint() writes here
     return d.rstrip("/")
 
 
