@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Default prompt slots of the fine-tuning config (canary2 format).
+# Default prompt slots of the fine-tuning config.
 PROMPT_DEFAULTS = {
     "decodercontext": "",
     "source_lang": "<|ru|>",
