@@ -125,17 +125,28 @@ def confidence_metrics(df: DataFrame, by: list[str], score: str = "score",
 
 
 def evaluate_grid(tokens: DataFrame, word_keys: list[str], score: str = "score",
-                  correct: str = "correct", extra_by: list[str] | None = None) -> DataFrame:
-    """JOIN8: every grid point (aggregation x target level) over the whole data set in
-    one job: token level once, word level for all aggregations from one groupBy."""
+                  correct: str = "correct", extra_by: list[str] | None = None,
+                  params: dict[str, list] | None = None) -> DataFrame:
+    """JOIN7 + JOIN8: every grid point of ``params`` (lists of ``aggregation`` and
+    ``target_level``) over the whole data set in one job.  The grid is a short driver
+    list; each point becomes a group key of the unpivoted units, never a join with the
+    data.  Token level does not depend on the aggregation (it is reported as '-')."""
     by = extra_by or []
+    params = params or {"aggregation": AGGREGATIONS, "target_level": ["token", "word"]}
+    points = grid(params)
+    word_aggs = sorted({p["aggregation"] for p in points if p["target_level"] == "word"},
+                       key=AGGREGATIONS.index)
     # read by both levels: keep it instead of recomputing the text pipeline twice
     tokens = tokens.persist(StorageLevel.MEMORY_AND_DISK)
-    tok = tokens.select(*by, score, correct).withColumn("aggregation", F.lit("-")) \
-        .withColumn("target_level", F.lit("token"))
-    words = word_confidence(tokens, word_keys + [k for k in by if k not in word_keys], score, correct)
-    words = words.select(*by, score, correct, "aggregation").withColumn("target_level", F.lit("word"))
-    both = tok.unionByName(words)
+    parts = []
+    if any(p["target_level"] == "token" for p in points):
+        parts.append(tokens.select(*by, score, correct).withColumn("aggregation", F.lit("-"))
+                     .withColumn("target_level", F.lit("token")))
+    if word_aggs:
+        words = word_confidence(tokens, word_keys + [k for k in by if k not in word_keys], score, correct)
+        parts.append(words.filter(F.col("aggregation").isin(word_aggs))
+                     .select(*by, score, correct, "aggregation").withColumn("target_level", F.lit("word")))
+    both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     m = confidence_metrics(both, [*by, "aggregation", "target_level"], score, correct)
     return m.withColumn("experiment", experiment_name(
         F.col("aggregation"), F.lit(False), F.lit(False), F.lit("max_prob"), F.lit(0.33)))

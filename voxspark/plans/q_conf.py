@@ -108,9 +108,11 @@ units AS (
 SELECT *, aggregation || '-blank-no_duration-max_prob-0.33' AS experiment FROM metrics""")
 def join8_evaluate_grid(spark, sf):
     ts = V.v_token_scores(spark, sf)
-    m = C.evaluate_grid(ts, ["utt_id", "word_id"])
-    return _round(m, ["aggregation", "target_level"]).join(
-        m.select("aggregation", "target_level", "experiment"), ["aggregation", "target_level"])
+    m = C.evaluate_grid(ts, ["utt_id", "word_id"],
+                        params={"aggregation": ["min", "prod", "mean", "max"],
+                                "target_level": ["token", "word"]})
+    return m.select("aggregation", "target_level", "n", *[r6(c).alias(c) for c in METRICS],
+                    "experiment")
 
 
 @query("snk7_report", covers=("SNK7",),

@@ -274,3 +274,32 @@ SELECT split, CAST(count_if(duration >= 20.0 AND duration < 250.0) AS BIGINT) AS
 FROM v_manifest GROUP BY split""")
 def agg7_duration_summary(spark, sf):
     return M.duration_summary(V.v_manifest(spark, sf), 20.0, 250.0, by=["split"])
+
+
+@query("snk2_combined_manifest", covers=("SNK2", "SET1", "SRC2"),
+       sql=f"""{MANIFEST}
+SELECT split, dataset, count(*) AS rows FROM v_manifest GROUP BY split, dataset""")
+def snk2_combined_manifest(spark, sf):
+    """Per-dataset manifests scanned and written back as one combined manifest per
+    split (union all, duplicates kept), then read from the combined folders."""
+    root = scratch_path(spark, "datasets")
+    K.write_manifest(V.v_manifest(spark, sf), root, partition_by=("dataset", "split"))
+    combined = scratch_path(spark, "combined")
+    K.write_manifest(S.scan_manifests(spark, root).select(*MCOLS), combined, partition_by=("split",))
+    back = S.read_manifest(spark, combined)
+    return back.groupBy("split", "dataset").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("prj12_field_mapping", covers=("PRJ12", "SRC1"),
+       sql=f"""{MANIFEST}
+SELECT utt_id, text, source_lang AS lang, duration FROM v_manifest""")
+def prj12_field_mapping(spark, sf):
+    """A manifest whose text and language live under other keys, read with
+    ``text_field`` / ``lang_field``."""
+    m = V.v_manifest(spark, sf).select("utt_id", "audio_filepath", "duration",
+                                       F.col("text").alias("sentence"),
+                                       F.col("source_lang").alias("language"))
+    path = scratch_path(spark, "prj12")
+    K.write_manifest(m, path, partition_by=())
+    df = S.read_manifest(spark, path, text_field="sentence", lang_field="language")
+    return df.select("utt_id", "text", "lang", "duration")
