@@ -54,3 +54,13 @@ def test_walk_and_cluster_lookups_agree(spark, monkeypatch):
     remote, _ = B.duration_bins_2d(df, 6, 3)
     key = lambda d: [(r.max_duration, r.max_tokens, r.max_tps) for r in d.orderBy("bin_id").collect()]
     assert key(local) == key(remote)
+
+
+def test_parse_bins_and_limits(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("[[2.5, 18], [20.0, 174]]",), ("[5.0, 10.0, 15.5]",)], "s string")
+    got = [(r.p.is_2d, r.p.bins) for r in df.select(B.parse_bins(F.col("s")).alias("p")).collect()]
+    assert got == [(True, [[2.5, 18.0], [20.0, 174.0]]), (False, [[5.0], [10.0], [15.5]])]
+    one = spark.createDataFrame([(0, 5.0), (1, 15.5)], "bin_id int, max_duration double")
+    lim = [(r.input_samples, r.output_len) for r in B.bin_limits(one).orderBy("bin_id").collect()]
+    assert lim == [(80000, 60), (248000, 186)]
