@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import naming as N
-from ..functions import text as X
 from ..operators import joins as J
 from ..operators import manifest as M
 from ..operators import shards as H

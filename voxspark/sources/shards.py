@@ -5,7 +5,6 @@ member bytes read only when asked for."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SCHEMA = "shard_id int, member string, size long, content binary"
 
