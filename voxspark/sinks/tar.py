@@ -2,14 +2,14 @@
 
 Rows arrive clustered by ``shard_id`` and ordered by position; each task writes the
 tars of the shards it holds, members in shard order, a repeated member name stored once.
-Each tar is written under a temporary name and renamed into place, so a retried or
-speculative task attempt leaves one complete file.
+Each tar is streamed to a temporary name and moved into place through pyarrow's file
+systems (local, HDFS or S3 URIs), so a retried or speculative task attempt leaves one
+complete file.
 """
 
 from __future__ import annotations
 
 import io
-import os
 import tarfile
 import uuid
 
@@ -22,18 +22,30 @@ class _Commit(WriterCommitMessage):
         self.shards = shards
 
 
+def _fs(uri: str):
+    """pyarrow file system + path for a local path, file:, hdfs: or s3: URI."""
+    from pyarrow import fs
+    if uri.startswith("file:"):
+        uri = uri[len("file:"):]
+        while uri.startswith("//"):
+            uri = uri[1:]
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+
+
 class _TarWriter(DataSourceArrowWriter):
     def __init__(self, path: str):
-        self.path = path[len("file:"):] if path.startswith("file:") else path
+        self.path = path
 
     def write(self, iterator):
-        os.makedirs(self.path, exist_ok=True)
-        cur, tar, tmp, seen, done = None, None, None, set(), []
+        filesystem, root = _fs(self.path)
+        filesystem.create_dir(root, recursive=True)
+        cur, tar, stream, tmp, seen, done = None, None, None, None, set(), []
 
         def close():
             if tar is not None:
                 tar.close()
-                os.replace(tmp, os.path.join(self.path, f"audio_{cur}.tar"))
+                stream.close()
+                filesystem.move(tmp, f"{root}/audio_{cur}.tar")
 
         for batch in iterator:
             cols = batch.to_pydict()
@@ -41,8 +53,9 @@ class _TarWriter(DataSourceArrowWriter):
                 if sid != cur:
                     close()
                     cur, seen = sid, set()
-                    tmp = os.path.join(self.path, f".audio_{sid}.{uuid.uuid4().hex}.tmp")
-                    tar = tarfile.open(tmp, mode="w")
+                    tmp = f"{root}/.audio_{sid}.{uuid.uuid4().hex}.tmp"
+                    stream = filesystem.open_output_stream(tmp)
+                    tar = tarfile.open(fileobj=stream, mode="w|")     # streamed, no seeks
                     done.append(sid)
                 if name in seen:           # a repeated file is stored once
                     continue

@@ -1,6 +1,6 @@
 """Tar shard scan (SRC9): list shard files with the ``binaryFile`` source (content
-pruned), then stream each tar's members in ``mapInArrow`` - one tar per task row, the
-member bytes read only when asked for."""
+pruned), then stream each tar's members in ``mapInArrow`` - one tar per task row, read
+through pyarrow's file systems (local, HDFS or S3), member bytes only when asked for."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ def read_shards(spark: SparkSession, path: str, with_content: bool = False) -> D
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "audio_*.tar")
              .load(path).select("path"))
     keep = with_content
+    from ..sinks.tar import _fs
 
     def members(batches):
         import re
@@ -22,9 +23,9 @@ def read_shards(spark: SparkSession, path: str, with_content: bool = False) -> D
         for b in batches:
             out = {"shard_id": [], "member": [], "size": [], "content": []}
             for p in b.column("path").to_pylist():
-                local = p[len("file:"):] if p.startswith("file:") else p
-                sid = int(re.search(r"audio_(\d+)\.tar$", local).group(1))
-                with tarfile.open(local, mode="r") as tar:
+                filesystem, path = _fs(p)
+                sid = int(re.search(r"audio_(\d+)\.tar$", path).group(1))
+                with filesystem.open_input_file(path) as fh, tarfile.open(fileobj=fh, mode="r") as tar:
                     for m in tar:
                         out["shard_id"].append(sid)
                         out["member"].append(m.name)
