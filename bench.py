@@ -1,7 +1,8 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
 Each query is forced to completion with the ``noop`` sink (no collect to the driver),
-after one warm-up query so JVM start-up is not charged to the first measurement.
+after warm-up queries so JVM and Python-worker start-up are not charged to the first
+measurement.
 """
 
 import json
