@@ -37,3 +37,29 @@ def test_describe_approx_close_to_exact(spark):
     ap = B.describe_duration(m, exact=False).first()
     assert ex["count"] == ap["count"] and ex["min"] == ap["min"] and ex["max"] == ap["max"]
     assert abs(ex["p50"] - ap["p50"]) <= 0.05 * ex["p50"] + 1
+
+
+def test_path_helpers_match_os_path(spark):
+    import os
+    from voxspark.operators.manifest import squash
+    from voxspark.sources.manifest import audio_segments, replace_ext
+    paths = ["a/b/c.mp3", "a/b.c/d.e.flac", "x/.hidden", "clips/src0/12.wav", "noext",
+             "/cache/extracted/abc123/ru/1.mp3", "d/extracted/h/x/y.z.opus", "a..b/c..mp3"]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = df.select("p", replace_ext(F.col("p")).alias("w"), squash(F.col("p")).alias("s"),
+                    F.array_join(audio_segments(F.col("p")), "/").alias("g")).collect()
+
+    def squash_py(p):
+        base, ext = os.path.splitext(p)
+        return base.replace("/", "_").replace(".", "_") + ext
+
+    def segs_py(p):
+        seg = [x for x in p.split("/") if x]
+        if "extracted" in seg:
+            seg = seg[seg.index("extracted") + 2:]
+        return "/".join(seg)
+
+    for r in got:
+        assert r.w == os.path.splitext(r.p)[0] + ".wav", r.p
+        assert r.s == squash_py(r.p), r.p
+        assert r.g == segs_py(r.p), r.p

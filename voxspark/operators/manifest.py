@@ -49,10 +49,17 @@ def resolve_path(path: Column, manifest_file: Column) -> Column:
     return F.when(path.startswith("/"), path).otherwise(F.concat_ws("/", folder, path))
 
 
+def path_ext(path: Column) -> Column:
+    """Extension as ``os.path.splitext`` sees it: from the last '.' of the last segment,
+    unless only dots precede it in that segment ('' then)."""
+    base = F.regexp_extract(path, r"[^/]*$", 0)
+    return F.regexp_extract(base, r"^\.*[^.].*(\.[^.]*)$", 1)
+
+
 def squash(path: Column) -> Column:
     """PRJ8: flatten a path into a member name: in the part before the extension '/'
     and '.' become '_'; the extension is kept."""
-    ext = F.regexp_extract(path, r"[^/.](\.[^./]*)$", 1)
+    ext = path_ext(path)
     base = F.substring(path, F.lit(1), F.length(path) - F.length(ext))
     return F.concat(F.translate(base, "/.", "__"), ext)
 

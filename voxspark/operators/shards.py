@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .index import index_in_group, with_index
-from .manifest import squash
+from .manifest import path_ext, squash
 
 
 def shuffle_key(seed: int, key: str = "utt_id") -> list[Column]:
@@ -85,7 +85,7 @@ def number_repeats(df: DataFrame, file: str = "audio_filepath") -> DataFrame:
     sq = df.withColumn("member", squash(F.col(file)))
     ix = with_index(sq, ["shard_id", "member", "pos"], col="_g")
     rep = index_in_group(ix, ["shard_id", "member"], idx="_g", col="repeat").drop("_g")
-    ext = F.regexp_extract(F.col("member"), r"[^/.](\.[^./]*)$", 1)
+    ext = path_ext(F.col("member"))
     base = F.substring(F.col("member"), F.lit(1), F.length("member") - F.length(ext))
     renamed = F.concat(base, F.lit("-sub"), F.col("repeat").cast("string"), ext)
     return rep.withColumn("member", F.when(F.col("repeat") == 0, F.col("member")).otherwise(renamed))

@@ -169,7 +169,9 @@ def audio_segments(path: Column) -> Column:
 
 def replace_ext(path: Column, ext: str = ".wav") -> Column:
     """PRJ5: replace the extension of the last segment (``os.path.splitext``)."""
-    return F.concat(F.regexp_replace(path, r"([^/.])\.[^./]*$", "$1"), F.lit(ext))
+    from ..operators.manifest import path_ext
+    old = path_ext(path)
+    return F.concat(F.substring(path, F.lit(1), F.length(path) - F.length(old)), F.lit(ext))
 
 
 def wav_path(path: Column, base: Column) -> Column:
