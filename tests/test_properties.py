@@ -63,3 +63,38 @@ def test_path_helpers_match_os_path(spark):
         assert r.w == os.path.splitext(r.p)[0] + ".wav", r.p
         assert r.s == squash_py(r.p), r.p
         assert r.g == segs_py(r.p), r.p
+
+
+def test_corpus_stats_match_plain_counting(spark, tmp_path):
+    import json
+    import random
+    from voxspark.sources import manifest as S
+    rnd = random.Random(4)
+    pool = ['{"text": "a"}', '{"text": " a "}', '{"text": "b"}', '{"text": ""}', '{"text": "  "}',
+            '{"text": null}', '{"text": 5}', '{"other": 1}', '{}', '[1, 2]', 'not json', '{"text": "c",',
+            '', '   ', '{"text": "d", "k": [1]}']
+    lines = [rnd.choice(pool) for _ in range(400)]
+    p = tmp_path / "c.jsonl"
+    p.write_text("\n".join(lines) + "\n", encoding="utf-8")
+    proc = dup = err = 0
+    seen = set()
+    for line in lines:
+        if not line.strip():
+            continue
+        try:
+            d = json.loads(line)
+        except json.JSONDecodeError:
+            err += 1
+            continue
+        if isinstance(d, dict) and "text" in d and d["text"]:
+            if not isinstance(d["text"], str):       # D-11: non-string text is an error
+                err += 1
+                continue
+            t = d["text"].strip()
+            proc += 1
+            dup += t in seen
+            seen.add(t)
+        else:
+            err += 1
+    s = M.corpus_stats(S.read_manifest_lines(spark, str(p))).first()
+    assert (s.processed, s.unique, s.duplicates, s.errors) == (proc, len(seen), dup, err)

@@ -164,8 +164,10 @@ def manifest_counts(df: DataFrame) -> DataFrame:
 
 def corpus_stats(lines: DataFrame) -> DataFrame:
     """AGG6: files, processed (non-empty text), unique stripped texts, duplicates,
-    errors (bad JSON, missing or empty text) and the dedup rate in percent."""
-    ok = ~F.col("is_error") & has_text("text")
+    errors (bad JSON, missing, empty or non-string text, D-11) and the dedup rate in
+    percent.  The JSON type of ``text`` comes from a variant parse of the line."""
+    text_type = F.schema_of_variant(F.variant_get(F.try_parse_json("line"), "$.text", "variant"))
+    ok = ~F.col("is_error") & has_text("text") & (F.coalesce(text_type, F.lit("")) == "STRING")
     s = lines.agg(
         F.count_distinct("file").alias("files"),
         F.count_if(ok).alias("processed"),
