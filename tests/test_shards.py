@@ -52,3 +52,10 @@ def test_scan_reference_layout(spark, tmp_path):
     df = S.scan_manifests(spark, str(tmp_path / "datasets"), exclude=["d2"])
     got = sorted((r.dataset, r.split, r.custom["extra"]) for r in df.collect())
     assert got == [("d1", "test", "5"), ("d1", "train", "5")]
+
+
+def test_release_cached(spark):
+    df = spark.range(100)
+    ix = I.with_index(df, ["id"])
+    assert ix.count() == 100
+    assert I.release_cached() >= 1 and I.release_cached() == 0

@@ -14,6 +14,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# DataFrames persisted by the two-pass helpers below; a long-lived session frees them
+# with release_cached() once the results it needs are written.
+_CACHED: list = []
+
+
+def _keep(df: DataFrame) -> DataFrame:
+    _CACHED.append(df)
+    return df
+
+
+def release_cached() -> int:
+    """Unpersist every frame the index / running-sum helpers cached; returns how many."""
+    n = len(_CACHED)
+    while _CACHED:
+        _CACHED.pop().unpersist()
+    return n
+
+
 def _cols(order) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
@@ -32,6 +50,7 @@ def with_index(df: DataFrame, order, col: str = "idx", n_parts: int | None = Non
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())
               .persist(StorageLevel.MEMORY_AND_DISK))
+    _keep(ranged)
     counts = sorted((r["_pid"], r["count"]) for r in ranged.groupBy("_pid").count().collect())
     offsets, run = [], 0
     for pid, c in counts:
@@ -67,6 +86,7 @@ def running_sums(df: DataFrame, order, values: dict[str, str],
     ranged = (by_range
               .withColumn("_pid", F.spark_partition_id())
               .persist(StorageLevel.MEMORY_AND_DISK))
+    _keep(ranged)
     sums = ranged.groupBy("_pid").agg(*[F.sum(v).alias(o) for o, v in values.items()]).collect()
     sums = sorted(sums, key=lambda r: r["_pid"])
     types = dict(df.dtypes)
