@@ -261,8 +261,13 @@ def _shared(crowd: int):
 
 def _sets(n: int):
     def run(batches):
+        seen: set = set()               # repeated rows give one set a task
         for b in (p for x in batches for p in _parts(x)):
-            sets = [s for s in shingle_sets(b.column(0), n)]
+            sets = shingle_sets(b.column(0), n)
+            if len(seen) > 1_000_000:
+                seen.clear()
+            sets = list({c: s for s in sets if (c := class_of(s)) not in seen}.values())
+            seen.update(map(class_of, sets))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([sketch(s) for s in sets], pa.binary())],
@@ -279,9 +284,10 @@ def _bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(-1, dtype=np.int64)
 
 
-def _blocks(num: int, den: int):
+def _blocks(num: int, den: int, best: bool):
     """Rows sorted by (leader, i, j, side): holds side 0 of one block pair, streams side 1; yields
-    pairs in different components that the sketches do not rule out."""
+    pairs in different components that the sketches do not rule out, of each streamed row the
+    likeliest only if ``best``."""
     def run(batches):
         key, held = None, []
         for b in batches:
@@ -309,7 +315,11 @@ def _blocks(num: int, den: int):
                     c, p, m, s = (x[i] for x in part)
                     ok = (hp != p) & ((hc < c) if k[1] == k[2] else True) & (hn * den >= m * num) & (hn * num <= m * den)
                     at = np.flatnonzero(ok)
-                    at = at[_bits(hs[at], s) <= _far(hn[at], m, num, den)]
+                    bits = _bits(hs[at], s)
+                    ok = bits <= _far(hn[at], m, num, den)
+                    at, bits = at[ok], bits[ok]
+                    if best and len(at):
+                        at = at[[bits.argmin()]]
                     left.append(hc[at])
                     right.append(np.full(len(at), c))
             if left and sum(map(len, left)):
@@ -330,12 +340,17 @@ def _unlikely(num: int, den: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose sets are similar, by exact intersection."""
-    x = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("x"))
-    y = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("y"))
+    """The pairs whose sets are similar, by exact intersection; only their sets are moved."""
+    pairs = written(pairs, "pairs")
+    used = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+    if pairs.count() <= BROADCAST_ROWS:         # checked size; else the join shuffles
+        used = F.broadcast(used)
+    own = sets.join(used, "cls", "left_semi")
+    x = own.select(F.col("cls").alias("a"), F.col("tokens").alias("x"))
+    y = own.select(F.col("cls").alias("b"), F.col("tokens").alias("y"))
     both = pairs.join(x, "a").join(y, "b").select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("both"),
                                                  (F.size("x") + F.size("y")).cast("long").alias("sum"))
-    return both.where(F.col("both") * den >= (F.col("sum") - F.col("both")) * num).select("a", "b")
+    return both.where(F.col("both") * den >= (F.col("sum") - F.col("both")) * num).select("a", "b").distinct()
 
 
 def _sketched(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -360,14 +375,28 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
              .repartition("key").sortWithinPartitions("key", "cls"))
     shared = written(index.mapInArrow(_shared(crowd), "key long, cls long, tag int, leader long, hot boolean"), "shared")
 
-    # the sets of the classes that share an entry, from one text each
-    reps = (members.join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min("th").alias("th")).select("th"))
+    # a similar pair shares all units but H, less the empty segments that its level allows: drop
+    # the entries of sets that share fewer at their band and level
+    shared = shared.select("key", "cls", "leader", "hot", F.shiftright("tag", 25).alias("band"),
+                           F.shiftright("tag", 23).bitwiseAND(3).alias("level"), F.shiftright("tag", 22).bitwiseAND(1).alias("weak"),
+                           F.col("tag").bitwiseAND((1 << 22) - 1).alias("seg"))
+    plans = [allocation(k, num, den) for k in range(48)]
+    exact, slack = (F.get(F.array(*[F.lit(p[i]) for p in plans]), F.col("band")) for i in (0, 2))
+    price = F.when(F.col("seg") < exact, 1).otherwise(2)
+    enough = (shared.groupBy("cls", "band", "level", "seg").agg(F.max("hot").alias("hot"), F.max("weak").alias("weak"))
+              .groupBy("cls", "band", "level").agg(F.sum(price).alias("units"), F.sum(F.when(F.col("hot"), price).otherwise(0)).alias("crowded"),
+                                                   F.max("weak").alias("weak"))
+              .where((F.col("level") == LEVELS) | (F.col("units") > slack - F.floor(slack / 2)))
+              .select("cls", "band", "level", ((F.col("weak") == 1) | (F.col("crowded") > slack - F.floor(slack / 2))).alias("need")))
+    shared = written(shared.join(enough, ["cls", "band", "level"]).select("key", "cls", "leader", "hot", "need"), "entries")
+
+    # the sets of the classes that are left, from one row each
+    reps = members.join(shared.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.min("key").alias("key")).select("key")
     reps = written(reps, "reps")
     if reps.count() <= BROADCAST_ROWS:          # checked size; else the join shuffles
         reps = F.broadcast(reps)
-    texts = src.select("th", "text").join(reps, "th", "left_semi")
-    sets = written(texts.select("text").mapInArrow(_sets(n), "cls long, n long, tokens array<long>, sketch binary")
-                   .dropDuplicates(["cls"]), "sets")
+    texts = src.select("key", "text").join(reps, "key", "left_semi")
+    sets = written(texts.select("text").mapInArrow(_sets(n), "cls long, n long, tokens array<long>, sketch binary"), "sets")
 
     # first: each class with the leader it shares most entries with
     closest = (shared.where("cls <> leader").groupBy("cls", "leader").agg(F.count("*").alias("c"))
@@ -382,32 +411,32 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     pairs = (few.toDF("key", "a", "ca").join(few.toDF("key", "b", "cb"), "key").where("a < b and ca <> cb").select("a", "b").distinct())
     pairs = _sketched(pairs, sets, num, den)
 
-    # ... and from crowded ones, of the sets that these need
-    band, level = F.shiftright("tag", 25), F.shiftright("tag", 23).bitwiseAND(3)
-    weak, seg = F.shiftright("tag", 22).bitwiseAND(1), F.col("tag").bitwiseAND((1 << 22) - 1)
-    plans = [allocation(k, num, den) for k in range(48)]
-    exact, spare = (F.array(*[F.lit(v) for v in x]) for x in ([p[0] for p in plans], [p[2] - p[2] // 2 for p in plans]))
-    hot = shared.where("hot").select("key", "cls", "leader", band.alias("band"), level.alias("level"), weak.alias("weak"), seg.alias("seg"))
-    need = (hot.select("cls", "band", "level", "weak", "seg").distinct()
-            .groupBy("cls", "band", "level").agg(F.max("weak").alias("weak"), F.sum(
-                F.when(F.col("seg") < F.get(exact, F.col("band")), 1).otherwise(2)).alias("units"))
-            .where((F.col("weak") == 1) | (F.col("units") > F.get(spare, F.col("band")))).select("cls", "band", "level"))
-    group = (hot.join(need, ["cls", "band", "level"], "left_semi").select("leader", "cls").distinct()
-             .join(found, "cls", "left").select("leader", "cls", F.coalesce("comp", "cls").alias("comp")))
+    # ... and from crowded ones, between the sets that need them: twice each row's best
+    # candidate only, which joins most of what belongs together, then all that is left
+    hot = written(shared.where("hot and need").select("leader", "cls").distinct(), "hot")
+    for step, best in enumerate((True, True, False)):
+        some = _crowded(hot, sets, found, num, den, block, best)
+        some = some if step else some.union(pairs).distinct()
+        edges = edges.union(written(_verified(some, sets, num, den), "more"))
+        if best:
+            found = components(edges).toDF("cls", "comp")
+    return members, edges
+
+
+def _crowded(hot: DataFrame, sets: DataFrame, found: DataFrame, num: int, den: int, block: int, best: bool) -> DataFrame:
+    """Pairs of different components in the groups of crowded entries that sketches allow."""
+    group = hot.join(found, "cls", "left").select("leader", "cls", F.coalesce("comp", "cls").alias("comp"))
     crowds = (group.groupBy("leader").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
               .where("lo <> hi").select("leader", F.ceil(F.col("size") / block).cast("int").alias("blocks")))
     group = group.join(crowds, "leader").join(sets.select("cls", "n", "sketch"), "cls")
-    mine = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
     sides = F.concat(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(
         F.least(F.col("i"), j).alias("i"), F.greatest(F.col("i"), j).alias("j"), F.when(j < F.col("i"), 1).otherwise(0).alias("side"))),
         F.array(F.struct("i", F.col("i").alias("j"), F.lit(1).alias("side"))))
-    dealt = (group.withColumn("i", mine).withColumn("x", F.explode(sides))
+    dealt = (group.withColumn("i", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")).withColumn("x", F.explode(sides))
              .select("leader", "x.i", "x.j", "x.side", "cls", "comp", "n", "sketch")
              .repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j", "side"))
-    crowded = (dealt.mapInArrow(_blocks(num, den), "a long, b long")
-               .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = written(_verified(pairs.union(crowded).distinct(), sets, num, den), "more")
-    return members, edges.union(more)
+    return (dealt.mapInArrow(_blocks(num, den, best), "a long, b long")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
