@@ -49,14 +49,13 @@ def src2_scan_manifests(spark, sf):
 
 @query("src4_manifest_list", covers=("SRC3", "SRC4", "SRC10"),
        sql=f"""{MANIFEST}
-SELECT split, source_lang, count(*) AS rows FROM v_manifest
-WHERE split IN ('train', 'test') GROUP BY split, source_lang""")
+SELECT split, source_lang, count(*) AS rows FROM v_manifest GROUP BY split, source_lang""")
 def src4_manifest_list(spark, sf):
     m = V.v_manifest(spark, sf)
     root = scratch_path(spark, "src4")
-    for sp in ("train", "test"):
+    for sp in ("train", "validate", "test"):
         K.write_manifest(m.filter(F.col("split") == sp), f"{root}/{sp}", partition_by=())
-    df = S.read_manifest(spark, f"{root}/train/*.json,{root}/test")
+    df = S.read_manifest(spark, f"{root}/train/*.json,{root}/validate,{root}/test")
     return df.groupBy("split", "source_lang").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -203,13 +202,12 @@ def set1_combine(spark, sf):
 
 @query("set2_concat", covers=("SET2",),
        sql=f"""{MANIFEST}
-SELECT utt_id, CASE WHEN split = 'test' THEN 0 ELSE 1 END AS source_order FROM v_manifest
-WHERE split IN ('test', 'train')""")
+SELECT utt_id, CASE WHEN split = 'test' THEN 0 WHEN split = 'train' THEN 1 ELSE 2 END AS source_order FROM v_manifest""")
 def set2_concat(spark, sf):
     m = V.v_manifest(spark, sf)
     base = m.filter(F.col("split") == "test").drop("pnc")
-    new = m.filter(F.col("split") == "train")
-    return M.concat(base, new).select("utt_id", F.col("source_order").cast("int"))
+    new = [m.filter(F.col("split") == "train"), m.filter(F.col("split") == "validate")]
+    return M.concat(base, *new).select("utt_id", F.col("source_order").cast("int"))
 
 
 @query("set3_corpus", covers=("SET3", "AGG5", "SNK3"),

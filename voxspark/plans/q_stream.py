@@ -55,8 +55,13 @@ def str3_stream_wer(spark, sf):
     return spark.read.parquet(out).select("split", "edits", "words", "rows", F.round("wer", 6).alias("wer"))
 
 
-@query("str4_stream_append", covers=("STR4", "WIN2", "SNK6"))
+@query("str4_stream_append", covers=("STR4", "WIN2", "SNK6"),
+       sql=f"""{MANIFEST},
+n AS (SELECT count(*) FILTER (split = 'train') // 10 AS per, count(*) FILTER (split <> 'train') AS new FROM v_manifest)
+SELECT CAST(10 + i AS INTEGER) AS shard_id, per AS rows FROM (SELECT per, unnest(range(new // per)) AS i FROM n)
+UNION ALL SELECT -1 AS shard_id, new % per AS rows FROM n""")
 def str4_stream_append(spark, sf):
+    """Appended shards with their rows; the rows that wait for the next batch as shard -1."""
     m = V.v_manifest(spark, sf)
     base = m.filter(F.col("split") == "train")
     per = int(H.shard_plan(base, 10).first()["samples_per_shard"])
@@ -66,7 +71,8 @@ def str4_stream_append(spark, sf):
     root = scratch_path(spark, "str4")
     meta = ST.stream_append(s, root, per, 10)
     from ..sinks.shards import read_versions
-    v = read_versions(spark, meta)
-    return v.agg(F.count(F.lit(1)).alias("versions"),
-                 F.max("dataset_config.num_shards").alias("num_shards"),
-                 F.max("num_samples_per_shard").alias("per_shard"))
+    last = read_versions(spark, meta).agg(F.max("batch_id")).first()[0]
+    shards = spark.read.parquet(f"{root}/manifest").groupBy("shard_id").agg(F.count(F.lit(1)).alias("rows"))
+    left = spark.read.parquet(f"{root}/remainder/batch_id={last}").agg(
+        F.lit(-1).alias("shard_id"), F.count(F.lit(1)).alias("rows"))
+    return shards.unionByName(left)

@@ -67,18 +67,17 @@ def src11_read_vocab(spark, sf):
 
 
 @query("tok7_wordpiece_text", covers=("TOK7",),
-       sql=f"""WITH w AS (SELECT word, count(*) AS count FROM ({WORDS_SQL}) GROUP BY word
-                   ORDER BY count DESC, word LIMIT 50),
+       sql=f"""WITH w AS (SELECT word, count(*) AS count FROM ({WORDS_SQL}) GROUP BY word),
 {CHAR_VOCAB_SQL},
 p AS (SELECT '<unk>' AS piece UNION ALL SELECT '▁' UNION ALL SELECT '▁' || word FROM w
-      UNION ALL SELECT piece FROM cv WHERE rank < 30)
+      UNION ALL SELECT piece FROM cv)
 SELECT piece, CASE WHEN piece = '<unk>' THEN NULL WHEN piece = '▁' THEN piece
                    WHEN starts_with(piece, '▁') THEN substr(piece, 2) ELSE '##' || piece END AS wp
 FROM p""")
 def tok7_wordpiece_text(spark, sf):
     texts = _texts(spark, sf)
-    words = VO.word_vocab(texts, 50).select(F.concat(F.lit(VO.WORD_START), "word").alias("piece"))
-    cv = VO.char_vocab(texts, COVERAGE).filter(F.col("rank") < 30).select("piece")
+    words = VO.word_freq(texts).select(F.concat(F.lit(VO.WORD_START), "word").alias("piece"))
+    cv = VO.char_vocab(texts, COVERAGE).select("piece")
     fixed = spark.createDataFrame([(VO.UNK,), (VO.WORD_START,)], "piece string")
     p = fixed.unionByName(words).unionByName(cv)
     return p.select("piece", VO.wordpiece_text(F.col("piece")).alias("wp"))

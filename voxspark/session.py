@@ -39,9 +39,12 @@ def scratch_dir(spark: SparkSession) -> str:
     Uses ``spark.checkpoint.dir`` (the shared folder a cluster names) or the context's
     checkpoint dir; only when neither is set (local runs, tests) does it create a local
     folder and make it the context's checkpoint dir (``spark.checkpoint.dir`` itself
-    cannot be changed at run time)."""
+    cannot be changed at run time).  A local-cluster or real cluster without the setting is
+    an error: executors would write to their own disks."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="voxspark-ckpt-", dir=os.environ.get("VOX_SCRATCH", "/tmp"))
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)      # DataFrame.checkpoint() writes here

@@ -15,7 +15,8 @@ CONFIG_DDL = ("num_shards int, shuffle boolean, max_duration double, min_duratio
               "use_bucketing boolean, num_buckets int, bucket_duration_bins array<double>")
 RECORD_DDL = (f"version int, created_datetime string, num_samples_per_shard int, "
               f"is_concatenated_manifest boolean, dataset_config struct<{CONFIG_DDL}>")
-META_DDL = f"{RECORD_DDL}, history array<struct<{RECORD_DDL}>>"
+# batch_id: the micro-batch that wrote the record, null for batch jobs
+META_DDL = f"{RECORD_DDL}, history array<struct<{RECORD_DDL}>>, batch_id long"
 
 DEFAULT_CONFIG = {"num_shards": -1, "shuffle": False, "max_duration": None,
                   "min_duration": None, "shuffle_seed": None, "sort_in_shards": False,
@@ -53,14 +54,17 @@ def _config_col(cfg: dict) -> Column:
 
 
 def read_versions(spark: SparkSession, path: str) -> DataFrame:
+    """All metadata records; none only if the table does not exist yet."""
     try:
         return spark.read.schema(META_DDL).parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], META_DDL)
 
 
 def append_version(spark: SparkSession, path: str, cfg: dict, num_samples_per_shard: int,
-                   concatenated: bool) -> DataFrame:
+                   concatenated: bool, batch_id: int | None = None) -> DataFrame:
     """SNK6: append metadata version ``max + 1`` holding the config, samples per shard,
     the concatenated flag, the created time and the earlier versions as history.  The
     history is an aggregate over the (tiny) version table."""
@@ -75,7 +79,7 @@ def append_version(spark: SparkSession, path: str, cfg: dict, num_samples_per_sh
         F.lit(num_samples_per_shard).cast("int").alias("num_samples_per_shard"),
         F.lit(concatenated).alias("is_concatenated_manifest"),
         _config_col(cfg).alias("dataset_config"),
-        F.col("h").alias("history"))
+        F.col("h").alias("history"), F.lit(batch_id).cast("long").alias("batch_id"))
     rows = new.collect()   # one metadata row; read before the append below
     spark.createDataFrame(rows, META_DDL).write.mode("append").parquet(path)
     return read_versions(spark, path)
@@ -87,4 +91,5 @@ def default_record(spark: SparkSession) -> DataFrame:
         F.lit(0).alias("version"), stamp().alias("created_datetime"),
         F.lit(-1).alias("num_samples_per_shard"), F.lit(False).alias("is_concatenated_manifest"),
         _config_col({}).alias("dataset_config"),
-        F.array().cast(f"array<struct<{RECORD_DDL}>>").alias("history"))
+        F.array().cast(f"array<struct<{RECORD_DDL}>>").alias("history"),
+        F.lit(None).cast("long").alias("batch_id"))

@@ -70,30 +70,30 @@ def run_complete(df: DataFrame, out: str) -> str:
 
 
 def stream_append(df: DataFrame, root: str, per_shard: int, first_shard: int, seed: int = 42):
-    """STR4: each micro-batch is appended as new shards (WIN2) with a new metadata
-    version (SNK6).  Rows go to ``manifest/batch_id=<id>`` (overwritten on replay) and a
-    batch id recorded in ``applied`` is skipped, so a replayed batch does not append
-    twice."""
+    """STR4: each micro-batch, with the rows that the one before left over, is appended as
+    new shards (WIN2) with a new metadata version (SNK6).  Rows go to
+    ``manifest/batch_id=<id>`` and those short of a shard to ``remainder/batch_id=<id>``,
+    both overwritten on replay.  The metadata record is written last and holds the batch
+    id, so a batch whose record exists is skipped, and one that crashed before writing it
+    is done again from the same state."""
     spark = df.sparkSession
-    meta, applied = f"{root}/metadata", f"{root}/applied"
+    meta = f"{root}/metadata"
 
     def append(batch: DataFrame, batch_id: int):
-        try:
-            seen = spark.read.parquet(applied).filter(F.col("batch_id") == batch_id).count()
-        except Exception:  # noqa: BLE001 - no batch applied yet
-            seen = 0
-        if seen:
+        done = KS.read_versions(spark, meta).filter(F.col("batch_id").isNotNull())
+        last, shards = done.agg(F.max("batch_id"), F.max("dataset_config.num_shards")).first()
+        if last is not None and batch_id <= last:
             return
-        done = KS.read_versions(spark, meta)
-        state = done.agg(F.max("dataset_config.num_shards").alias("n")).first()["n"] or first_shard
-        kept, _ = H.shard_append(batch, per_shard, int(state), H.shuffle_key(seed))
-        kept = kept.drop("idx").persist()
-        kept.write.mode("overwrite").parquet(f"{root}/manifest/batch_id={batch_id}")
-        added = kept.select("shard_id").distinct().count()
-        KS.append_version(spark, meta, {"num_shards": int(state) + added, "shuffle": True,
-                                        "shuffle_seed": seed}, per_shard, True)
-        spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(applied)
-        kept.unpersist()
+        if last is not None:
+            left = spark.read.schema(batch.schema).parquet(f"{root}/remainder/batch_id={last}")
+            batch = batch.unionByName(left)
+        first = int(shards) if shards is not None else first_shard
+        kept, rest = H.shard_append(batch, per_shard, first, H.shuffle_key(seed))
+        kept.drop("idx").write.mode("overwrite").parquet(f"{root}/manifest/batch_id={batch_id}")
+        rest.drop("idx").write.mode("overwrite").parquet(f"{root}/remainder/batch_id={batch_id}")
+        added = spark.read.parquet(f"{root}/manifest/batch_id={batch_id}").select("shard_id").distinct().count()
+        KS.append_version(spark, meta, {"num_shards": first + added, "shuffle": True, "shuffle_seed": seed},
+                          per_shard, True, batch_id)
 
     q = (df.writeStream.foreachBatch(append)
          .option("checkpointLocation", scratch_path(spark, "ckpt"))
