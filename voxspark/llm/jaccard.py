@@ -417,8 +417,10 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     for step, best in enumerate((True, True, False)):
         some = _crowded(hot, sets, found, num, den, block, best)
         some = some if step else some.union(pairs).distinct()
-        edges = edges.union(written(_verified(some, sets, num, den), "more"))
-        if best:
+        more = written(_verified(some, sets, num, den), "more")
+        new = bool(more.take(1))
+        edges = edges.union(more) if new else edges
+        if best and new:
             found = components(edges).toDF("cls", "comp")
     return members, edges
 
