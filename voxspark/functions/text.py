@@ -1,5 +1,6 @@
 """Transcript cleaning, punctuation-free normalisation and word distance as Column
-expressions (SCL1-SCL13).  Everything except NFKC stays inside whole-stage codegen.
+expressions (SCL1-SCL13).  NFKC and the coding of words to code points run in Arrow
+UDFs; everything else stays inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -7,7 +8,10 @@ from __future__ import annotations
 import functools
 import unicodedata
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -149,29 +153,45 @@ def raw_words(c) -> Column:
     return words(squeeze_ws(F.coalesce(_col(c), F.lit(""))))
 
 
-def _code_point(i: int) -> str:
-    cp = 256 + i
-    return chr(cp + 0x800 if cp >= 0xD800 else cp)   # skip the surrogate block
+@F.arrow_udf(T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())]))
+def _encode_pair(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Two word arrays -> two strings with the same edit distance, a code point a word.
 
-
-@F.pandas_udf(T.StructType([T.StructField("a", T.StringType()),
-                             T.StructField("b", T.StringType())]))
-def _encode_pair(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    """Dictionary-encode a pair of word arrays: each distinct word of the pair becomes
-    one code point (about 1.1M distinct words a pair at most)."""
+    One dictionary encodes the words of the batch.  Within a pair the common start and end
+    go (they cost no edits), words of one side only share one code a side (they equal
+    nothing of the other), and the words of both sides are numbered from 258."""
+    flat_a, flat_b = a.flatten(), b.flatten()
+    code = pa.concat_arrays([flat_a, flat_b]).dictionary_encode().indices.to_numpy()
+    sides = []
+    for arr, c in ((a, code[:len(flat_a)]), (b, code[len(flat_a):])):
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(arr), 0).to_numpy(zero_copy_only=False))
+        sides.append(np.split(c, ends[:-1]) if len(arr) else [])
     out_a, out_b = [], []
-    for x, y in zip(a, b):
-        codes: dict = {}
-        for ws, out in ((x, out_a), (y, out_b)):
-            if ws is None:
-                out.append(None)
-                continue
-            out.append("".join(_code_point(codes.setdefault(w, len(codes))) for w in ws))
-    return pd.DataFrame({"a": out_a, "b": out_b})
+    for x, y in zip(*sides):
+        n = min(len(x), len(y))
+        differ = np.flatnonzero(x[:n] != y[:n])
+        start = differ[0] if len(differ) else n
+        x, y = x[start:], y[start:]
+        n = min(len(x), len(y))
+        differ = np.flatnonzero(x[len(x) - n:][::-1] != y[len(y) - n:][::-1])
+        end = differ[0] if len(differ) else n
+        x, y = x[:len(x) - end], y[:len(y) - end]
+        both = np.intersect1d(x, y)
+        for side, only, out in ((x, 256, out_a), (y, 257, out_b)):
+            at = np.searchsorted(both, side)
+            hit = np.zeros(len(side), bool)
+            if len(both):
+                hit = both[np.minimum(at, len(both) - 1)] == side
+            points = np.where(hit, at + 258, only)
+            points = np.where(points >= 0xD800, points + 0x800, points)     # skip the surrogate block
+            out.append(points.astype("<u4").tobytes().decode("utf-32-le"))
+    empty = pc.or_(a.is_null(), b.is_null())
+    return pa.StructArray.from_arrays([pa.array(out_a, pa.string()), pa.array(out_b, pa.string())], ["a", "b"], mask=empty)
 
 
 def word_codes(a, b) -> Column:
-    """Struct ``(a, b)`` of code strings for two word arrays (see ``word_distance``)."""
+    """Struct ``(a, b)`` of code strings for two word arrays (see ``word_distance``); null if
+    one of them is."""
     return _encode_pair(_col(a), _col(b))
 
 
@@ -204,4 +224,4 @@ def wer_text(c) -> Column:
     """SCL13: ``"%.4f (%.1f%%)"`` rendering (inf -> 'inf')."""
     c = _col(c)
     return F.when(c == float("inf"), F.lit("inf")).otherwise(
-        F.format_string("%.4f (%.1f%%)", c, c * 100))
+        F.format_string("%.4f (%.1f%%)", F.bround(c, 4), F.bround(c * 100, 1)))

@@ -55,6 +55,18 @@ def str3_stream_wer(spark, sf):
     return spark.read.parquet(out).select("split", "edits", "words", "rows", F.round("wer", 6).alias("wer"))
 
 
+@query("str3_stream_wer_turns", covers=("STR3", "AGG1"),
+       sql=f"""{V.sql_turn_edits()} SELECT role, CAST(sum(edits) AS BIGINT) AS edits, CAST(sum(words) AS BIGINT) AS words,
+       count(*) AS rows, CASE WHEN sum(words) = 0 THEN CAST('inf' AS DOUBLE) ELSE round(sum(edits) / sum(words), 6) END AS wer
+FROM scored WHERE kind = 'np' GROUP BY role""")
+def str3_stream_wer_turns(spark, sf):
+    src = _arriving(spark, V.v_turn_pairs(spark, sf))
+    s = (spark.readStream.schema("role string, prediction string, reference string")
+         .option("maxFilesPerTrigger", 1).json(src))
+    out = ST.run_complete(ST.stream_wer(s, ["role"]), scratch_path(spark, "str3t"))
+    return spark.read.parquet(out).select("role", "edits", "words", "rows", F.round("wer", 6).alias("wer"))
+
+
 @query("str4_stream_append", covers=("STR4", "WIN2", "SNK6"),
        sql=f"""{MANIFEST},
 n AS (SELECT count(*) FILTER (split = 'train') // 10 AS per, count(*) FILTER (split <> 'train') AS new FROM v_manifest)

@@ -94,6 +94,40 @@ def agg2_wer_merged(spark, sf):
     return tot.withColumn("wer", r6(W.wer_value(F.col("edits"), F.col("words"))))
 
 
+WER_SQL = "CASE WHEN sum(words) = 0 THEN CAST('inf' AS DOUBLE) ELSE round(sum(edits) / sum(words), 6) END"
+SUMS = f"CAST(sum(edits) AS BIGINT) AS edits, CAST(sum(words) AS BIGINT) AS words, count(*) AS rows, {WER_SQL} AS wer"
+
+
+@query("agg1_wer_turns", covers=("AGG1", "SCL12"),
+       sql=f"{V.sql_turn_edits()} SELECT role, {SUMS} FROM scored WHERE kind = 'np' GROUP BY role")
+def agg1_wer_turns(spark, sf):
+    out = W.wer(W.score_pairs(V.v_turn_pairs(spark, sf)), by=["role"])
+    return out.withColumn("wer", r6("wer"))
+
+
+@query("agg2_wer_merged_turns", covers=("AGG2",),
+       sql=f"{V.sql_turn_edits()} SELECT {SUMS} FROM scored WHERE kind = 'np'")
+def agg2_wer_merged_turns(spark, sf):
+    part = W.wer(W.score_pairs(V.v_turn_pairs(spark, sf)), by=["role"])
+    tot = part.agg(*[F.sum(c).cast("long").alias(c) for c in ("edits", "words", "rows")])
+    return tot.withColumn("wer", r6(W.wer_value(F.col("edits"), F.col("words"))))
+
+
+@query("agg3_quality_report_turns", covers=("AGG3", "SCL12", "SCL13"),
+       sql=f"""{V.sql_turn_edits()},
+w AS (SELECT role, kind, count(*) AS samples,
+             CASE WHEN sum(words) = 0 THEN CAST('inf' AS DOUBLE) ELSE sum(edits) / sum(words) END AS wer FROM scored GROUP BY role, kind)
+SELECT a.role, a.samples, round(a.wer, 6) AS wer, round(b.wer, 6) AS wer_no_punct,
+       CASE WHEN isinf(b.wer) THEN 'inf' WHEN b.wer > 1.0 THEN 'critical' WHEN b.wer > 0.5 THEN 'very high'
+            WHEN b.wer > 0.3 THEN 'high' WHEN b.wer > 0.15 THEN 'medium' ELSE 'low' END AS band,
+       CASE WHEN isinf(b.wer) THEN 'inf' ELSE printf('%.4f (%.1f%%)', b.wer, b.wer * 100) END AS wer_no_punct_text
+FROM w a JOIN w b ON a.role IS NOT DISTINCT FROM b.role AND a.kind = 'raw' AND b.kind = 'np'""")
+def agg3_quality_report_turns(spark, sf):
+    rep = W.quality_report(V.v_turn_pairs(spark, sf), by=["role"])
+    return rep.select("role", "samples", r6("wer").alias("wer"), r6("wer_no_punct").alias("wer_no_punct"),
+                      "band", "wer_no_punct_text")
+
+
 @query("agg3_quality_report", covers=("AGG3", "SCL13"))
 def agg3_quality_report(spark, sf):
     rep = W.quality_report(V.v_pairs(spark, sf), by=["split"])

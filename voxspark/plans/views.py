@@ -161,6 +161,37 @@ V_PAIRS = f"""v_pairs AS (
   FROM v_manifest)"""
 
 
+# ---------------------------------------------------------------- v_turn_pairs
+def v_turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(utt_id, role, prediction, reference) of every turn of ``conversations``, by the same rule."""
+    c = table(spark, sf_dir, "conversations")
+    c = c.select(F.concat_ws("-", "conv_id", "turn").alias("utt_id"), "role", F.col("text").alias("reference"), X.no_punct("text").alias("np"),
+                 (F.col("conv_id") * 31 + F.col("turn")).alias("k"))
+    return c.select("utt_id", "role", "reference", prediction_text(X.words("np"), F.col("k")).alias("prediction"))
+
+
+def sql_turn_edits() -> str:
+    """WITH clause with ``scored`` (k, role, kind, edits, words): word edits of every turn, raw
+    and without punctuation, by one row of the distance table per reference word."""
+    sides = " UNION ALL ".join(
+        f"SELECT 2 * k + {n} AS k, role, '{kind}' AS kind, {f('prediction')} AS h, {f('reference')} AS r FROM v_turn_pairs"
+        for n, (kind, f) in enumerate([("raw", sql_raw_words), ("np", lambda e: sql_words(sql_no_punct(e)))]))
+    return f"""WITH RECURSIVE v_turn_pairs AS (
+  SELECT row_number() OVER () AS k, role, text AS reference,
+         {sql_prediction(sql_words(sql_no_punct('text')), '(conv_id * 31 + turn)')} AS prediction
+  FROM conversations),
+sides AS MATERIALIZED ({sides}),
+dp AS (
+  SELECT k, 0 AS i, range(len(h) + 1) AS d FROM sides
+  UNION ALL
+  SELECT k, i + 1, list_reduce(list_transform(range(1, len(h) + 1), lambda j: [j]),
+           lambda a, x: list_append(a, least(a[-1] + 1, d[x[1] + 1] + 1,
+                                             d[x[1]] + CASE WHEN h[x[1]] = r[i + 1] THEN 0 ELSE 1 END)),
+           [CAST(i + 1 AS BIGINT)])
+  FROM dp JOIN sides USING (k) WHERE i < len(r)),
+scored AS (SELECT k, role, kind, d[-1] AS edits, len(r) AS words FROM dp JOIN sides USING (k) WHERE i = len(r))"""
+
+
 # ---------------------------------------------------------------- v_keep (subset)
 def v_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subset manifest: the labelled documents, with their labels as custom fields."""
