@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxspark.session import scratch_dir, scratch_path
+from voxspark.session import scratch_path
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -39,33 +39,32 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     """Connected components of undirected ``edges`` as ``(id, component)``, component = the
     smallest id reachable.  Alternating large-star / small-star steps: every step is one
     min-aggregate (combined map-side) and one equi join, and the edge table never grows,
-    so a node with a third of all edges costs no more than its own rows.  Each round is cut
-    with ``checkpoint()``; the loop ends when no edge changes (O(log n) rounds in practice;
-    ``max_rounds`` only guards against a bug and raises).  Null ends and self loops are
-    ignored; no edges give no rows."""
-    scratch_dir(edges.sparkSession)      # makes sure that checkpoint() has a folder
-    def state(df: DataFrame):
-        # count, sum and xor of 64-bit hashes: equal for equal edge sets, in one small job
-        h = F.xxhash64("u", "v")
-        return df.agg(F.count("*"), F.sum(h.cast("decimal(20,0)")), F.bit_xor(h)).first()
+    so a node with a third of all edges costs no more than its own rows.  Each round is
+    written to the shared folder; the loop ends when the edges are stars, that is when no id
+    has two parents or is both parent and child (O(log n) rounds in practice; ``max_rounds``
+    only guards against a bug and raises).  Null ends and self loops are ignored; no edges
+    give no rows."""
+    def settled(df: DataFrame) -> bool:
+        ends = df.select(F.col("u").alias("x"), F.lit(1).alias("child"), F.lit(0).alias("parent")).union(
+            df.select("v", F.lit(0), F.lit(1)))
+        return not (ends.groupBy("x").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+                    .where("child > 1 or child + parent > 1").agg(F.count("*")).first()[0])
 
-    e = (edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
-         .where("u is not null and v is not null and u <> v")
-         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint())
-    now = state(e)
+    e = written(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
+                .where("u is not null and v is not null and u <> v")
+                .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     for _ in range(max_rounds):
+        if settled(e):
+            break
         both = e.union(e.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .where("u <> v").distinct())
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low2, "u").select(F.greatest("v", "u").alias("u0"), "v", "u", "m")
-                 .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
-                                           F.struct("u", F.col("m").alias("v")))).alias("x"))
-                 .select("x.u", "x.v").where("u <> v").distinct().checkpoint())
-        e, before, now = small, now, state(small)
-        if now == before:
-            break
+        e = written(large.join(low2, "u").select(F.greatest("v", "u").alias("u0"), "v", "u", "m")
+                    .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
+                                              F.struct("u", F.col("m").alias("v")))).alias("x"))
+                    .select("x.u", "x.v").where("u <> v").distinct(), "links")
     else:
         raise RuntimeError(f"components: no fixed point after {max_rounds} rounds")
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(

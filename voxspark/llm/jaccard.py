@@ -361,10 +361,11 @@ def _sketched(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, num: int = 85, den: int = 100,
-            crowd: int = CROWD, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(members, edges): ``members`` has id, key (hash of id and text), th (hash of the text), n (set
+            crowd: int = CROWD, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, edges, found): ``members`` has id, key (hash of id and text), th (hash of the text), n (set
     size) and cls for every row; ``edges`` links classes, enough of them to join all that are connected by pairs with
-    num / den Jaccard similarity or more, and only such pairs."""
+    num / den Jaccard similarity or more, and only such pairs; ``found`` names the component
+    of every class that has an edge, as (cls, comp)."""
     if not 0 < 2 * num <= 2 * den or num * RATIO < den:
         raise ValueError("the similarity must lie between 1 / RATIO and 1")
     src = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"),
@@ -418,11 +419,19 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
         some = _crowded(hot, sets, found, num, den, block, best)
         some = some if step else some.union(pairs).distinct()
         more = written(_verified(some, sets, num, den), "more")
-        new = bool(more.take(1))
-        edges = edges.union(more) if new else edges
-        if best and new:
-            found = components(edges).toDF("cls", "comp")
-    return members, edges
+        if more.take(1):
+            edges = edges.union(more)
+            found = _joined(found, more)
+    return members, edges, found
+
+
+def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
+    """``found`` after the edges ``more``: the components of components, one edge for each edge."""
+    ends = more.select(F.col("a").alias("cls")).union(more.select("b")).distinct()
+    nodes = written(found.join(ends, "cls", "full").select("cls", F.coalesce("comp", "cls").alias("comp")), "nodes")
+    a, b = nodes.toDF("a", "ca"), nodes.toDF("b", "cb")
+    up = components(more.join(a, "a").join(b, "b"), "ca", "cb").toDF("comp", "top")
+    return written(nodes.join(up, "comp", "left").select("cls", F.coalesce("top", "comp").alias("comp")), "found")
 
 
 def _crowded(hot: DataFrame, sets: DataFrame, found: DataFrame, num: int, den: int, block: int, best: bool) -> DataFrame:
@@ -444,8 +453,7 @@ def _crowded(hot: DataFrame, sets: DataFrame, found: DataFrame, num: int, den: i
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """One row per document: id, key, n_shingles, component_id (the smallest id reachable) and
     ``component``, a name of the group that also rows with null ids have (null: empty set)."""
-    members, edges = similar(docs, id_col, text_col, **params)
-    found = components(edges).toDF("cls", "comp")
+    members, _, found = similar(docs, id_col, text_col, **params)
     classes = members.where("n > 0").groupBy("cls").agg(F.min("id").alias("first")).join(found, "cls", "left") \
         .select("cls", "first", F.coalesce("comp", "cls").alias("comp"))
     low = classes.groupBy("comp").agg(F.min("first").alias("component_id"))
