@@ -45,15 +45,26 @@ def test_static_buckets_admit_max():
     assert r[0][0] == 0.0 and r[-1][1] > 10.0 and len(r) == 4
 
 
-def test_walk_and_cluster_lookups_agree(spark, monkeypatch):
+def test_zero_length_rows_are_outliers(spark):
     rnd = random.Random(9)
     rows = [(rnd.randint(1, 200) / 16.0, rnd.randint(0, 60)) for _ in range(400)]
-    df = spark.createDataFrame(rows, "duration double, tokens long")
-    local, _ = B.duration_bins_2d(df, 6, 3)
-    monkeypatch.setattr(B, "LOCAL_WALK_LIMIT", 0)
-    remote, _ = B.duration_bins_2d(df, 6, 3)
-    key = lambda d: [(r.max_duration, r.max_tokens, r.max_tps) for r in d.orderBy("bin_id").collect()]
-    assert key(local) == key(remote)
+    df = spark.createDataFrame(rows + [(0.0, 3), (0.0, 0)], "duration double, tokens long")
+    bins, stats = B.duration_bins_2d(df, 6, 3)
+    assert all(r.max_tps < 1e9 for r in bins.collect())
+    first = stats.filter("bucket = 0").first()
+    assert first.outliers >= 2 and first.max_outlier_tps == float("inf")
+
+
+def test_describe_duration(spark):
+    import numpy as np
+    v = [1.0, 2.0, 2.0, 3.5, 10.0, 11.25, 40.0]
+    got = B.describe_duration(spark.createDataFrame([(x,) for x in v] + [(None,)], "duration double")).first()
+    assert (got["count"], got["min"], got["max"]) == (7, 1.0, 40.0)
+    assert abs(got["mean"] - np.mean(v)) < 1e-9 and abs(got["std"] - np.std(v, ddof=1)) < 1e-9
+    for name, p in B.PERCENTILES.items():
+        assert abs(got[name] - np.quantile(v, p)) < 1e-9
+    none = B.describe_duration(spark.createDataFrame([], "duration double")).first()
+    assert none["count"] == 0 and none["p50"] is None and none["std"] is None
 
 
 def test_parse_bins_and_limits(spark):

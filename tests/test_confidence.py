@@ -34,6 +34,18 @@ def test_metrics_match_formulas(spark):
     assert 0 <= m.ece <= 1 and m.nce is not None
 
 
+def test_null_group_and_free_scores(spark):
+    rnd = random.Random(6)
+    rows = {g: [(rnd.random(), int(rnd.random() < 0.5)) for _ in range(150)] for g in ("a", None)}
+    df = spark.createDataFrame([(g, s, y) for g, x in rows.items() for s, y in x], "g string, score double, correct int")
+    got = {r.g: r for r in C.confidence_metrics(df, ["g"]).collect()}
+    assert set(got) == {"a", None}
+    for g, x in rows.items():
+        auc, ap, yc, ymax, _ = _brute(x)
+        assert got[g].n == 150 and abs(got[g].auc_roc - auc) < 1e-9 and abs(got[g].auc_pr - ap) < 1e-9
+        assert abs(got[g].auc_yc - yc) < 1e-9 and abs(got[g].max_yc - ymax) < 1e-9
+
+
 def test_word_confidence_aggregations(spark):
     df = spark.createDataFrame([("u", 0, 0.5, 1), ("u", 0, 0.25, 1), ("u", 1, 0.0, 0)],
                                "utt_id string, word_id int, score double, correct int")

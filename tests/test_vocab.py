@@ -1,4 +1,8 @@
-"""Vocabulary invariants (TOK2-TOK8)."""
+"""Vocabularies: training against one merge at a time, encoding, invariants (TOK2-TOK9)."""
+import random
+from collections import Counter
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
@@ -6,6 +10,30 @@ from voxspark.operators import vocab as VO
 from voxspark.plans import views as V
 
 
+def _bpe(counts: dict[str, int], merges: int) -> list[str]:
+    """One merge at a time: the most frequent pair, ties by symbols."""
+    words = {w: [VO.WORD_START, *w] for w in counts}
+    out = []
+    while len(out) < merges:
+        pairs = Counter()
+        for w, s in words.items():
+            for p in zip(s, s[1:]):
+                pairs[p] += counts[w]
+        if not pairs:
+            break
+        a, b = min(pairs, key=lambda p: (-pairs[p], p))
+        if a + b not in out:
+            out.append(a + b)
+        for w, s in words.items():
+            i, new = 0, []
+            while i < len(s):
+                two = s[i:i + 2] == [a, b]
+                new.append(a + b if two else s[i])
+                i += 2 if two else 1
+            words[w] = new
+    return out
+
+
 def test_bpe_invariants(spark):
     texts = VO.vocab_corpus([V.v_manifest(spark, SF)])
     v = VO.train_subwords(texts, 120, coverage=1.0, merges_per_round=8)
@@ -21,6 +49,42 @@ def test_bpe_invariants(spark):
     assert enc >= words                      # at least one piece per word
 
 
+def test_bpe_is_one_merge_at_a_time(spark):
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("aabcde") for _ in range(rnd.randint(1, 7))) for _ in range(150)]
+    text = " ".join(rnd.choice(words) for _ in range(900))
+    counts = Counter(text.split())
+    base = 2 + len(set(text) - {" "})
+    v = VO.train_subwords(spark.createDataFrame([(text,)], "text string"), base + 30)
+    assert [r.piece for r in v.orderBy("id").collect()][1:31] == _bpe(counts, 30)
+
+
+def test_wordpiece_ranks_by_count(spark):
+    df = spark.createDataFrame([("abab ab ab ab zq",)], "text string")
+    v = VO.train_subwords(df, len(VO.WPE_SPECIALS) + 8 + 2, wordpiece=True)
+    assert [r.piece for r in v.orderBy("id").collect()][5:7] == ["ab", "##ab"]
+
+
+def test_specials_and_sizes(spark):
+    df = spark.createDataFrame([("ab <x> ab",)], "text string")
+    sp = VO.special_pieces(pad="<pad>", bos="<s>", eos="</s>", control=("<c>",), user=("<x>",))
+    assert sp == ["<pad>", "<unk>", "<s>", "</s>", "<c>", "<x>"]
+    v = VO.train_subwords(df, 14, specials=sp, user=("<x>",))
+    pieces = [r.piece for r in v.orderBy("id").collect()]
+    assert pieces[:6] == sp and "ab" in pieces or "▁a" in pieces
+    assert not any("<x" in p or "x>" in p for p in pieces[6:])
+    with pytest.raises(ValueError):
+        VO.train_subwords(df, 5, specials=sp)
+
+
+def test_encode_rows(spark):
+    vocab = spark.createDataFrame([("<unk>", 0.0), ("▁a", -1.0), ("ab", -0.5), ("▁", -9.0), ("a", -9.0), ("b", -9.0)],
+                                  "piece string, score double")
+    df = spark.createDataFrame([("1", "ab a?b"), ("2", ""), ("3", None)], "utt_id string, text string")
+    got = {r.utt_id: (r.pieces, r.text_tokens) for r in VO.encode(df, vocab).collect()}
+    assert got == {"1": (["▁", "ab", "▁a", "<unk>", "b"], 5), "2": ([], 0), "3": ([], 0)}
+
+
 def test_wordpiece_text_rule(spark):
     df = spark.createDataFrame([("<unk>",), ("▁",), ("▁ab",), ("cd",)], "p string")
     got = [r.w for r in df.select(VO.wordpiece_text(F.col("p")).alias("w")).collect()]

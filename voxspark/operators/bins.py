@@ -61,31 +61,6 @@ def _next_boundaries(cells: DataFrame, group: str, state: dict, w: str, value: s
     return {r[group]: (r["b"]["i"], r["b"]["s"], r["b"]["v"]) for r in best}
 
 
-# Most histogram cells a walk may fetch in one job before falling back to per-boundary
-# lookups on the cluster.
-LOCAL_WALK_LIMIT = 500_000
-
-
-def _walk(cells: list, share: float, max_rounds: int) -> list:
-    """Sequential walk over cells in order (same arithmetic as the distributed lookup)."""
-    out, sb, j = [], 0.0, 0
-    while j < len(cells) and len(out) < max_rounds:
-        r0, p0, c, w, v = cells[j]
-        if p0 + (c - 1) * w - sb > share:
-            if p0 - sb > share:
-                k = 0
-            else:
-                k = math.floor((share + sb - p0) / w) + 1
-                if k >= 1 and p0 + (k - 1) * w - sb > share:
-                    k -= 1
-            if k < c:
-                out.append((int(r0 + k), v))
-                sb = p0 + k * w
-                continue                       # a cell may hold several boundaries
-        j += 1
-    return out
-
-
 def resetting_boundaries(cells: DataFrame, group: str, shares: dict, w: str, value: str,
                          max_rounds: int) -> dict:
     """All boundaries of the resetting cumulative sum per group.
@@ -94,9 +69,8 @@ def resetting_boundaries(cells: DataFrame, group: str, shares: dict, w: str, val
     walk order).  Returns {group: [(row index, boundary value), ...]}.
 
     The k-th boundary's mass-before lies in ``(k*share, k*(share + wmax)]`` (each bin
-    overshoots its share by less than one row), so one job selects just the cells that
-    overlap those windows; if that slice is within ``LOCAL_WALK_LIMIT`` cells it is
-    walked in order, else each boundary is one lookup job on the cluster."""
+    overshoots its share by less than one row), so only the cells that overlap those windows
+    are kept, cached on the cluster, and each boundary is one lookup job over them."""
     wmax = cells.agg(F.max(w)).first()[0] or 0.0
     groups = sorted(shares)
     sh = F.create_map(*[x for g in groups for x in (F.lit(g), F.lit(float(shares[g])))])
@@ -105,26 +79,17 @@ def resetting_boundaries(cells: DataFrame, group: str, shares: dict, w: str, val
     hi_k = F.floor((F.col("P0") + F.col("c") * F.col(w) + F.lit(float(wmax))) / s_)
     near = cells.filter(F.col(group).isin(groups) & (s_ > 0)
                         & (F.greatest(lo_k, F.lit(1)) <= F.least(hi_k, F.lit(max_rounds))))
-    near = near.select(group, "R0", "P0", "c", F.col(w).cast("double").alias("_w"),
-                       F.col(value).alias("_v"))
-    rows = near.orderBy(group, "R0").limit(LOCAL_WALK_LIMIT + 1).collect()   # size-checked
-    if len(rows) <= LOCAL_WALK_LIMIT:
-        out = {g: [] for g in groups}
-        by_group: dict = {}
-        for r in rows:
-            by_group.setdefault(r[group], []).append((r["R0"], r["P0"], r["c"], r["_w"], r["_v"]))
-        for g in groups:
-            out[g] = _walk(by_group.get(g, []), float(shares[g]), max_rounds)
-        return out
+    near = near.select(group, "R0", "P0", "c", *dict.fromkeys([w, value])).persist(StorageLevel.MEMORY_AND_DISK)
     state = {g: (0.0, s) for g, s in shares.items()}
     out = {g: [] for g in shares}
     for _ in range(max_rounds):
         if not state:
             break
-        found = _next_boundaries(cells, group, state, w, value, wmax)
+        found = _next_boundaries(near, group, state, w, value, wmax)
         state = {g: (found[g][1], state[g][1]) for g in state if g in found}
         for g, (i, _, v) in found.items():
             out[g].append((int(i), v))
+    near.unpersist()
     return out
 
 
@@ -197,14 +162,16 @@ def duration_bins_2d(df: DataFrame, num_buckets: int, num_subbuckets: int,
               .withColumn("c", F.col("b") - F.col("a")).filter(F.col("c") > 0)
               .withColumn("tps", _tps(F.col("t"), F.col("d"))))
 
-    # FLT7: z-score of TPS per bucket (population sigma, upper side only; sigma 0 keeps all)
-    mom = pieces.groupBy("bucket").agg((F.sum(F.col("tps") * F.col("c")) / F.sum("c")).alias("mu"))
-    dev = pieces.join(F.broadcast(mom), "bucket")
-    sig = dev.groupBy("bucket").agg(
+    # FLT7: z-score of TPS per bucket (population sigma, upper side only; sigma 0 keeps all); the
+    # moments are of finite TPS, a zero-length row is an outlier
+    finite = F.col("tps") < F.lit(math.inf)
+    mom = pieces.filter(finite).groupBy("bucket").agg((F.sum(F.col("tps") * F.col("c")) / F.sum("c")).alias("mu"))
+    dev = pieces.join(F.broadcast(mom), "bucket", "left")
+    sig = dev.filter(finite).groupBy("bucket").agg(
         F.sqrt(F.sum(F.pow(F.col("tps") - F.col("mu"), 2) * F.col("c")) / F.sum("c")).alias("sigma"))
-    z = (F.col("tps") - F.col("mu")) / F.col("sigma")
-    tagged = (dev.join(F.broadcast(sig), "bucket")
-              .withColumn("keep", (F.col("sigma") == 0) | F.col("sigma").isNull() | (z <= threshold))
+    z = F.try_divide(F.col("tps") - F.col("mu"), F.col("sigma"))
+    tagged = (dev.join(F.broadcast(sig), "bucket", "left")
+              .withColumn("keep", finite & F.coalesce((F.col("sigma") == 0) | (z <= threshold), F.lit(True)))
               .persist(StorageLevel.MEMORY_AND_DISK))
     stats = tagged.groupBy("bucket").agg(
         F.min(F.when(F.col("keep"), F.col("t"))).alias("min_tokens"),
@@ -230,7 +197,7 @@ def duration_bins_2d(df: DataFrame, num_buckets: int, num_subbuckets: int,
     st = {r["bucket"]: r for r in stats.collect()}          # one row per bucket
     bins = []
     for b in range(nb):
-        if b not in st:
+        if b not in st or st[b]["max_tokens"] is None:      # nothing kept
             continue
         for _, v in sub.get(b, []):
             bins.append((b, float(maxdur[b]), int(v), float(st[b]["max_tps"])))
@@ -302,19 +269,37 @@ def assign_static_bucket(df: DataFrame, ranges: list[tuple[float, float]],
     return df.withColumn("bucket", F.get(hits, 0)["i"].cast("int"))
 
 
+# The percentiles of the description.
+PERCENTILES = {"p01": 0.01, "p05": 0.05, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9,
+               "p95": 0.95, "p99": 0.99, "p995": 0.995, "p999": 0.999}
+
+
 def describe_duration(df: DataFrame, dur: str = "duration", exact: bool = True) -> DataFrame:
-    """AGG8: count, mean, sample std, min, 11 percentiles (linear), max.  Exact
-    ``percentile`` keeps a value->count map (bounded by distinct durations);
-    ``exact=False`` uses ``percentile_approx`` for unbounded value domains."""
-    ps = [0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 0.995, 0.999]
-    d = F.col(dur)
-    pct = F.percentile(d, F.array(*[F.lit(p) for p in ps])) if exact else \
-        F.percentile_approx(d, F.array(*[F.lit(p) for p in ps]), 100000)
-    out = df.agg(F.count(d).alias("count"), F.avg(d).alias("mean"), F.stddev_samp(d).alias("std"),
-                 F.min(d).alias("min"), pct.alias("_p"), F.max(d).alias("max"))
-    names = ["p01", "p05", "p10", "p25", "p50", "p75", "p90", "p95", "p99", "p995", "p999"]
-    return out.select("count", "mean", "std", "min",
-                      *[F.col("_p")[i].alias(nm) for i, nm in enumerate(names)], "max")
+    """AGG8: count, mean, sample std, min, 11 percentiles (linear), max of the lengths that are
+    not null.  Percentiles are looked up by rank in the histogram's running counts, exact and
+    spread over tasks, however many distinct lengths there are; ``exact=False`` takes
+    ``percentile_approx`` in one pass."""
+    if not exact:
+        d = F.col(dur)
+        return df.agg(F.count(d).alias("count"), F.avg(d).alias("mean"), F.stddev_samp(d).alias("std"), F.min(d).alias("min"),
+                      *[F.percentile_approx(d, p, 100000).alias(name) for name, p in PERCENTILES.items()], F.max(d).alias("max"))
+    cells = _cells(df.select(F.col(dur).cast("double").alias("d")).filter("d is not null"), ["d"], "d")
+    n, total = cells.agg(F.sum("c"), F.sum(F.col("d") * F.col("c"))).first()
+    n = n or 0
+    mean = total / n if n else None
+    d, c, r0 = F.col("d"), F.col("c"), F.col("R0")
+
+    def at(rank: int) -> Column:
+        return F.max(F.when((r0 <= F.lit(rank)) & (r0 + c > F.lit(rank)), d))
+
+    cols = []
+    for name, p in PERCENTILES.items():
+        pos = p * max(n - 1, 0)
+        lo = int(pos)
+        cols.append((at(lo) + (at(min(lo + 1, max(n - 1, 0))) - at(lo)) * F.lit(pos - lo)).alias(name))
+    std = F.sqrt(F.sum(F.pow(d - F.lit(mean), 2) * c) / F.lit(float(n - 1))) if n > 1 else F.lit(None)
+    return cells.agg(F.coalesce(F.sum(c), F.lit(0)).alias("count"), F.lit(mean).cast("double").alias("mean"),
+                     std.cast("double").alias("std"), F.min(d).alias("min"), *cols, F.max(d).alias("max"))
 
 
 def bin_limits(bins: DataFrame, ratio: int = 12, rate: int = 16000) -> DataFrame:

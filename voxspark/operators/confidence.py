@@ -19,6 +19,7 @@ Pinned formulas (the reference names the metrics only):
 from __future__ import annotations
 
 import itertools
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.naming import experiment_name
+from .index import running_sums
 
 # Fixed values.
 EPS = 1e-15
@@ -59,9 +61,16 @@ def grid(params: dict[str, list]) -> list[dict]:
     return [dict(zip(keys, vals)) for vals in itertools.product(*[params[k] for k in keys])]
 
 
+def _same(a: DataFrame, b: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, a null key being a key like any other."""
+    b = b.withColumnsRenamed({k: f"_r_{k}" for k in by})
+    on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in by])
+    return a.join(b, on, how).drop(*[f"_r_{k}" for k in by])
+
+
 def confidence_metrics(df: DataFrame, by: list[str], score: str = "score",
                        correct: str = "correct") -> DataFrame:
-    """AGG15-AGG20 per group of ``by``.
+    """AGG15-AGG20 per group of ``by`` (a null key is a group).
 
     The rows are read once, into a histogram ``(group, score) -> (pos, neg)``; every
     metric is derived from that histogram, whose size is bounded by the number of
@@ -81,13 +90,17 @@ def confidence_metrics(df: DataFrame, by: list[str], score: str = "score",
     base = base.withColumn("nce", F.when((F.col("P") > 0) & (F.col("P") < F.col("n")),
                                          (h + F.col("_lls") / F.col("n")) / h)).drop("_lls")
 
-    asc = Window.partitionBy(*by).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    desc = Window.partitionBy(*by).orderBy(s.desc()).rowsBetween(Window.unboundedPreceding, 0)
-    r = (hist.withColumn("neg_below", F.coalesce(F.sum("neg").over(asc), F.lit(0)))
-             .withColumn("tp", F.sum("pos").over(desc))
-             .withColumn("fp", F.sum("neg").over(desc))
-             .withColumn("tn_inv", F.coalesce(F.sum("neg").over(asc), F.lit(0)) + F.col("neg"))
-             .withColumn("fn_inv", F.coalesce(F.sum("pos").over(asc), F.lit(0)) + F.col("pos")))
+    # sums up to every score over the whole (group, score) order, less the group's start: a
+    # group of many distinct scores is spread over tasks
+    run = running_sums(hist, [*by, "s"], {"_cp": "pos", "_cn": "neg"})
+    first = run.groupBy(*by).agg(F.min(F.col("_cp") - F.col("pos")).alias("_p0"), F.min(F.col("_cn") - F.col("neg")).alias("_n0"))
+    r = _same(run, _same(base.select(*by, "n", "P"), first, by), by)
+    below = F.col("_cp") - F.col("pos") - F.col("_p0")
+    r = (r.withColumn("neg_below", F.col("_cn") - F.col("neg") - F.col("_n0"))
+          .withColumn("tp", F.col("P") - below)
+          .withColumn("fp", F.col("n") - F.col("P") - F.col("neg_below"))
+          .withColumn("tn_inv", F.col("neg_below") + F.col("neg"))
+          .withColumn("fn_inv", below + F.col("pos")))
     ranks = r.groupBy(*by).agg(
         F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))).alias("_mw"),
         F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("_ap"),
@@ -105,15 +118,16 @@ def confidence_metrics(df: DataFrame, by: list[str], score: str = "score",
     step = F.least(F.floor(s * YC_STEPS), F.lit(YC_STEPS)).cast("int")
     yh = hist.groupBy(*by, step.alias("t")).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_q"))
     dense = base.select(*by, F.explode(F.sequence(F.lit(0), F.lit(YC_STEPS))).alias("t"))
-    yd = dense.join(yh, [*by, "t"], "left").fillna(0, subset=["_p", "_q"])
+    yd = _same(dense, yh, [*by, "t"], "left").fillna(0, subset=["_p", "_q"])
+    # 101 rows a group
     top = Window.partitionBy(*by).orderBy(F.col("t").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    yd = (yd.withColumn("_tp", F.sum("_p").over(top)).withColumn("_fp", F.sum("_q").over(top))
-            .join(base.select(*by, "n", "P"), by))
+    yd = yd.withColumn("_tp", F.sum("_p").over(top)).withColumn("_fp", F.sum("_q").over(top))
+    yd = _same(yd, base.select(*by, "n", "P"), by)
     j = F.try_divide(F.col("_tp"), F.col("P")) - F.try_divide(F.col("_fp"), F.col("n") - F.col("P"))
     yc = yd.withColumn("_j", j).groupBy(*by).agg(
         F.avg("_j").alias("auc_yc"), F.stddev_pop("_j").alias("std_yc"), F.max("_j").alias("max_yc"))
 
-    out = base.join(ranks, by).join(ece, by).join(yc, by)
+    out = _same(_same(_same(base, ranks, by), ece, by), yc, by)
     neg = F.col("n") - F.col("P")
     return out.select(
         *by, "n",
@@ -126,13 +140,17 @@ def confidence_metrics(df: DataFrame, by: list[str], score: str = "score",
 
 def evaluate_grid(tokens: DataFrame, word_keys: list[str], score: str = "score",
                   correct: str = "correct", extra_by: list[str] | None = None,
-                  params: dict[str, list] | None = None) -> DataFrame:
+                  params: dict[str, list] | None = None, blank: bool = False, duration: bool = False,
+                  method: str = "max_prob", alpha: float = 0.33) -> DataFrame:
     """JOIN7 + JOIN8: every grid point of ``params`` (lists of ``aggregation`` and
-    ``target_level``) over the whole data set in one job.  The grid is a short driver
-    list; each point becomes a group key of the unpivoted units, never a join with the
-    data.  Token level does not depend on the aggregation (it is reported as '-')."""
+    ``target_level``; another axis is an error) over the whole data set in one job.  The grid is
+    a short driver list; each point becomes a group key of the unpivoted units, never a join
+    with the data.  Token level does not depend on the aggregation (it is reported as '-').
+    ``blank``, ``duration``, ``method`` and ``alpha`` say how the scores were made."""
     by = extra_by or []
     params = params or {"aggregation": AGGREGATIONS, "target_level": ["token", "word"]}
+    if set(params) != {"aggregation", "target_level"}:
+        raise ValueError(f"the grid has the axes aggregation and target_level, not {sorted(params)}")
     points = grid(params)
     word_aggs = sorted({p["aggregation"] for p in points if p["target_level"] == "word"},
                        key=AGGREGATIONS.index)
@@ -149,17 +167,18 @@ def evaluate_grid(tokens: DataFrame, word_keys: list[str], score: str = "score",
     both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     m = confidence_metrics(both, [*by, "aggregation", "target_level"], score, correct)
     return m.withColumn("experiment", experiment_name(
-        F.col("aggregation"), F.lit(False), F.lit(False), F.lit("max_prob"), F.lit(0.33)))
+        F.col("aggregation"), F.lit(blank), F.lit(duration), F.lit(method), F.lit(alpha)))
 
 
 def report(metrics: DataFrame, model_type: str = "CTC", method: str = "max_prob",
-           alpha: float = 0.33) -> DataFrame:
+           alpha: float = 0.33, blank: bool = False, duration: bool = False,
+           entropy_type: str = "-", entropy_norm: str = "-") -> DataFrame:
     """SNK7: the 17 report columns (entropy fields '-' for non-entropy methods)."""
     return metrics.select(
         F.lit(model_type).alias("model_type"), F.col("aggregation"),
-        F.lit("False").alias("blank"), F.lit("False").alias("duration"),
-        F.lit(method).alias("method_name"), F.lit("-").alias("entropy_type"),
-        F.lit("-").alias("entropy_norm"), F.lit(str(alpha)).alias("alpha"),
+        F.lit(str(blank)).alias("blank"), F.lit(str(duration)).alias("duration"),
+        F.lit(method).alias("method_name"), F.lit(entropy_type).alias("entropy_type"),
+        F.lit(entropy_norm).alias("entropy_norm"), F.lit(str(alpha)).alias("alpha"),
         "target_level", "auc_roc", "auc_pr", "auc_nt", "nce", "ece", "auc_yc", "std_yc", "max_yc")
 
 

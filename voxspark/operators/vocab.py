@@ -2,13 +2,13 @@
 
 Training runs on the distributed word-frequency table (one row per distinct word), so
 the corpus is read once; each merge round is a pair count (``explode`` + ``groupBy``)
-and an array rewrite.  Several merges whose symbols are disjoint are taken per round
-(H-4), so the number of Spark jobs is vocab_size / merges_per_round, not vocab_size.
-No claim of equality with an external trainer is made; invariants are tested.
+and an array rewrite.  A round takes several merges (H-4) as far as one count proves them
+to be those of one merge at a time, which the tests compare.
 """
 
 from __future__ import annotations
 
+import heapq
 from functools import reduce
 
 import pandas as pd
@@ -115,77 +115,110 @@ def _alphabet(words: DataFrame, coverage: float) -> list[str]:
     return [r["piece"] for r in kept.orderBy(F.col("count").desc(), "piece").collect()]
 
 
+def special_pieces(pad: str | None = None, unk: str = UNK, bos: str | None = None, eos: str | None = None,
+                   control: tuple[str, ...] = (), user: tuple[str, ...] = ()) -> list[str]:
+    """The pieces before the trained ones: padding, unknown, start and end where given, then
+    control symbols (never in texts), then user-defined ones (kept whole in texts)."""
+    return list(dict.fromkeys([p for p in (pad, unk, bos, eos) if p] + list(control) + list(user)))
+
+
+def _provable_merges(cand: list, full: bool, limit: int, known: set[str], piece) -> list[tuple[str, str]]:
+    """The next merges of one-at-a-time training, in its order, as far as one ranking of the
+    pairs (``cand``, best first; ``full``: no pair is missing) proves them.
+
+    Merging (a, b) lowers only pairs that start with b or end with a, and makes pairs of at
+    most ``min(n(a, b), max n(b, *))`` and ``min(n(a, b), max n(*, a))``.  The next ranked pair
+    follows if it is none of the lowered ones and strictly above everything made so far; the
+    first that does not qualify ends the list.  A piece that exists already adds to the counts
+    of existing pairs, so such a merge goes alone."""
+    floor = 0 if full else cand[-1]["n"]
+    after, before = {}, {}
+    for r in cand:
+        after.setdefault(r["a"], r["n"])
+        before.setdefault(r["b"], r["n"])
+    chosen, firsts, seconds, made = [], set(), set(), 0
+    for r in cand:
+        a, b, n = r["a"], r["b"], r["n"]
+        seen = piece(a, b) in known
+        if chosen and (a in seconds or b in firsts or n <= made or seen):
+            break
+        chosen.append((a, b))
+        known.add(piece(a, b))
+        if seen or len(chosen) >= limit:
+            break
+        firsts.add(a)
+        seconds.add(b)
+        made = max(made, min(n, max(after.get(b, floor), before.get(a, floor))))
+    return chosen
+
+
 def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
-                   lower: bool = True, coverage: float = 1.0, max_piece_len: int = 16,
-                   split_digits: bool = False, merges_per_round: int = 16,
-                   min_pair_count: int = 2, specials: list[str] | None = None,
-                   checkpoint_every: int = 4) -> DataFrame:
+                   lower: bool = True, coverage: float = 1.0, max_piece_len: int | None = None,
+                   split_digits: bool = False, merges_per_round: int = 64,
+                   min_pair_count: int = 1, specials: list[str] | None = None,
+                   user: tuple[str, ...] = (), checkpoint_every: int = 8) -> DataFrame:
     """TOK2 (BPE, ``wordpiece=False``) / TOK3 (WordPiece): returns ``id, piece, score``.
 
-    BPE ranks pairs by count; WordPiece by count(ab) / (count(a) count(b)).  Characters
-    outside the coverage set, digits with ``split_digits`` and pieces longer than
-    ``max_piece_len`` never merge.  Specials come first (score 0), then merges in order
-    (score -rank), then the characters."""
+    Both take the most frequent pair (ties by symbols) and count anew; a round takes several
+    merges only where the result is provably that of one at a time, so ``merges_per_round``
+    never changes the vocabulary.  Characters outside the coverage set, digits with
+    ``split_digits``, ``user`` symbols and pieces longer than ``max_piece_len`` (None: no
+    limit) never merge.  Specials come first (score 0), then merges in order (score -rank),
+    then the characters.  A size below specials and characters is an error."""
     spark = texts.sparkSession
     scratch_dir(spark)                        # checkpoint dir set (shared on a cluster)
     words = word_freq(texts, lower).persist()
     alphabet = _alphabet(words, coverage)
+    split = chars(F.col("word"))
+    if user:
+        whole = "|".join(_re(u.lower() if lower else u) for u in sorted(user, key=len, reverse=True))
+        split = F.regexp_extract_all(F.col("word"), F.lit(f"(?s){whole}|."), 0)
     if wordpiece:
-        sym = F.transform(chars(F.col("word")), lambda c, i: F.when(i == 0, c).otherwise(
+        sym = F.transform(split, lambda c, i: F.when(i == 0, c).otherwise(
             F.concat(F.lit(WPE_CONT), c)))
     else:
-        sym = F.concat(F.array(F.lit(WORD_START)), chars(F.col("word")))
+        sym = F.concat(F.array(F.lit(WORD_START)), split)
     table = words.select(F.array_join(sym, " ").alias("seq"), "count").persist()
     specials = specials if specials is not None else (WPE_SPECIALS if wordpiece else [UNK])
+    specials = list(dict.fromkeys([*specials, *user]))
     base = [WORD_START] + alphabet if not wordpiece else \
         alphabet + [WPE_CONT + c for c in alphabet]
-    target = vocab_size - len(specials) - len(base)
+    target = vocab_size - len(set(specials) | set(base))
+    if target < 0:
+        raise ValueError(f"vocab_size {vocab_size} is below the {vocab_size - target} special pieces and characters")
     merges: list[str] = []
+    known = set(specials) | set(base)
+    fixed = [f for u in user for x in (u, u.lower()) for f in (x, WPE_CONT + x)]
 
-    allowed_arr = F.array(*[F.lit(c) for c in alphabet])
+    allowed = "".join("\\" + c if c in _META | {"-", "&", "~"} else c for c in alphabet)
 
     def mergeable() -> Column:
         """Pairs whose merged piece may exist: covered characters only, bounded length,
-        no digits when digits are split."""
+        no digits when digits are split, no user-defined symbol."""
         body = F.regexp_replace(F.concat("a", "b"), f"{WPE_CONT}|{WORD_START}", "")
-        ok = (F.length(body) <= max_piece_len) & F.forall(chars(body), lambda c: F.array_contains(allowed_arr, c))
+        ok = body.rlike(f"(?s)^[{allowed}]*$") if allowed else F.lit(False)
+        if max_piece_len is not None:
+            ok = ok & (F.length(body) <= max_piece_len)
         if split_digits:
             ok = ok & ~body.rlike("[0-9]")
-        return ok
+        return ok & ~F.col("a").isin(fixed) & ~F.col("b").isin(fixed) if fixed else ok
+
+    def piece(a: str, b: str) -> str:
+        return a + b.replace(WPE_CONT, "", 1) if wordpiece else a + b
 
-    rounds, prev = 0, None
+    rounds, prev, ranked = 0, None, merges_per_round * 8
     while len(merges) < target:
         pc = _pairs(table).filter((F.col("n") >= min_pair_count) & mergeable())
-        if wordpiece:
-            sc = (table.select(F.explode(F.split("seq", " ")).alias("x"), "count")
-                  .groupBy("x").agg(F.sum("count").alias("nx")))
-            pc = (pc.join(sc.withColumnRenamed("x", "a").withColumnRenamed("nx", "na"), "a")
-                    .join(sc.withColumnRenamed("x", "b").withColumnRenamed("nx", "nb"), "b")
-                    .withColumn("rank_score", F.col("n") / (F.col("na") * F.col("nb"))))
-        else:
-            pc = pc.withColumn("rank_score", F.col("n").cast("double"))
         # this job also fills the cache of the current table, so the previous one can go
-        cand = (pc.orderBy(F.col("rank_score").desc(), F.col("n").desc(), "a", "b")
-                .limit(merges_per_round * 8).collect())
+        cand = pc.orderBy(F.col("n").desc(), "a", "b").limit(ranked).collect()
         if prev is not None:
             prev.unpersist()
             prev = None
-        # pairs sharing a first (or a second) symbol never meet at one position; only a
-        # chain (a symbol second in one pair and first in another) would depend on order
-        chosen, firsts, seconds = [], set(), set()
-        for r in cand:
-            a, b = r["a"], r["b"]
-            if a in seconds or b in firsts or (a == b and (a in firsts or a in seconds)):
-                continue
-            chosen.append((a, b))
-            firsts.add(a)
-            seconds.add(b)
-            if len(chosen) >= min(merges_per_round, target - len(merges)):
-                break
-        if not chosen:
+        if not cand:
             break
-        for a, b in chosen:
-            merges.append(a + b.replace(WPE_CONT, "", 1) if wordpiece else a + b)
+        old = set(known)
+        chosen = _provable_merges(cand, len(cand) < ranked, min(merges_per_round, target - len(merges)), known, piece)
+        merges += [p for p in (piece(a, b) for a, b in chosen) if p not in old]
         rounds += 1
         # words merged into a single symbol yield no more pairs: drop them
         nxt = (table.withColumn("seq", _apply_merges(F.col("seq"), chosen, wordpiece))
@@ -256,38 +289,68 @@ def aggregate_vocab(vocabs: DataFrame, langs: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ encoding
-def encode_counts(texts: DataFrame, vocab: DataFrame, key: str = "utt_id",
-                  col: str = "text", lower: bool = True) -> DataFrame:
-    """TOK6: text tokens per row.  Each *distinct* word is encoded once by an Arrow UDF
-    (greedy highest-score merges, unknown characters -> <unk>) with the vocabulary
-    shipped in the closure (bounded by vocab_size); counts are joined back and summed."""
+MEMO = 200_000              # words a task remembers before it starts anew
+
+
+def _word_pieces(word: str, pieces: dict[str, float]) -> list[str]:
+    """Greedy highest-score merges (leftmost on ties) with a heap over linked symbols;
+    unknown characters -> <unk>, which never merge."""
+    syms: list = [c if c in pieces else UNK for c in WORD_START + word]
+    after, before = list(range(1, len(syms) + 1)), list(range(-1, len(syms) - 1))
+    heap: list = []
+
+    def offer(i: int) -> None:
+        j = after[i]
+        if j < len(syms) and UNK not in (syms[i], syms[j]) and (s := pieces.get(syms[i] + syms[j])) is not None:
+            heapq.heappush(heap, (-s, i, syms[i], syms[j]))
+
+    for i in range(len(syms) - 1):
+        offer(i)
+    while heap:
+        _, i, a, b = heapq.heappop(heap)
+        j = after[i]
+        if syms[i] != a or j >= len(syms) or syms[j] != b:
+            continue                            # one of the two has been merged since
+        syms[i], syms[j], after[i] = a + b, None, after[j]
+        if after[i] < len(syms):
+            before[after[i]] = i
+        offer(i)
+        if before[i] >= 0:
+            offer(before[i])
+    return [s for s in syms if s is not None]
+
+
+def encode(texts: DataFrame, vocab: DataFrame, key: str = "utt_id",
+           col: str = "text", lower: bool = True) -> DataFrame:
+    """TOK6: ``key, pieces, text_tokens`` of every row in one Arrow pass without a shuffle.  A
+    task encodes a word once and remembers it; the vocabulary travels in the closure
+    (bounded by its size).  Null and empty texts have no pieces."""
     pieces = {r["piece"]: r["score"] for r in vocab.select("piece", "score").collect()}
+    memo: dict[str, list[str]] = {}
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def encode(ws: pd.Series) -> pd.Series:
-        def one(w):
-            syms = [c if c in pieces else UNK for c in WORD_START + w]
-            while len(syms) > 1:
-                best, at = None, -1
-                for i in range(len(syms) - 1):
-                    s = pieces.get(syms[i] + syms[i + 1])
-                    if s is not None and (best is None or s > best):
-                        best, at = s, i
-                if best is None:
-                    break
-                syms[at:at + 2] = [syms[at] + syms[at + 1]]
-            return syms
-        return ws.map(one)
+    def encoded(rows: pd.Series) -> pd.Series:
+        def one(words):
+            out: list[str] = []
+            for w in words if words is not None else ():
+                got = memo.get(w)
+                if got is None:
+                    if len(memo) >= MEMO:
+                        memo.clear()
+                    got = memo[w] = _word_pieces(w, pieces)
+                out += got
+            return out
+        return rows.map(one)
 
     t = F.lower(F.col(col)) if lower else F.col(col)
-    # pre-aggregate occurrences per (row, word) before any shuffle by word
-    occ = (texts.select(key, F.explode(X.raw_words(t)).alias("word"))
-           .groupBy(key, "word").agg(F.count(F.lit(1)).alias("_n")))
-    enc = (occ.select("word").distinct()
-           .withColumn("pieces", encode(F.col("word")))
-           .select("word", F.size("pieces").alias("n_pieces")))
-    return (occ.join(enc, "word").groupBy(key)
-            .agg(F.sum(F.col("_n") * F.col("n_pieces")).cast("long").alias("text_tokens")))
+    out = texts.select(key, encoded(X.raw_words(F.coalesce(t, F.lit("")))).alias("pieces"))
+    return out.withColumn("text_tokens", F.size("pieces").cast("long"))
+
+
+def encode_counts(texts: DataFrame, vocab: DataFrame, key: str = "utt_id",
+                  col: str = "text", lower: bool = True) -> DataFrame:
+    """TOK6: text tokens per row."""
+    return encode(texts, vocab, key, col, lower).select(key, "text_tokens")
 
 
 def token_count(df: DataFrame, encoded: DataFrame, slots: Column, key: str = "utt_id") -> DataFrame:

@@ -129,11 +129,42 @@ def tok6_encode(spark, sf):
     return VO.encode_counts(V.v_manifest(spark, sf), _bpe(spark, sf))
 
 
-@query("tok9_token_count", covers=("TOK9", "SCL18"))
-def tok9_token_count(spark, sf):
-    m = V.v_manifest(spark, sf)
-    enc = VO.encode_counts(m, _bpe(spark, sf))
+def _counted(m, vocab):
     slots = N.prompt_slots(F.create_map(
         F.lit("source_lang"), F.concat(F.lit("<|"), "source_lang", F.lit("|>")),
         F.lit("target_lang"), F.concat(F.lit("<|"), "target_lang", F.lit("|>"))))
-    return VO.token_count(m, enc, slots).select("utt_id", "prompt_tokens", "text_tokens", "tokens")
+    return VO.token_count(m, VO.encode_counts(m, vocab), slots).select("utt_id", "prompt_tokens", "text_tokens", "tokens")
+
+
+@query("tok9_token_count", covers=("TOK9", "SCL18"))
+def tok9_token_count(spark, sf):
+    return _counted(V.v_manifest(spark, sf), _bpe(spark, sf))
+
+
+def _characters(spark, sf):
+    """A vocabulary of word start and covered characters: a word is its characters."""
+    cv = VO.char_vocab(_texts(spark, sf), COVERAGE).select("piece")
+    fixed = spark.createDataFrame([(VO.UNK,), (VO.WORD_START,)], "piece string")
+    return fixed.union(cv).withColumn("score", F.lit(0.0))
+
+
+CHAR_TOKENS_SQL = f"""WITH {CHAR_VOCAB_SQL},
+ps AS (SELECT map_from_entries(list(ROW(piece, 1))) AS m FROM cv),
+w AS (SELECT CAST(doc_id AS VARCHAR) AS utt_id, {V.sql_raw_words('lower(text)')} AS ws FROM documents),
+e AS (SELECT utt_id, flatten(list_transform(ws, lambda x: list_prepend('▁', list_transform(
+        regexp_extract_all(x, '(?s).'), lambda c: CASE WHEN len(m[c]) > 0 THEN c ELSE '<unk>' END)))) AS pieces FROM w, ps)"""
+
+
+@query("tok6_encode_chars", covers=("TOK6",),
+       sql=f"""{CHAR_TOKENS_SQL.replace('len(m[c]) > 0', 'map_contains(m, c)')}
+SELECT utt_id, array_to_string(pieces, ' ') AS pieces, CAST(len(pieces) AS BIGINT) AS text_tokens FROM e""")
+def tok6_encode_chars(spark, sf):
+    e = VO.encode(V.v_manifest(spark, sf), _characters(spark, sf))
+    return e.select("utt_id", F.array_join("pieces", " ").alias("pieces"), "text_tokens")
+
+
+@query("tok9_token_count_chars", covers=("TOK9", "SCL18"),
+       sql=f"""{CHAR_TOKENS_SQL.replace('len(m[c]) > 0', 'map_contains(m, c)')}
+SELECT utt_id, 2 AS prompt_tokens, CAST(len(pieces) AS BIGINT) AS text_tokens, 4 + CAST(len(pieces) AS BIGINT) AS tokens FROM e""")
+def tok9_token_count_chars(spark, sf):
+    return _counted(V.v_manifest(spark, sf), _characters(spark, sf))
