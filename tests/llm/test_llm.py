@@ -146,6 +146,17 @@ def test_sketches_never_rule_out_wrongly():
         assert jaccard._bits(x, y) <= len(np.setxor1d(a, b))
 
 
+def test_sketches_of_different_widths():
+    r = np.random.default_rng(2)
+    a = np.unique(r.integers(0, 2 ** 63, 600).astype(np.uint64))
+    x, y = (np.frombuffer(jaccard.sketch(v), np.uint64) for v in (a, a[:500]))
+    assert (len(x), len(y)) == (16, 8)
+    assert jaccard._bits(jaccard._folded(x, 8), jaccard._folded(y, 16)) <= 100
+    for size in (256, 257, 5000):
+        s = np.unique(r.integers(0, 2 ** 63, size).astype(np.uint64))
+        assert jaccard._bits(*[np.frombuffer(jaccard.sketch(v), np.uint64) for v in (s, s)]) == 0
+
+
 # 4 ---------------------------------------------------------------------------------------------------------------------
 def test_chat_layouts():
     table = chat.mappings()

@@ -13,8 +13,9 @@ Frequent entries.  An entry shared by more than ``crowd`` sets (a passage, a fam
 is not expanded.  A set that has no more units of empty segments and frequent entries than
 the slack covers is still found through another entry.  The other sets (members of dense
 families, mostly) are compared in blocks of bounded size within the entry's group, by parity
-sketches: 1024 bits, each flipped once per element, so two sketches differ in no more bits
-than the sets do in elements, and more bits than H rule a pair out for certain.  Sets whose
+sketches: about a bit an element, each flipped once per element that falls on it, so two
+sketches (the wider folded) differ in no more bits than the sets do in elements, and more
+bits than H rule a pair out for certain.  Sets whose
 partition leaves too many segments empty are partitioned anew under another seed.
 
 Equal sets are one class from the start.  Each class is first verified against the one
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from .common import components, written
 
 CROWD, BLOCK, LEVELS, RATIO = 32, 512, 3, 1.7
-SKETCH = 1024
+SKETCH = 256                    # fewest bits of a sketch
 BROADCAST_ROWS = 300_000
 U = np.uint64
 _M1, _M2, _G = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0x9E3779B97F4A7C15)
@@ -168,9 +169,24 @@ def entries(s: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray, np.
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """Parity of the elements that fall on each of the sketch's bits."""
-    at = ((mix(s) >> U(17)) % U(SKETCH)).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=SKETCH) & 1).astype(np.uint8)).tobytes()
+    """Parity of the elements that fall on each of the sketch's bits, about one bit an element
+    (a power of two): a narrower one would be half ones for any pair of large sets."""
+    width = max(SKETCH, 1 << (len(s) - 1).bit_length())
+    at = ((mix(s) >> U(17)) % U(width)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=width) & 1).astype(np.uint8)).tobytes()
+
+
+def _folded(a: np.ndarray, width: int) -> np.ndarray:
+    """Sketches brought to ``width`` words: a bit is the parity of the wider sketch's bits on it."""
+    while a.shape[-1] > width:
+        half = a.shape[-1] // 2
+        a = a[..., :half] ^ a[..., half:]
+    return a
+
+
+def _matrix(sketches: list[bytes], at: np.ndarray) -> np.ndarray:
+    """The sketches at these places, all of one width, one a row."""
+    return np.frombuffer(b"".join(sketches[i] for i in at), U).reshape(len(at), -1)
 
 
 def _parts(b: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -289,35 +305,42 @@ def _blocks(num: int, den: int, best: bool):
     pairs in different components that the sketches do not rule out, of each streamed row the
     likeliest only if ``best``."""
     def run(batches):
-        key, held = None, []
+        key, held, by_width = None, [], None
         for b in batches:
             if not b.num_rows:
                 continue
             g = np.stack([b.column(i).to_numpy() for i in range(3)], 1)
             side = b.column(3).to_numpy()
             cls, comp, n = (b.column(i).to_numpy() for i in (4, 5, 6))
-            sk = np.frombuffer(b"".join(b.column(7).to_pylist()), np.uint64).reshape(b.num_rows, -1)
+            sk = b.column(7).to_pylist()
             change = np.flatnonzero((g[1:] != g[:-1]).any(1) | (side[1:] != side[:-1])) + 1
             left, right = [], []
             for lo, hi in zip([0, *change], [*change, b.num_rows]):
                 if key != (k := tuple(g[lo])):
-                    key, held = k, []
+                    key, held, by_width = k, [], None
                 part = (cls[lo:hi], comp[lo:hi], n[lo:hi], sk[lo:hi])
                 if side[lo] == 0:
                     held.append(part)
                     continue
                 if not held:
                     continue
-                if len(held) > 1:
-                    held = [tuple(np.concatenate(c) for c in zip(*held))]
-                hc, hp, hn, hs = held[0]
+                if by_width is None:
+                    hc, hp, hn = (np.concatenate([x[i] for x in held]) for i in range(3))
+                    hs = [s for x in held for s in x[3]]
+                    words = np.array([len(s) // 8 for s in hs])
+                    by_width = [(w, at, _matrix(hs, at)) for w in np.unique(words) for at in [np.flatnonzero(words == w)]]
                 for i in range(hi - lo):
                     c, p, m, s = (x[i] for x in part)
+                    s = np.frombuffer(s, U)
                     ok = (hp != p) & ((hc < c) if k[1] == k[2] else True) & (hn * den >= m * num) & (hn * num <= m * den)
-                    at = np.flatnonzero(ok)
-                    bits = _bits(hs[at], s)
-                    ok = bits <= _far(hn[at], m, num, den)
-                    at, bits = at[ok], bits[ok]
+                    hits = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+                    for w, at, some in by_width:
+                        at, some = at[ok[at]], some[ok[at]]
+                        if len(at):
+                            bits = _bits(_folded(some, min(w, len(s))), _folded(s, w))
+                            near = bits <= _far(hn[at], m, num, den)
+                            hits.append((at[near], bits[near]))
+                    at, bits = map(np.concatenate, zip(*hits))
                     if best and len(at):
                         at = at[[bits.argmin()]]
                     left.append(hc[at])
@@ -333,8 +356,13 @@ def _unlikely(num: int, den: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint64).reshape(b.num_rows, -1) for i in (4, 5))
-            ok = _bits(x, y) <= _far(b.column(2).to_numpy(), b.column(3).to_numpy(), num, den)
+            x, y = (b.column(i).to_pylist() for i in (4, 5))
+            wx, wy = (np.array([len(s) // 8 for s in side]) for side in (x, y))
+            bits = np.zeros(b.num_rows, np.int64)
+            for i, j in {*zip(wx.tolist(), wy.tolist())}:
+                at = np.flatnonzero((wx == i) & (wy == j))
+                bits[at] = _bits(_folded(_matrix(x, at), j), _folded(_matrix(y, at), i))
+            ok = bits <= _far(b.column(2).to_numpy(), b.column(3).to_numpy(), num, den)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok))
     return run
 
