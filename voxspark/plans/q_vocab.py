@@ -152,11 +152,11 @@ CHAR_TOKENS_SQL = f"""WITH {CHAR_VOCAB_SQL},
 ps AS (SELECT map_from_entries(list(ROW(piece, 1))) AS m FROM cv),
 w AS (SELECT CAST(doc_id AS VARCHAR) AS utt_id, {V.sql_raw_words('lower(text)')} AS ws FROM documents),
 e AS (SELECT utt_id, flatten(list_transform(ws, lambda x: list_prepend('▁', list_transform(
-        regexp_extract_all(x, '(?s).'), lambda c: CASE WHEN len(m[c]) > 0 THEN c ELSE '<unk>' END)))) AS pieces FROM w, ps)"""
+        regexp_extract_all(x, '(?s).'), lambda c: CASE WHEN map_contains(m, c) THEN c ELSE '<unk>' END)))) AS pieces FROM w, ps)"""
 
 
 @query("tok6_encode_chars", covers=("TOK6",),
-       sql=f"""{CHAR_TOKENS_SQL.replace('len(m[c]) > 0', 'map_contains(m, c)')}
+       sql=f"""{CHAR_TOKENS_SQL}
 SELECT utt_id, array_to_string(pieces, ' ') AS pieces, CAST(len(pieces) AS BIGINT) AS text_tokens FROM e""")
 def tok6_encode_chars(spark, sf):
     e = VO.encode(V.v_manifest(spark, sf), _characters(spark, sf))
@@ -164,7 +164,9 @@ def tok6_encode_chars(spark, sf):
 
 
 @query("tok9_token_count_chars", covers=("TOK9", "SCL18"),
-       sql=f"""{CHAR_TOKENS_SQL.replace('len(m[c]) > 0', 'map_contains(m, c)')}
-SELECT utt_id, 2 AS prompt_tokens, CAST(len(pieces) AS BIGINT) AS text_tokens, 4 + CAST(len(pieces) AS BIGINT) AS tokens FROM e""")
+       sql=f"""{CHAR_TOKENS_SQL}
+SELECT utt_id, prompt_tokens, CAST(len(pieces) AS BIGINT) AS text_tokens, prompt_tokens + 2 + CAST(len(pieces) AS BIGINT) AS tokens
+FROM e JOIN (SELECT CAST(doc_id AS VARCHAR) AS utt_id,   -- five filled defaults and the two languages
+                    CAST(CASE WHEN lang IS NULL THEN 5 ELSE 7 END AS INTEGER) AS prompt_tokens FROM documents) USING (utt_id)""")
 def tok9_token_count_chars(spark, sf):
     return _counted(V.v_manifest(spark, sf), _characters(spark, sf))
