@@ -331,6 +331,23 @@ def test_disclosing_terms(spark):
     assert all("[TERM] writes from [EMAIL] about" in clean[i] for i, _ in texts[:6]) and clean[50] == texts[6][1]
 
 
+def test_disclosing_terms_over_whole_texts(spark):
+    """One identical signature block, and the name again far from the address and beside another one."""
+    far = " ".join(["quiet"] * 30)
+    texts = [(i, f"Zebulon {i} {prose(20, 900 + i)} {far} kind regards zebulon zeb@mail.example.com" + (" and other@x.yz zebulon" * (i == 2)))
+             for i in range(6)]
+    texts += [(10, f"orlando@mail.example.com {far} orlando {far}")] * 2 + [(11, f"quentin {far} q@x.yz"), (12, f"quentin {far} q@x.yz")]
+    texts += [(50 + i, f"kind regards {far} " + prose(30, 950 + i)) for i in range(60)]
+    got = {r.doc_id: r.spans.split(",") for r in pii.report(documents(spark, texts)).collect()}
+    for i, t in texts[:6]:
+        want = {f"term:{m.start()}:{m.end()}" for m in re.finditer("zebulon", t.lower())}
+        assert {s for s in got[i] if s.startswith("term")} >= want and len(want) == 2 + (i == 2)
+        assert not any(f"term:{m.start()}:{m.end()}" in got[i] for m in re.finditer("kind|regards|quiet", t))
+    assert all(s.startswith("email") for i in (10, 11, 12) for s in got[i])       # copies of one text are no support
+    clean = {r.doc_id: r.text for r in pii.sanitise(documents(spark, texts)).collect()}
+    assert not any("zebulon" in clean[i].lower() for i in range(6))
+
+
 # 8 ---------------------------------------------------------------------------------------------------------------------
 def test_vectors(spark):
     r = np.random.default_rng(6)

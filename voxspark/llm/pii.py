@@ -20,7 +20,7 @@ separate documents; an empty table gives no rows; a null id is an id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -39,6 +39,8 @@ _PATTERN = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _TERM = r"\p{L}{3,}+"
+_MARK = "\uffff"                              # a noncharacter: overwrites base spans, ends no word
+_FREE_TERM = r"[\p{L}\x{FFFF}]{3,}+"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
@@ -125,26 +127,71 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def disclosing_terms(docs: DataFrame, base: DataFrame, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
-    """``(entity, term)`` pairs over the disclosure threshold.  ``base``: key, contexts."""
-    ctx = base.select("key", F.explode("contexts").alias("c")).select("key", "c.entity", "c.place", F.explode("c.terms").alias("t")) \
-        .select("key", "entity", "place", "t.term")
-    pairs = written(ctx.groupBy("entity", "term").agg(F.count_distinct("key").alias("n_both"), F.count_distinct("place").alias("n_places"))
-                    .where(F.col("n_places") >= support), "pairs")
-    terms = pairs.select("term").distinct()
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with every base span overwritten by ``_MARK``, so that positions stay."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    return F.aggregate(spans, start, lambda a, s: F.struct(
+        F.greatest(a["at"], s["end"]).alias("at"),
+        F.concat(a["out"], F.substr(text, a["at"] + 1, F.greatest(F.lit(0), s["start"] - a["at"])),
+                 F.repeat(F.lit(_MARK), F.greatest(F.lit(0), s["end"] - F.greatest(a["at"], s["start"])))).alias("out")),
+        lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1, F.greatest(F.lit(0), F.length(text) - a["at"]))))
+
+
+def _words(text: Column, pattern: str = _TERM) -> Column:
+    """The distinct terms of a text; none that touches a masked span."""
+    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
+    if pattern != _TERM:
+        found = F.filter(found, lambda w: ~F.contains(w, F.lit(_MARK)))
+    return F.array_distinct(F.transform(found, lambda w: F.lower(w)))
+
+
+def disclosing_terms(docs: DataFrame, held: DataFrame, total: int, alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
+    """``(entity, term)`` pairs over the disclosure threshold.  ``held``: the rows with base spans
+    (row, copy, entities, contexts, words, inside); ``total``: number of documents."""
+    def share(n_both: Column, n_term: Column, n_entity: Column) -> Column:
+        return 1 - F.log(F.least(F.lit(1.0), n_both / n_term)) / F.log(n_entity / F.lit(total))
+
+    ctx = held.select(F.explode("contexts").alias("c")).select("c.entity", "c.place", F.explode("c.terms").alias("t"))
+    near = written(ctx.groupBy("entity", F.col("t.term").alias("term")).agg(F.count_distinct("place").alias("n_places"))
+                   .where(F.col("n_places") >= support), "near")
+    n_entity = held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    live = (n_entity.where(F.col("n_entity") < total).join(near.groupBy("entity").agg(F.count("*").alias("near")), "entity", "left")
+            .where((F.col("n_entity") >= support) | F.col("near").isNotNull()).select("n_entity", "entity"))
+    ents = (held.select("row", F.explode("entities").alias("entity")).join(live, "entity")
+            .groupBy("row").agg(F.collect_list(F.struct("n_entity", "entity")).alias("ents")))
+    rows = written(held.select("row", "copy", "words").join(ents, "row"), "held")
+    terms = written(rows.select(F.explode("words").alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+                    .where(F.col("n") >= support).select("term").union(near.select("term")).distinct(), "terms")
     n_terms = terms.count()
-    if not n_terms:
-        return pairs.select("entity", "term")
-    if n_terms <= BROADCAST_TERMS:              # checked size; else the join shuffles words
-        terms = F.broadcast(terms)
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({_TERM})"), F.lit(1)))).alias("term"))
-    n_term = words.join(terms, "term").groupBy("term").agg(F.count("*").alias("n_term"))
-    n_entity = base.select("key", F.explode(F.array_distinct(F.transform("contexts", lambda c: c["entity"]))).alias("entity")) \
-        .groupBy("entity").agg(F.count("*").alias("n_entity"))
-    total = docs.agg(F.count("*").alias("total"))      # one row
-    share = 1 - F.log(F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))) / F.log(F.col("n_entity") / F.col("total"))
-    return (pairs.join(n_term, "term").join(n_entity, "entity").join(F.broadcast(total))
-            .where((F.col("n_entity") < F.col("total")) & (share >= alpha)).select("entity", "term"))
+
+    def sized(df: DataFrame) -> DataFrame:          # checked size; else the join shuffles words
+        return F.broadcast(df) if n_terms <= BROADCAST_TERMS else df
+
+    # a word that stands in a base span only does not count as a term of that document
+    words = docs.select(F.explode(_words(F.col("text"))).alias("term"), F.lit(1).alias("n")).union(
+        held.select(F.explode("inside"), F.lit(-1)))
+    n_term = written(words.join(sized(terms), "term").groupBy("term").agg(F.sum("n").alias("n_term")).where("n_term > 0"), "counts")
+    can = lambda e: share(F.least(F.col("n_term"), e["n_entity"]), F.col("n_term"), e["n_entity"]) >= alpha - 1e-9
+    pairs = (rows.select("copy", "ents", F.explode("words").alias("term")).join(sized(n_term), "term")
+             .select("copy", "term", "n_term", F.explode(F.filter("ents", can)).alias("e"))
+             .groupBy("term", "n_term", F.col("e.entity").alias("entity"), F.col("e.n_entity").alias("n_entity"))
+             .agg(F.count("*").alias("n_both"), F.count_distinct("copy").alias("n_copies"))
+             .where(share(F.col("n_both"), F.col("n_term"), F.col("n_entity")) >= alpha))
+    return (pairs.join(near, ["entity", "term"], "left")
+            .where((F.col("n_copies") >= support) | F.col("n_places").isNotNull()).select("entity", "term"))
+
+
+def _places(held: DataFrame) -> DataFrame:
+    """``row, term, start, end`` of every term outside the base spans.  Ends are running sums over a
+    row's words, linear in their number."""
+    free = F.col("free")
+    found = F.regexp_extract_all(free, F.lit(f"({_FREE_TERM})"), F.lit(1))
+    gaps = F.slice(F.split(free, _FREE_TERM, -1), F.lit(1), F.size(found))
+    one = F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("value"), (F.length(g) + F.length(m)).alias("n")))
+    before = Window.partitionBy("row").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (held.select("row", F.posexplode(one).alias("i", "w")).withColumn("end", F.sum("w.n").over(before).cast("int"))
+            .where(~F.contains("w.value", F.lit(_MARK)))
+            .select("row", F.lower("w.value").alias("term"), (F.col("end") - F.length("w.value")).alias("start"), "end"))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA, support: int = SUPPORT,
@@ -153,16 +200,21 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha:
     start, then kind (``len(KINDS)`` is a term)."""
     keyed = _keyed(docs, id_col, text_col)
     spans = keyed.withColumn("base", base_spans(F.col("text")))
-    base = written(spans.select("id", "key", "base", F.when(F.size("base") > 0, _context(F.col("text"), F.col("base"), reach))
-                                .alias("contexts")), "spans")
-    some = base.where(F.size("base") > 0)
-    pairs = disclosing_terms(keyed, some, alpha, support)
-    ctx = some.select("key", F.explode("contexts").alias("c")).select("key", "c.entity", F.explode("c.terms").alias("t")) \
-        .select("key", "entity", "t.*")
-    extra = (ctx.join(pairs, ["entity", "term"]).select("key", F.struct(
+    some = F.size("base") > 0
+    base = written(spans.select(
+        F.monotonically_increasing_id().alias("row"), "id", "key", "base", F.xxhash64("text").alias("copy"),
+        F.when(some, _context(F.col("text"), F.col("base"), reach)).alias("contexts"), F.when(some, _words(F.col("text"))).alias("all_words"),
+        F.when(some, _masked(F.col("text"), F.col("base"))).alias("free")), "spans")
+    held = (base.where(some).withColumn("words", _words(F.col("free"), _FREE_TERM))
+            .withColumn("inside", F.array_except("all_words", "words"))
+            .withColumn("entities", F.array_distinct(F.transform("contexts", lambda c: c["entity"]))))
+    pairs = disclosing_terms(keyed, held, base.count(), alpha, support)
+    reveal = written(held.select("row", F.explode("entities").alias("entity")).join(pairs, "entity").select("row", "term").distinct(), "reveal")
+    marked = held.select("row", "free").join(reveal.select("row").distinct(), "row", "left_semi")
+    extra = (_places(marked).join(reveal, ["row", "term"]).select("row", F.struct(
         "start", F.lit(len(KINDS)).alias("kind"), "end", F.col("term").alias("value")).alias("s"))
-        .groupBy("key").agg(F.collect_set("s").alias("extra")))
-    return base.select("id", "key", "base").join(extra, "key", "left").select(
+        .groupBy("row").agg(F.collect_list("s").alias("extra")))
+    return base.select("row", "id", "key", "base").join(extra, "row", "left").select(
         "id", "key", "base", F.array_sort(F.concat("base", F.coalesce("extra", F.array().cast(SPAN)))).alias("all"))
 
 
