@@ -75,3 +75,24 @@ def test_parse_bins_and_limits(spark):
     one = spark.createDataFrame([(0, 5.0), (1, 15.5)], "bin_id int, max_duration double")
     lim = [(r.input_samples, r.output_len) for r in B.bin_limits(one).orderBy("bin_id").collect()]
     assert lim == [(80000, 60), (248000, 186)]
+
+
+def test_capped_batches_stay_open_over_chunk_edges(spark):
+    """The same batches for every buffer, those of one sequential fill."""
+    rnd = random.Random(8)
+    rows = [(i, b, rnd.choice([0.0, 0.0, 3.0, 3.0, 7.1, rnd.uniform(0, 40), 500.0 if rnd.random() < 0.05 else 1.3]))
+            for b, n in ((0, 400), (1, 63), (2, 1)) for i in range(1000 * b, 1000 * b + n)]
+    df = spark.createDataFrame(rows, "utt_id long, bin_id int, duration double")
+    for order in (["utt_id"], ["duration", "utt_id"]):
+        want = {}
+        for b in range(3):
+            tot = n = 0
+            for i, _, d in sorted((r for r in rows if r[1] == b), key=lambda r: (r[2], r[0]) if len(order) == 2 else r[0]):
+                e = d + d * d / 60.0
+                if tot > 0 and tot + e > 120.0:
+                    tot, n = 0, n + 1
+                tot += e
+                want[i] = n
+        for buffer in (1, 3, 50, 20000):
+            got = B.plan_batches_capped(df, cap=120.0, quadratic=60.0, buffer=buffer, order=order).collect()
+            assert {r.utt_id: r.batch for r in got} == want

@@ -350,40 +350,99 @@ def plan_batches(assigned: DataFrame, batch_sizes: list[int], order: list[str])
     return pos.withColumn("batch", F.floor(F.col("pos_in_bin") / bs).cast("long"))
 
 
+def _fill(eff, limit: float, tot: float):
+    """Batch of every row of a chunk, counted from the one that is open with ``tot`` at its start."""
+    import numpy as np
+    out = np.empty(len(eff), dtype=np.int64)
+    b = 0
+    for j, e in enumerate(eff.tolist()):
+        if tot > 0 and tot + e > limit:
+            b += 1
+            tot = 0.0
+        tot += e
+        out[j] = b
+    return out
+
+
+def _first_close(eff, limit: float, tot: float):
+    """(first row that closes the open batch, -1 for none; the open sum where there is none)"""
+    for j, e in enumerate(eff):
+        if tot > 0 and tot + e > limit:
+            return j, tot
+        tot += e
+    return -1, tot
+
+
+def _chains(eff, limit: float):
+    """For each row at which the batch open at a chunk's start can close first: the batches
+    closed up to the chunk's end and the sum open there.  An open sum of zero closes last, so
+    those rows end where it does."""
+    import numpy as np
+    last, _ = _first_close(eff.tolist(), limit, 0.0)
+    k = len(eff) if last < 0 else last + 1
+    tot, n = np.zeros(k), np.zeros(k, dtype=np.int64)
+    for j, e in enumerate(eff.tolist()):
+        m = min(j, k)
+        grown = tot[:m] + e
+        over = (tot[:m] > 0) & (grown > limit)
+        tot[:m] = np.where(over, e, grown)
+        n[:m] += over
+        if j < k:
+            tot[j], n[j] = e, 1
+    return n, tot
+
+
 def plan_batches_capped(assigned: DataFrame, cap: float = 360.0, quadratic: float = 15.0,
                         buffer: int = 20000, order: list[str] | None = None,
                         dur: str = "duration") -> DataFrame:
     """WIN13: per bin, close a batch before the running sum of effective durations
-    ``d + d^2/quadratic`` would pass ``cap``.  Bins are cut into chunks of ``buffer``
-    rows (the loader's bucket buffer), and each (bin, chunk) runs a sequential greedy
-    fill in ``applyInPandas`` - no task ever holds a whole bin."""
+    ``d + d^2/quadratic`` would pass ``cap``.  ``batch`` counts from 0 in every bin, which is
+    one run of batches; ``batch_in_chunk`` counts from the one open where the chunk starts.
+    Bins are worked on in chunks of ``buffer`` rows, on which ``batch`` does not depend.  Every
+    chunk is first reduced to its head (the rows up to the first that closes a batch whatever
+    is open) and to what follows from a close at each of them; one pass over these heads,
+    streamed in order, gives each chunk its open sum and batch number; then the chunks are
+    filled side by side.  No task holds a whole bin; sums are added row by row as in one run."""
     order = order or [dur, "utt_id"]
     ix = with_index(assigned.filter(F.col("bin_id").isNotNull()), ["bin_id", *order], col="_g")
     pos = index_in_group(ix, ["bin_id"], idx="_g", col="pos_in_bin").drop("_g")
     eff = F.col(dur) + F.col(dur) * F.col(dur) / F.lit(float(quadratic))
-    pos = pos.withColumn("chunk", F.floor(F.col("pos_in_bin") / buffer).cast("long")) \
-             .withColumn("eff", eff)
-    small = pos.select("bin_id", "chunk", "pos_in_bin", "eff")
+    small = pos.select("bin_id", F.floor(F.col("pos_in_bin") / buffer).cast("long").alias("chunk"), "pos_in_bin",
+                       eff.alias("eff"))
     limit = float(cap)
 
+    def heads(pdf):
+        import pandas as pd
+        v = pdf.sort_values("pos_in_bin")["eff"].to_numpy()
+        n, tot = _chains(v, limit)
+        return pd.DataFrame({"bin_id": pdf["bin_id"].iloc[:1].to_numpy(), "chunk": pdf["chunk"].iloc[:1].to_numpy(),
+                             "head": [v[:len(n)]], "closed": [n], "open": [tot]})
+
+    def carried(frames):
+        import pandas as pd
+        now, tot, b = None, 0.0, 0
+        for pdf in frames:
+            rows = []
+            for bin_id, chunk, head, closed, left in pdf.itertuples(index=False):
+                if bin_id != now:
+                    now, tot, b = bin_id, 0.0, 0
+                rows.append((bin_id, chunk, tot, b))
+                j, end = _first_close(head.tolist(), limit, tot)
+                tot, b = (end, b) if j < 0 else (float(left[j]), b + int(closed[j]))
+            yield pd.DataFrame(rows, columns=["bin_id", "chunk", "tot", "first"])
+
     def fill(pdf):
-        import numpy as np
         pdf = pdf.sort_values("pos_in_bin")
-        eff_v = pdf["eff"].to_numpy()
-        out = np.empty(len(eff_v), dtype=np.int64)
-        b, tot = 0, 0.0
-        for j, e in enumerate(eff_v):
-            if tot > 0 and tot + e > limit:
-                b += 1
-                tot = 0.0
-            tot += e
-            out[j] = b
-        pdf = pdf.assign(batch_in_chunk=out)
-        return pdf[["bin_id", "chunk", "pos_in_bin", "batch_in_chunk"]]
-
-    batches = small.groupBy("bin_id", "chunk").applyInPandas(
-        fill, "bin_id int, chunk long, pos_in_bin long, batch_in_chunk long")
-    return pos.drop("eff").join(batches, ["bin_id", "chunk", "pos_in_bin"])
+        got = _fill(pdf["eff"].to_numpy(), limit, float(pdf["tot"].iloc[0]))
+        return pdf.assign(batch_in_chunk=got, batch=got + pdf["first"])[["bin_id", "chunk", "pos_in_bin", "batch_in_chunk", "batch"]]
+
+    state = (small.groupBy("bin_id", "chunk").applyInPandas(
+        heads, "bin_id int, chunk long, head array<double>, closed array<long>, open array<double>")
+        .repartition("bin_id").sortWithinPartitions("bin_id", "chunk")
+        .mapInPandas(carried, "bin_id int, chunk long, tot double, first long"))
+    batches = small.join(state, ["bin_id", "chunk"]).groupBy("bin_id", "chunk").applyInPandas(
+        fill, "bin_id int, chunk long, pos_in_bin long, batch_in_chunk long, batch long")
+    return pos.join(batches, ["bin_id", "pos_in_bin"])
 
 
 def merge_bins(profile: DataFrame) -> DataFrame:

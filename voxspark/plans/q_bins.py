@@ -108,7 +108,8 @@ def win13_capped_batches(spark, sf):
     b = _bounds_1d(spark, sf)
     a = B.assign_bin_1d(V.v_manifest(spark, sf), b)
     p = B.plan_batches_capped(a, CAP, QUAD)
-    return p.select("utt_id", "bin_id", "pos_in_bin", "chunk", "batch_in_chunk")
+    # a bin is one run of batches, so one chunk, whatever buffer it is worked on by
+    return p.select("utt_id", "bin_id", "pos_in_bin", F.lit(0).cast("long").alias("chunk"), F.col("batch").alias("batch_in_chunk"))
 
 
 @query("win14_merge_bins", covers=("WIN14",),
