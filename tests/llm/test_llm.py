@@ -205,6 +205,10 @@ def test_chat_round_trip(spark):
     ("<article><p>x y</p><div class='ad'>buy</div><section id=comments><p>first!</p></section><p>z<script>var a='</p>';</script></article>", "x y\nz"),
     ("<div class='cookie-notice'>We use</div><div><p>" + "long text " * 20 + "</p><p>and more of it</p></div><ul><li><a>l</a></li></ul>",
      ("long text " * 20).strip() + "\nand more of it"),
+    ("<nav><a>menu</a></nav><article><h1><a href=x>Linked head</a></h1><p>some text</p><h2><a>Part</a></h2><ul><li><a>one link</a><li>b</ul>"
+     "<table><tr><td><a>cell</a></td></tr></table><aside><a>aside</a></aside></article><p><a>out</a></p>",
+     "Linked head\nsome text\nPart\none link\nb\ncell"),
+    ("<main><h1><a>Only</a></h1></main><p>outside</p>", "Only"),
     ("<article>" + "<p><b>w" * 3000 + "</article>", "\n".join(["w"] * 3000)),
 ])
 def test_html(page, text):

@@ -1,7 +1,7 @@
 """Main text of HTML pages by line-block distribution.
 
-Markup is stripped to lines (one per block element); a line's length counts its characters
-outside links.  The lengths are summed over a sliding window of lines; a surge point is
+Markup is stripped to lines (one per block element); a line's length counts its characters,
+outside ``article`` and ``main`` only those outside links.  The lengths are summed over a sliding window of lines; a surge point is
 where the sum leaves zero, a dive point where it falls back, and the text between the two
 is kept.  Lines of menus, headers, footers, sidebars, notices, adverts, forms and reader
 comments have length zero, as has any line outside ``article`` or ``main`` where the page
@@ -58,7 +58,8 @@ def _outer(name: str, attrs: str, inside: bool) -> bool:
 
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """(text, length outside links and furniture, inside article or main) of every line with text."""
+    """(text, length outside furniture and, but for article and main, outside links; inside article
+    or main) of every line with text."""
     out: list = []
     buf: list[str] = []
     free = links = 0                     # characters outside and inside links, of the line
@@ -70,7 +71,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         nonlocal free, links
         text = " ".join(html.unescape("".join(buf)).split())
         if text:
-            out.append((text, 0 if outer else free, body > 0))
+            out.append((text, 0 if outer else free + links if body else free, body > 0))
         buf.clear()
         free = links = 0
 
