@@ -198,6 +198,9 @@ def test_chat_round_trip(spark):
 
 
 # 5 ---------------------------------------------------------------------------------------------------------------------
+LINKS = "<ul>" + "<li><a>l</a></li>" * 4 + "</ul>"
+
+
 @pytest.mark.parametrize("page,text", [
     (None, ""), ("", ""), ("plain words only here", "plain words only here"), ("<article>", ""), ("<p>cut <a href", "cut"),
     ("<nav><a>menu</a></nav><article><h1>T &amp; t</h1><p>one\n two<p><b>three</article><footer>f</footer>", "T & t\none two\nthree"),
@@ -209,6 +212,16 @@ def test_chat_round_trip(spark):
      "<table><tr><td><a>cell</a></td></tr></table><aside><a>aside</a></aside></article><p><a>out</a></p>",
      "Linked head\nsome text\nPart\none link\nb\ncell"),
     ("<main><h1><a>Only</a></h1></main><p>outside</p>", "Only"),
+    ("<datalist><option>a<option>b</datalist><article><p>kept text</p></article>", "kept text"),
+    ("<button>Search<article><p>x</p><button>y</button><svg><path><text>n</text><p>z</p></article>", "x\nz"),
+    ("<video src=v>no video<div><main><p>x <object><param>no object</p><map name=m><area><p>y</p></main></div>", "x\ny"),
+    ("<p>a</p><script>var x = '<p>b</p>'", "a"), ("<p>a<select><option>u<option>v</select> b <svg><svg></svg>t</svg>c</p>", "a b c"),
+    ("<body class='site no-sidebar'><div class='content has-sidebar with-nav'><div class='elementor-widget'><p>text</p></div>"
+     "<div class='main-sidebar'>s</div><div class='elementor-widget elementor-widget-nav-menu'>n</div></div>", "text"),
+    ("<article><section id='related-work' class='menu-of-the-day'><p>text</p></section><div class='related-posts'>r</div>"
+     "<div class='share-buttons x'>s</div><div id=comment-list>c</div></article>", "text"),
+    ("<p>" + "a" * 200 + "</p>" + LINKS + "<p>short</p>" + LINKS + "<p>" + "b" * 100 + "</p>" + LINKS + "<p>" + "c" * 30 + "</p>" + LINKS + "<p>d</p>",
+     "\n".join(["a" * 200, "short", "b" * 100, "c" * 30])),
     ("<article>" + "<p><b>w" * 3000 + "</article>", "\n".join(["w"] * 3000)),
 ])
 def test_html(page, text):
