@@ -34,8 +34,8 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    """Documents without a passage of a benchmark item, short items included."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), short=True)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

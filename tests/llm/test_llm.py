@@ -101,6 +101,27 @@ def test_decontamination(spark):
     assert decontaminate.overlaps(documents(spark, docs), bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_short_items(spark, tmp_path):
+    """Items below the window, and scripts without spaces, in the operator and in the pipeline's stage."""
+    for n in range(1, 13):
+        mask, errors = decontaminate.short_plan(n)
+        assert decontaminate.lossless((mask,), n, errors) and (errors == 0 or len(mask) >= decontaminate.LEAST_MASK)
+    words = [f"w{i}" for i in range(40)]
+    text = lambda *k: " ".join(words[i] for i in k)
+    items = [(0, text(*range(12))), (1, text(*range(20, 25))), (2, "solo"), (3, "中国的首都是哪一座城市"), (4, "เมืองหลวงของประเทศไทย"), (5, "?!"), (6, None),
+             (7, "日本の首都はどこですか東京です")]
+    docs = [(0, "a " + text(*range(12)).upper() + ". b"), (1, text(0, 1, 2, 3, 4, 39, 6, 7, 8, 9, 10, 11)), (2, text(0, 1, 38, 3, 4, 39, 6, 7, 8, 9, 10, 11)),
+            (3, text(19, 20, 21, 22, 23, 24, 30)), (4, text(20, 21, 30, 23, 24)), (5, "b Solo a"), (6, "solos"), (7, "问题：中国的首都是哪一座城市？"),
+            (8, "中国的首都"), (9, "x เมืองหลวงของประเทศไทย y"), (10, "a b c"), (11, None), (12, "日本の首都はどこですか東京です。")]
+    want = {(0, 0), (1, 0), (3, 1), (5, 2), (7, 3), (9, 4), (12, 7)}
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.overlaps(documents(spark, docs), bench, short=True).collect()
+    assert {(r.id, r.item) for r in got} == want and {r.first_token for r in got if r.id in (0, 3)} == {1}
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = {r.doc_id for r in corpus_pipeline.decontaminate_stage(spark, documents(spark, docs), str(tmp_path)).collect()}
+    assert left == {d for d, _ in docs} - {d for d, _ in want}
+
+
 # 3 ---------------------------------------------------------------------------------------------------------------------
 def brute_groups(rows, n, num, den):
     sets = []

@@ -1,6 +1,7 @@
 r"""Benchmark decontamination by spaced-seed hashing.
 
-A text's tokens are its lower-cased runs of letters and digits.  A mask picks some
+A text's tokens are its lower-cased runs of letters and digits; in scripts written without
+spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese) every letter is one.  A mask picks some
 positions of a short stretch and ignores the others; the picked tokens of every stretch
 are hashed, in benchmark items and documents alike, and equal hashes are joined.  Around a
 hit the two texts are compared token by token on the hit's diagonal.  A document holds
@@ -12,8 +13,12 @@ them.
 The benchmark's seeds are joined in blocks of bounded size, each a broadcast of at most
 ``BLOCK_SEEDS`` rows, so documents are never shuffled to find hits; only hits are.
 
-Defined results: items of fewer tokens than the window are not searched for; null and empty
-texts hold nothing; repeated rows and items give the result of one; a null id is an id.
+With ``short``, items of fewer tokens than the window are searched for as well, each with all of its
+tokens as the window: ``errors`` in the same proportion, rounded down, where an unbroken run of
+``LEAST_MASK`` tokens is sure to be left (the mask), else none, with the whole item as the mask.
+
+Defined results: without ``short``, items of fewer tokens than the window are not searched for;
+null and empty texts and items without tokens hold nothing; repeated rows and items give the result of one; a null id is an id.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ from .common import written
 
 WINDOW, ERRORS = 13, 2
 MASKS = ((0, 1, 2, 3, 4, 6), (0, 1, 3, 8, 9, 10))
+LEAST_MASK = 4
 BLOCK_SEEDS = 2_000_000
 BROADCAST_ROWS = 200_000
 
@@ -37,8 +43,20 @@ def lossless(masks=MASKS, window: int = WINDOW, errors: int = ERRORS) -> bool:
     return all(any(not p.intersection(bad) for p in places) for bad in combinations(range(window), errors))
 
 
+def short_plan(tokens: int, window: int = WINDOW, errors: int = ERRORS) -> tuple[tuple, int]:
+    """(mask, errors) for an item of fewer tokens than the window; the mask is lossless."""
+    few = errors * tokens // window
+    if tokens // (few + 1) < LEAST_MASK:
+        few = 0
+    return tuple(range(tokens // (few + 1))), few       # of few + 1 equal runs one is without error
+
+
+_DENSE = "".join(rf"\p{{Is{x}}}" for x in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+_TOKEN = rf"([\p{{L}}\p{{N}}&&[{_DENSE}]]|[\p{{L}}\p{{N}}&&[^{_DENSE}]]+)"
+
+
 def token_hashes(text: Column) -> Column:
-    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+    tokens = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_TOKEN), F.lit(1))
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
@@ -74,7 +92,7 @@ def hits(docs: DataFrame, items: DataFrame, masks=MASKS, window: int = WINDOW) -
     return found.distinct()
 
 
-def aligned(h: Column, g: Column, diagonal: Column, window: int, errors: int) -> tuple[Column, Column]:
+def aligned(h: Column, g: Column, diagonal: Column, window: int | Column, errors: int | Column) -> tuple[Column, Column]:
     """(equal tokens on the diagonal, starts in the item of the stretches that count)."""
     same = F.transform(F.sequence(F.lit(0), F.size(g) - 1),
                        lambda i: F.when((diagonal + i >= 0) & (F.get(h, diagonal + i) == F.get(g, i)), 1).otherwise(0))
@@ -87,7 +105,7 @@ def aligned(h: Column, g: Column, diagonal: Column, window: int, errors: int) ->
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              item_col: str = "item_id", item_text: str = "text", masks=MASKS, window: int = WINDOW,
-             errors: int = ERRORS) -> DataFrame:
+             errors: int = ERRORS, short: bool = False) -> DataFrame:
     """One row per document and item that overlap: ``key`` (hash of id and text, to find the row
     again), ``id``, ``item``, ``matched`` (equal tokens on the best diagonal), ``item_tokens`` and
     ``first_token`` (position of the first stretch in the document, from 0)."""
@@ -95,14 +113,28 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
         raise ValueError("these masks can miss a stretch of this window and errors")
     keyed = _keyed(docs, id_col, text_col)
     items = (benchmark.select(F.col(item_col).alias("item"), token_hashes(F.col(item_text)).alias("g"))
-             .where(F.size("g") >= window))
-    found = written(hits(keyed.select("key", token_hashes(F.col("text")).alias("h")), items, masks, window), "hits")
+             .where(F.size("g") >= (1 if short else window)))
+    hashed = keyed.select("key", token_hashes(F.col("text")).alias("h"))
+    found = hits(hashed, items.where(F.size("g") >= window), masks, window)
+    width, few = F.lit(window), F.lit(errors)
+    if short:
+        lengths = [r.n for r in items.where(F.size("g") < window).select(F.size("g").alias("n")).distinct().collect()]  # < window rows
+        plans = {n: short_plan(n, window, errors) for n in sorted(lengths)}
+        width = F.least(F.size("g"), F.lit(window))
+        few = F.lit(errors)
+        for n, (mask, e) in plans.items():
+            few = F.when(F.size("g") == n, e).otherwise(few)
+        # items by mask: a document's seeds of one mask are joined once
+        for mask in sorted({m for m, _ in plans.values()}):
+            these = [n for n, (m, _) in plans.items() if m == mask]
+            found = found.unionByName(hits(hashed, items.where(F.size("g").isin(these)), (mask,), window))
+    found = written(found.distinct() if short else found, "hits")
     keys = found.select("key").distinct()
     if found.count() <= BROADCAST_ROWS:         # checked size; else the join shuffles
         keys = F.broadcast(keys)
     held = keyed.join(keys, "key", "left_semi").select("key", "id", token_hashes(F.col("text")).alias("h")).dropDuplicates(["key"])
     rows = held.join(found, "key").join(items, "item")
-    same, starts = aligned(F.col("h"), F.col("g"), F.col("diagonal"), window, errors)
+    same, starts = aligned(F.col("h"), F.col("g"), F.col("diagonal"), width, few)
     return (rows.withColumn("same", same).withColumn("starts", starts).where(F.size("starts") > 0)
             .select("key", "id", "item", F.aggregate("same", F.lit(0), lambda a, x: a + x).alias("matched"),
                     F.size("g").alias("item_tokens"), (F.col("diagonal") + F.get("starts", F.lit(0))).alias("first"))
