@@ -45,9 +45,9 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences."""
+    """The pieces of the packed sequences, with their ids."""
     importable(spark)
-    return packing.pack(docs, tokenizer("word_bpe_49k.json"), with_ids=False)
+    return packing.pack(docs, tokenizer("word_bpe_49k.json"))
 
 
 STAGES = [("quality", quality_stage), ("near_duplicates", dedup_stage), ("decontamination", decontaminate_stage),

@@ -314,6 +314,20 @@ def test_packing(spark):
     assert packing.pack(documents(spark, []), tokenizer("word_bpe_49k.json"), with_ids=False).count() == 0
 
 
+def test_packed_ids_leave_the_pipeline(spark):
+    """The last stage returns the sequences themselves; digests are those of the ids column."""
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(tokenizer("word_bpe_49k.json"))
+    texts = [(i, prose(900 * i, i)) for i in range(8)] + [(9, None)]
+    rows = corpus_pipeline.packing_stage(spark, documents(spark, texts), "").collect()
+    made = {r.doc_id: r for r in packing.pieces(documents(spark, texts[:1]), tokenizer("word_bpe_49k.json")).collect()}
+    assert made[0].ids == [2] and "ids_crc32" not in made[0]
+    for i, t in texts:
+        mine = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
+        assert sum((r.ids for r in mine), []) == lib.encode(t or "", add_special_tokens=False).ids + [2]
+        assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length for r in mine)
+
+
 # 7 ---------------------------------------------------------------------------------------------------------------------
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
          "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}

@@ -76,7 +76,7 @@ def op5_html(spark, sf_dir):
 
 @query
 def op6_pack(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), with_ids=False)
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")).drop("ids")
 
 
 @query
