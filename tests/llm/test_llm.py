@@ -429,6 +429,19 @@ def test_vectors(spark):
     assert sum(links.values()) > 100 and capfilter.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vectors_with_null_and_repeated_ids(spark):
+    """A null id, alone or in a group, and one id with two vectors whose links stay apart."""
+    r = np.random.default_rng(7)
+    a, b, c, d = (r.standard_normal(24) for _ in range(4))
+    near = lambda v: [float(x) for x in v + r.standard_normal(24) * 0.01]
+    rows = [(None, near(a), 0), (5, near(b), 0), (5, near(c), 0), (6, near(b), 0), (7, near(b), 0), (9, near(c), 0),
+            (None, near(d), 0), (8, near(d), 0), (4, near(a + b), 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = collections.Counter((x.vec_id, x.n_links, x.component_id, x.kept) for x in capfilter.near_duplicates(df).collect())
+    assert got == collections.Counter([(None, 0, None, True), (5, 2, 5, True), (5, 1, 5, True), (6, 2, 5, False), (7, 2, 5, False),
+                                       (9, 1, 5, False), (None, 1, 8, False), (8, 1, 8, True), (4, 0, 4, True)])
+
+
 # 10 --------------------------------------------------------------------------------------------------------------------
 def junk(seed):
     r = random.Random(seed)

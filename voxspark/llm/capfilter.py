@@ -20,7 +20,9 @@ double precision.  Equal vectors of a label are one class throughout.
 
 Defined results: null labels, and vectors that are null, empty, zero, or hold null or
 non-finite components link with nothing; vectors of different length are not compared;
-repeated ids count as one vector of their class each; an empty table gives no rows.
+repeated ids count as one vector of their class each; a null id is an id, but a group takes its
+name from the others if it has any; an empty table gives no rows.  Classes are named by a 64-bit
+hash within; ids are brought in for the result only.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from pyspark.sql import functions as F
 from .common import components, written
 
 THRESHOLD, CODES, SIGMAS, BLOCK, SEED = 0.98, 64, 5.0, 1024, 20_240
+BROADCAST_ROWS = 100_000
 
 _codes: dict = {}
 
@@ -199,16 +202,20 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     src = src.withColumn("cls", F.when(usable(F.col("vector")) & F.col("label").isNotNull(),
                                        F.sha2(F.to_json(F.struct("label", F.struct(F.col("vector")))), 256)))
     good = src.where("cls is not null")
-    classes = written(good.groupBy("cls").agg(F.min("id").alias("vid"), F.count("*").alias("size"), F.first("label").alias("label"),
+    classes = written(good.groupBy("cls").agg(F.xxhash64("cls").alias("vid"), F.min("id").alias("low"), F.count("*").alias("size"), F.first("label").alias("label"),
                                               F.first("vector").alias("vector")), "classes")
     pairs = written(links(classes.select("vid", "label", "vector"), threshold, **params), "links")
     size = classes.select("vid", "size")
     both = pairs.union(pairs.select("b", "a")).toDF("vid", "other")
     degree = both.join(size.toDF("other", "n"), "other").groupBy("vid").agg(F.sum("n").alias("others"))
     found = components(pairs).toDF("vid", "component")
-    per_class = (classes.select("cls", "vid", "size").join(degree, "vid", "left").join(found, "vid", "left")
+    lowest = written(found.join(classes.select("vid", "low"), "vid").groupBy("component").agg(F.min("low").alias("component_id")), "lowest")
+    if lowest.count() <= BROADCAST_ROWS:        # checked size; else the join shuffles
+        lowest = F.broadcast(lowest)
+    found = found.join(lowest, "component").select("vid", "component_id")
+    per_class = (classes.select("cls", "vid", "size", "low").join(degree, "vid", "left").join(found, "vid", "left")
                  .select("cls", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-                         F.coalesce("component", "vid").alias("component_id")))
+                         F.coalesce("component_id", "low").alias("component_id")))
     return (src.select("id", "cls").join(per_class, "cls", "left")
             .select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("component_id", "id").alias("component_id"))
