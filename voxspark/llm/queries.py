@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import capfilter, chat, decontaminate, html_extract, jaccard, packing, pii, quality, sharding, token_count
+from . import (capfilter, chat, decontaminate, html_extract, jaccard, mixing, packing, pii, quality, sharding, spelling, token_count,
+               whitening)
 from .common import table
 
 SHARDS = [f"shard-{i:04d}" for i in range(256)]
@@ -98,3 +99,22 @@ def op9_token_count(spark, sf_dir):
 def op10_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op11_mix(spark, sf_dir):
+    return mixing.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE["op11_mix"] = mixing.ORACLE_SQL
+
+
+@query
+def op12_whiten(spark, sf_dir):
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query
+def op13_spelling(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
