@@ -99,8 +99,8 @@ class Spectrum:
 
 
 def _solve(v: np.ndarray, s: float, x: np.ndarray, least: float) -> np.ndarray:
-    """Direction of (V - s*I)^-1 x; where s is an eigenvalue to the last bit, one rounding beside it."""
-    for shift in (s, s + least):
+    """Direction of (V - s*I)^-1 x; where s is an eigenvalue to the last bit, a few roundings beside it."""
+    for shift in (s, s + least, s - least, s + 3 * least, s - 3 * least):
         try:
             y = np.linalg.solve(v - shift * np.eye(len(v)), x)
         except np.linalg.LinAlgError:
@@ -110,10 +110,10 @@ def _solve(v: np.ndarray, s: float, x: np.ndarray, least: float) -> np.ndarray:
     raise ArithmeticError("no shift near an eigenvalue can be solved for")
 
 
-def _pair(sp: Spectrum, lo: float, hi: float) -> tuple[float, np.ndarray]:
-    """The eigenpair of the only eigenvalue between ``lo`` and ``hi``: a few steps of inverse
-    iteration at the middle, then Rayleigh quotient iteration; the interval is halved by
-    counts and the iteration begun again wherever the quotient leaves it."""
+def _pair(sp: Spectrum, k: int, lo: float, hi: float) -> tuple[float, np.ndarray]:
+    """The eigenpair of the k-th eigenvalue, the only one between ``lo`` and ``hi``: a few steps of
+    inverse iteration at the middle, then Rayleigh quotient iteration.  Where counts beside the
+    result don't certify it as number k, the interval is halved by counts and it begins again."""
     rng = np.random.default_rng(sp.n)
     while True:
         x = rng.standard_normal(sp.n)
@@ -130,12 +130,13 @@ def _pair(sp: Spectrum, lo: float, hi: float) -> tuple[float, np.ndarray]:
             x = _solve(sp.v, e, x, sp.least)
             x /= np.linalg.norm(x)
         left, e, x = best
-        if lo <= e <= hi and left <= max(sp.least, 1e-14 * sp.top):
+        near = 4 * sp.least
+        if left <= sp.least and sp.above(e + near) < k <= sp.above(e - near):
             return e, x
-        if hi - lo <= 4 * sp.least:
-            return min(max(e, lo), hi), x
+        if hi - lo <= near:
+            raise ArithmeticError(f"eigenvalue {k} not certified")
         mid = (lo + hi) / 2
-        if sp.above(mid) > sp.above(hi):
+        if sp.above(mid) >= k:
             lo = mid
         else:
             hi = mid
@@ -161,10 +162,7 @@ def leading(v: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
         k = len(values) + 1
         lo, hi, a, b = sp.interval(k)
         if b - a == 1:
-            e, x = _pair(sp, lo, hi)
-            eps = max(4 * sp.least, 1e-13 * abs(e))
-            if not (sp.above(e + eps) <= k - 1 and sp.above(e - eps) >= k):
-                raise ArithmeticError(f"eigenvalue {k} not certified")
+            e, x = _pair(sp, k, lo, hi)
             found, basis = np.array([e]), x[:, None]
         else:
             found, basis = _space(sp, lo, hi, b - a)
