@@ -1,6 +1,8 @@
 """Bins against the sequential rule (WIN9-WIN14, FLT7, JOIN6)."""
 import random
 
+from pyspark.sql import functions as F
+
 import brute
 from voxspark.operators import bins as B
 
@@ -28,6 +30,36 @@ def test_bins_match_sequential_rule(spark):
     assert B.duration_bins(df, 7) == brute.bins_1d([r[0] for r in rows], 7)
 
 
+def test_boundaries_of_any_weights(spark):
+    """Light, heavy, zero, equal and growing weights: the plain walk's boundaries, whatever the
+    number of bins."""
+    rnd = random.Random(11)
+    made = [[rnd.choice([0.0, 0.125, 1.0, 7.5, 64.0]) for _ in range(300)], [2.0 ** -k for k in range(40)] * 2, [1.0] * 97,
+            [rnd.randint(1, 10 ** 6) / 1024 for _ in range(500)], [0.0] * 5, [3.0], [0.5] * 200 + [1000.0] * 3]
+    for lengths in made:
+        df = spark.createDataFrame([(x,) for x in lengths], "duration double")
+        for n in (2, 7, 30):
+            assert B.duration_bins(df, n) == (brute.bins_1d(lengths, n) if sum(lengths) else [])
+    assert B.duration_bins(spark.createDataFrame([], "duration double"), 4) == []
+
+
+def test_boundary_summary_is_small(spark):
+    """A summary holds about K * K cells at most, far less than the lengths there are."""
+    cells = B._cells(spark.range(200_000).select(((F.col("id") * 7919) % 100_000 / 64.0 + 1).alias("d")), ["d"], "d")
+    total = cells.agg(F.sum(F.col("d") * F.col("c"))).first()[0]
+    walk = cells.withColumn("g", F.lit(0)).withColumn("share", F.lit(total / 30))
+    plan = B.resetting_boundaries(walk, "g", "d", "d", 31)
+    kept = _near_cells(walk, 31)
+    assert kept <= 2 * 31 * 31 < cells.count() / 20
+    assert len(plan.first().found) in (29, 30)
+
+
+def _near_cells(walk, bins):
+    low = F.greatest(F.ceil(F.col("P0") / (F.col("share") + F.col("d")) * (1 - 1e-9)), F.lit(1))
+    high = F.least(F.floor((F.col("P0") + F.col("c") * F.col("d")) / F.col("share") * (1 + 1e-9)), F.lit(bins))
+    return walk.where(low <= high).count()
+
+
 def test_assign_1d_last_closed(spark):
     df = spark.createDataFrame([(0.5,), (1.0,), (2.0,), (3.0,), (3.5,)], "duration double")
     got = [r.bin_id for r in B.assign_bin_1d(df, [1.0, 2.0, 3.0]).orderBy("duration").collect()]
@@ -93,6 +125,6 @@ def test_capped_batches_stay_open_over_chunk_edges(spark):
                     tot, n = 0, n + 1
                 tot += e
                 want[i] = n
-        for buffer in (1, 3, 50, 20000):
-            got = B.plan_batches_capped(df, cap=120.0, quadratic=60.0, buffer=buffer, order=order).collect()
+        for buffer, fan in ((1, 3), (3, 64), (50, 2), (20000, 64)):
+            got = B.plan_batches_capped(df, cap=120.0, quadratic=60.0, buffer=buffer, order=order, fan=fan).collect()
             assert {r.utt_id: r.batch for r in got} == want

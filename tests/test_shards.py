@@ -1,9 +1,13 @@
 """Global index and shard planning (H-2, WIN1-WIN6, AGG6 fixture)."""
 from pyspark.sql import functions as F
 
+from conftest import SF
+
 from voxspark.operators import index as I
 from voxspark.operators import manifest as M
 from voxspark.operators import shards as H
+from voxspark.plans import views as V
+from voxspark.session import scratch_scope
 from voxspark.sources import manifest as S
 
 
@@ -54,8 +58,43 @@ def test_scan_reference_layout(spark, tmp_path):
     assert got == [("d1", "test", "5"), ("d1", "train", "5")]
 
 
-def test_release_cached(spark):
-    df = spark.range(100)
-    ix = I.with_index(df, ["id"])
-    assert ix.count() == 100
-    assert I.release_cached() >= 1 and I.release_cached() == 0
+def test_index_takes_ties_nulls_and_groups(spark):
+    rows = [("a", 1), ("a", 1), ("a", None), (None, 2), (None, 2), (None, None), ("b", 5)] * 3
+    df = spark.createDataFrame(rows, "g string, v int")
+    ix, n = I.indexed(df, ["g", "v"], group=1)
+    got = ix.collect()
+    assert n == len(rows) and sorted(r.idx for r in got) == list(range(n))
+    key = lambda r: (r.g is not None, r.g or "", r.v is not None, r.v or 0)
+    assert [key(r) for r in sorted(got, key=lambda r: r.idx)] == sorted(map(key, got))
+    for g in ("a", "b", None):
+        part = [r for r in got if r.g == g]
+        assert sorted(r.pos for r in part) == list(range(len(part)))
+    empty, none = I.indexed(df.where("false"), ["g"], group=1)
+    assert none == 0 and empty.collect() == []
+
+
+def test_rows_without_a_file_are_kept(spark):
+    df = spark.createDataFrame([(0, None, 0), (0, None, 1), (0, "a.wav", 2), (None, "a.wav", 0)],
+                               "shard_id int, audio_filepath string, pos long")
+    got = sorted((str(r.shard_id), str(r.member), r.repeat) for r in H.number_repeats(df).collect())
+    assert got == [("0", "None", 0), ("0", "None", 1), ("0", "a.wav", 0), ("None", "a.wav", 0)]
+
+
+def test_wide_columns_are_not_sorted_or_cached(spark):
+    """The index shuffles order columns alone; text is read only where it is asked for, and
+    nothing stays cached."""
+    df = V.v_repeats(spark, SF)
+    kept, _ = H.shard_even(df, 4, H.shuffle_key(42))
+    rows = H.number_repeats(H.order_in_shard(kept))
+    plan = rows.select("utt_id", "member")._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan and "InMemoryRelation" not in plan
+    assert spark._jsc.sc().getPersistentRDDs().isEmpty()
+
+
+def test_scratch_scope_deletes_its_files(spark):
+    import os
+    with scratch_scope(spark):
+        ix = I.with_index(spark.range(100), ["id"])
+        files = [f for f in ix.inputFiles()]
+        assert files and ix.count() == 100
+    assert not any(os.path.exists(f.replace("file:", "").replace("//", "/", 1)) for f in files)

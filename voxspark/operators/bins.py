@@ -3,106 +3,97 @@
 
 The bin estimator walks rows sorted by length and opens a new bin when the running
 sum since the last bin start *exceeds* an equal share (a resetting cumulative sum,
-SURVEY H-1).  That is not a window function, so:
+SURVEY H-1).  That is not a window function, but its boundaries are found in a constant number
+of jobs:
 
 1. rows are reduced to a histogram of cells (equal keys, with a row count) - lengths
    repeat, so this is far smaller than the data and its size is bounded by the number
    of distinct lengths, not by the row count;
 2. range-partitioned prefix sums give each cell its rows-before ``R0`` and
    mass-before ``P0``;
-3. each boundary is one small distributed lookup: the first row ``i`` with
-   ``S(i) - S(b) > share``; inside a cell of ``c`` equal rows of weight ``w`` that is
-   row ``k = 0`` if ``P0 - S(b) > share`` else ``floor((share + S(b) - P0) / w) + 1``
-   (if ``k < c``).  Lookups for all buckets run together, so the driver loop has one
-   iteration per bin, and only a handful of numbers per iteration reach the driver.
+3. a stretch of cells is summed up by those of its rows that can open a bin at all.  A bin passes its
+   share by less than the row before its end, and rows are in rising order of weight, so the
+   k-th boundary has a mass-before in ``(k * share, k * (share + w)]``, w its own weight: about k
+   rows for each k, whatever the number of rows (``resetting_boundaries`` has the bound).
+   Summaries are merged by putting their rows together (an aggregate, combined map-side), and
+   the walk from boundary to boundary runs over the merged summary inside Spark, one row per
+   group.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .index import running_sums, with_index, index_in_group
+from ..session import written
+from .index import running_sums, with_index
+
+FOUND = "array<struct<i:bigint,s:double,v:double>>"
 
 
 # ------------------------------------------------------------------ boundary search
-def _next_boundaries(cells: DataFrame, group: str, state: dict, w: str, value: str,
-                     wmax: float) -> dict:
-    """One lookup round for every unfinished group: returns {group: (i, S_i, value)}.
-
-    The per-group state (<= one entry per bucket) travels as literal maps.  Only cells
-    in an exact window can hold the next boundary: their last row exceeds the share and
-    their first row starts at most ``share + wmax`` past the current start (the row
-    before a boundary did not exceed the share)."""
-    groups = sorted(state)
-    sb = F.create_map(*[x for g in groups for x in (F.lit(g), F.lit(float(state[g][0])))])
-    sh = F.create_map(*[x for g in groups for x in (F.lit(g), F.lit(float(state[g][1])))])
-    c = (cells.filter(F.col(group).isin(groups))
-         .withColumn("_sb", sb[F.col(group)]).withColumn("_share", sh[F.col(group)]))
-    c = c.filter((F.col("P0") + (F.col("c") - 1) * F.col(w) - F.col("_sb") > F.col("_share"))
-                 & (F.col("P0") - F.col("_sb") <= F.col("_share") + F.lit(float(wmax))))
-    over = (F.col("P0") - F.col("_sb")) > F.col("_share")
-    k0 = F.floor((F.col("_share") + F.col("_sb") - F.col("P0")) / F.col(w)) + 1
-    k = F.when(over, F.lit(0)).when(F.col(w) > 0, k0)
-    # guard the division against rounding: step back while the previous row also exceeds
-    prev_over = (F.col("P0") + (k - 1) * F.col(w) - F.col("_sb")) > F.col("_share")
-    k = F.when((k >= 1) & prev_over, k - 1).otherwise(k)
-    cand = c.withColumn("_k", k).filter(F.col("_k").isNotNull() & (F.col("_k") < F.col("c")))
-    cand = cand.select(group, (F.col("R0") + F.col("_k")).alias("i"),
-                       (F.col("P0") + F.col("_k") * F.col(w)).alias("s"), F.col(value).alias("v"))
-    if len(groups) == 1:          # top-1: one stage, no exchange
-        best = cand.orderBy("i").limit(1).collect()
-        return {r[group]: (r["i"], r["s"], r["v"]) for r in best}
-    best = cand.groupBy(group).agg(F.min_by(F.struct("i", "s", "v"), "i").alias("b")).collect()
-    return {r[group]: (r["b"]["i"], r["b"]["s"], r["b"]["v"]) for r in best}
-
-
-def resetting_boundaries(cells: DataFrame, group: str, shares: dict, w: str, value: str,
-                         max_rounds: int) -> dict:
-    """All boundaries of the resetting cumulative sum per group.
-
-    ``cells`` holds ``group, c, R0, P0, <w>, <value>`` (prefixes within the group, in
-    walk order).  Returns {group: [(row index, boundary value), ...]}.
-
-    The k-th boundary's mass-before lies in ``(k*share, k*(share + wmax)]`` (each bin
-    overshoots its share by less than one row), so only the cells that overlap those windows
-    are kept, cached on the cluster, and each boundary is one lookup job over them."""
-    wmax = cells.agg(F.max(w)).first()[0] or 0.0
-    groups = sorted(shares)
-    sh = F.create_map(*[x for g in groups for x in (F.lit(g), F.lit(float(shares[g])))])
-    s_ = sh[F.col(group)]
-    lo_k = F.ceil(F.col("P0") / (s_ + F.lit(float(wmax))))
-    hi_k = F.floor((F.col("P0") + F.col("c") * F.col(w) + F.lit(float(wmax))) / s_)
-    near = cells.filter(F.col(group).isin(groups) & (s_ > 0)
-                        & (F.greatest(lo_k, F.lit(1)) <= F.least(hi_k, F.lit(max_rounds))))
-    near = near.select(group, "R0", "P0", "c", *dict.fromkeys([w, value])).persist(StorageLevel.MEMORY_AND_DISK)
-    state = {g: (0.0, s) for g, s in shares.items()}
-    out = {g: [] for g in shares}
-    for _ in range(max_rounds):
-        if not state:
-            break
-        found = _next_boundaries(near, group, state, w, value, wmax)
-        state = {g: (found[g][1], state[g][1]) for g in state if g in found}
-        for g, (i, _, v) in found.items():
-            out[g].append((int(i), v))
-    near.unpersist()
-    return out
+def resetting_boundaries(cells: DataFrame, group: str, w: str, value: str, max_bins: int) -> DataFrame:
+    """All boundaries of the resetting cumulative sum per group: a row ``(group, found)``, ``found``
+    an array of (row index ``i``, mass before it ``s``, value ``v``).
+
+    ``cells`` holds ``group, share, c, R0, P0, <w>, <value>`` (prefixes within the group, in walk
+    order, which must be the rising order of ``w``).  A cell of ``c`` equal rows can hold
+    the k-th boundary only if some row of it has a mass-before P with
+    ``k * share < P <= k * (share + w)``.  For rows lighter than share / K (K the number of bins)
+    these windows are disjoint and a window holds at most ``k * (1 + log(share / w))`` rows, as
+    the mass before a row grows by a factor ``1 + 1/k`` or the weight stays; heavier rows
+    number at most K * K in all.  So a summary is bounded by K and the range of weights."""
+    weight = F.col(w)
+    # a shade wider than exact: rounding may add a candidate, never lose one
+    low = F.greatest(F.ceil(F.col("P0") / (F.col("share") + weight) * (1 - 1e-9)), F.lit(1))
+    high = F.least(F.floor((F.col("P0") + F.col("c") * weight) / F.col("share") * (1 + 1e-9)), F.lit(max_bins))
+    near = cells.where((F.col("share") > 0) & (low <= high))
+    cell = F.struct("R0", "P0", "c", weight.cast("double").alias("w"), F.col(value).cast("double").alias("v"))
+    merged = near.groupBy(group).agg(F.first("share").alias("share"), F.array_sort(F.collect_list(cell)).alias("near"))
+
+    def step(state, _):
+        """From the mass before the last boundary to the next one: inside the first cell whose
+        last row passes the share, its first row that does."""
+        left = F.col("share") + state["s"]
+        hits = F.filter("near", lambda x: x["P0"] + (x["c"] - 1) * x["w"] - state["s"] > F.col("share"))
+
+        def row(x):
+            k = F.floor((left - x["P0"]) / x["w"]) + 1
+            # the division may round up: the row before must not pass the share
+            k = F.when((k >= 1) & (x["P0"] + (k - 1) * x["w"] - state["s"] > F.col("share")), k - 1).otherwise(k)
+            k = F.when(x["P0"] - state["s"] > F.col("share"), F.lit(0).cast("long")).otherwise(k)
+            return F.struct((x["R0"] + k).alias("i"), (x["P0"] + k * x["w"]).alias("s"), x["v"].alias("v"))
+
+        rows = F.transform(F.slice(hits, 1, 1), row)
+        # nothing passes the share any more: an infinite mass ends the walk
+        return F.struct(F.coalesce(F.get(rows, 0)["s"], F.lit(float("inf"))).alias("s"), F.concat(state["found"], rows).alias("found"))
+
+    start = F.struct(F.lit(0.0).alias("s"), F.array().cast(FOUND).alias("found"))
+    return merged.select(group, F.aggregate(F.sequence(F.lit(1), F.lit(max_bins)), start, step, lambda st: st["found"]).alias("found"))
 
 
 def _cells(df: DataFrame, keys: list[str], weight: str) -> DataFrame:
     """Histogram cells in ``keys`` order with exclusive prefixes R0 (rows) and P0
-    (sum of ``weight``)."""
+    (sum of ``weight``), written to the shared folder."""
     h = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("c"))
     h = h.withColumn("_mass", F.col(weight).cast("double") * F.col("c"))
     h = running_sums(h, keys, {"_cr": "c", "_cm": "_mass"})
-    return (h.withColumn("R0", F.col("_cr") - F.col("c"))
-             .withColumn("P0", F.col("_cm") - F.col("_mass"))
-             .drop("_cr", "_cm", "_mass")
-             .persist(StorageLevel.MEMORY_AND_DISK))
+    return written(h.withColumn("R0", F.col("_cr") - F.col("c")).withColumn("P0", F.col("_cm") - F.col("_mass"))
+                   .drop("_cr", "_cm", "_mass"), "cells")
+
+
+def _duration_boundaries(cells: DataFrame, num_buckets: int) -> tuple[list, int, float | None]:
+    """Boundaries ``(row index, length)`` of equal-mass bins over ``cells`` (``num_buckets`` numbers at
+    the most), the number of rows and the longest length."""
+    n, total, longest = cells.agg(F.sum("c"), F.sum(F.col("d") * F.col("c")), F.max("d")).first()
+    if not n:
+        return [], 0, None
+    walk = cells.withColumn("g", F.lit(0)).withColumn("share", F.lit(total / num_buckets))
+    rows = resetting_boundaries(walk, "g", "d", "d", num_buckets + 1).collect()
+    return [(x.i, x.v) for r in rows for x in r.found], n, longest
 
 
 # ------------------------------------------------------------------ 1-D bins (WIN9)
@@ -112,10 +103,7 @@ def duration_bins(df: DataFrame, num_buckets: int, dur: str = "duration") -> lis
     if num_buckets < 2:
         raise ValueError("num_buckets must be > 1")
     cells = _cells(df.select(F.col(dur).cast("double").alias("d")), ["d"], "d")
-    cells = cells.withColumn("g", F.lit(0))
-    total = cells.agg(F.sum(F.col("d") * F.col("c"))).first()[0] or 0.0
-    found = resetting_boundaries(cells, "g", {0: total / num_buckets}, "d", "d", num_buckets + 1)
-    return [v for _, v in found[0]]
+    return [v for _, v in _duration_boundaries(cells, num_buckets)[0]]
 
 
 # ------------------------------------------------------------------ 2-D bins (WIN10)
@@ -135,16 +123,13 @@ def duration_bins_2d(df: DataFrame, num_buckets: int, num_subbuckets: int,
     statistics, as the reference loop does (D-7)."""
     if num_buckets < 2:
         raise ValueError("num_buckets must be > 1")
-    spark = df.sparkSession
     rows = df.select(F.col(dur).cast("double").alias("d"), F.col(tok).cast("long").alias("t"))
-    cells = _cells(rows, ["d", "t"], "d").withColumn("g", F.lit(0))
-    n, total, dmax = cells.agg(F.sum("c"), F.sum(F.col("d") * F.col("c")), F.max("d")).first()
-    found = resetting_boundaries(cells, "g", {0: total / num_buckets}, "d", "d", num_buckets + 1)[0]
+    cells = _cells(rows, ["d", "t"], "d")
+    found, n, dmax = _duration_boundaries(cells, num_buckets)
     starts = [0] + [i for i, _ in found]
-    ends = [i for i, _ in found] + [n - 1 if legacy else n]
-    top = dmax if math.isinf(max_duration) else max_duration
+    last_end = n - 1 if legacy else n
+    top = dmax if math.isinf(max_duration) or dmax is None else max_duration
     maxdur = [v for _, v in found] + [top]
-    nb = len(starts)
 
     # split cells at bucket starts (a handful of literals, bounded by num_buckets)
     cuts = F.array(*[F.lit(int(s)) for s in starts[1:]] or [F.lit(-1)]).cast("array<long>")
@@ -157,7 +142,6 @@ def duration_bins_2d(df: DataFrame, num_buckets: int, num_subbuckets: int,
     start_arr = F.array(*[F.lit(int(s)) for s in starts]).cast("array<long>")
     pieces = pieces.withColumn("bucket", (F.size(F.filter(start_arr, lambda x: x <= F.col("a"))) - 1)
                                .cast("int"))
-    last_end = ends[-1]
     pieces = (pieces.withColumn("b", F.least(F.col("b"), F.lit(int(last_end))))
               .withColumn("c", F.col("b") - F.col("a")).filter(F.col("c") > 0)
               .withColumn("tps", _tps(F.col("t"), F.col("d"))))
@@ -170,17 +154,19 @@ def duration_bins_2d(df: DataFrame, num_buckets: int, num_subbuckets: int,
     sig = dev.filter(finite).groupBy("bucket").agg(
         F.sqrt(F.sum(F.pow(F.col("tps") - F.col("mu"), 2) * F.col("c")) / F.sum("c")).alias("sigma"))
     z = F.try_divide(F.col("tps") - F.col("mu"), F.col("sigma"))
-    tagged = (dev.join(F.broadcast(sig), "bucket", "left")
-              .withColumn("keep", finite & F.coalesce((F.col("sigma") == 0) | (z <= threshold), F.lit(True)))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    tagged = written(dev.join(F.broadcast(sig), "bucket", "left")
+                     .withColumn("keep", finite & F.coalesce((F.col("sigma") == 0) | (z <= threshold), F.lit(True)))
+                     .select("bucket", "t", "c", "tps", "keep"), "tagged")
+    keep = F.col("keep")
+    limit = F.array(*[F.lit(x).cast("double") for x in maxdur])
     stats = tagged.groupBy("bucket").agg(
-        F.min(F.when(F.col("keep"), F.col("t"))).alias("min_tokens"),
-        F.max(F.when(F.col("keep"), F.col("t"))).alias("max_tokens"),
-        F.max(F.when(F.col("keep"), F.col("tps"))).alias("max_tps"),
-        F.sum(F.when(~F.col("keep"), F.col("c")).otherwise(0)).alias("outliers"),
-        F.min(F.when(~F.col("keep"), F.col("tps"))).alias("min_outlier_tps"),
-        F.max(F.when(~F.col("keep"), F.col("tps"))).alias("max_outlier_tps"),
-        F.sum("c").alias("rows"))
+        F.min(F.when(keep, F.col("t"))).alias("min_tokens"),
+        F.max(F.when(keep, F.col("t"))).alias("max_tokens"),
+        F.max(F.when(keep, F.col("tps"))).alias("max_tps"),
+        F.sum(F.when(~keep, F.col("c")).otherwise(0)).alias("outliers"),
+        F.min(F.when(~keep, F.col("tps"))).alias("min_outlier_tps"),
+        F.max(F.when(~keep, F.col("tps"))).alias("max_outlier_tps"),
+        F.sum("c").alias("rows")).withColumn("max_duration", F.get(limit, F.col("bucket")))
 
     # token sub-bins: histogram of kept tokens per bucket, walked in token order.  A
     # bucket's token histogram is bounded by the number of distinct token counts.
@@ -189,24 +175,15 @@ def duration_bins_2d(df: DataFrame, num_buckets: int, num_subbuckets: int,
     wb = Window.partitionBy("bucket").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     th = (th.withColumn("R0", F.sum("c").over(wb) - F.col("c"))
             .withColumn("P0", F.sum("_m").over(wb) - F.col("_m"))
-            .withColumn("w", F.col("t").cast("double"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    tot = {r["bucket"]: r["s"] for r in th.groupBy("bucket").agg(F.sum("_m").alias("s")).collect()}
-    shares = {b: tot[b] / num_subbuckets for b in tot}
-    sub = resetting_boundaries(th, "bucket", shares, "w", "t", num_subbuckets + 1)
-    st = {r["bucket"]: r for r in stats.collect()}          # one row per bucket
-    bins = []
-    for b in range(nb):
-        if b not in st or st[b]["max_tokens"] is None:      # nothing kept
-            continue
-        for _, v in sub.get(b, []):
-            bins.append((b, float(maxdur[b]), int(v), float(st[b]["max_tps"])))
-        bins.append((b, float(maxdur[b]), int(st[b]["max_tokens"]), float(st[b]["max_tps"])))
-    out = spark.createDataFrame([(i, *x) for i, x in enumerate(bins)],
-                                "bin_id int, bucket int, max_duration double, max_tokens long, max_tps double")
-    stats = stats.withColumn("max_duration", F.element_at(
-        F.array(*[F.lit(float(x)) for x in maxdur]), F.col("bucket") + 1))
-    return out, stats
+            .withColumn("share", F.sum("_m").over(Window.partitionBy("bucket")) / num_subbuckets))
+    sub = resetting_boundaries(th, "bucket", "t", "t", num_subbuckets + 1)
+    # one row per bucket; a bucket with nothing kept has no bins
+    ends = F.concat(F.coalesce(F.transform("found", lambda x: x["v"].cast("long")), F.array().cast("array<long>")), F.array("max_tokens"))
+    bins = stats.where("max_tokens is not null").join(F.broadcast(sub), "bucket", "left")
+    bins = bins.select("bucket", "max_duration", F.posexplode(ends).alias("_j", "max_tokens"), "max_tps")
+    # buckets x sub-buckets rows
+    place = F.row_number().over(Window.orderBy("bucket", "_j")) - 1
+    return bins.select(place.alias("bin_id"), "bucket", "max_duration", "max_tokens", "max_tps"), stats
 
 
 # ------------------------------------------------------------------ assignment (JOIN6)
@@ -247,17 +224,11 @@ def filter_tps(assigned: DataFrame, caps: list[float], dur: str = "duration",
 
 # ------------------------------------------------------------------ other bin forms
 def static_buckets(lo: float, hi: float, n: int) -> list[tuple[float, float]]:
-    """WIN11: ``n`` equal-width ranges ``[lo + i*L, lo + (i+1)*L)``, the last widened
-    by 1e-5 so ``hi`` fits (same float arithmetic as the reference loop)."""
-    length = (hi - lo) / float(n)
-    out = []
-    for i in range(n):
-        a = lo + i * length
-        b = a + length
-        if i == n - 1:
-            b += 1e-5
-        out.append((a, b))
-    return out
+    """WIN11: ``n`` ranges of equal width from ``lo`` on, lower ends included, upper ends not; the
+    last reaches 1e-5 further, so that ``hi`` fits."""
+    width = (hi - lo) / n
+    lower = [lo + k * width for k in range(n)]
+    return [(x, x + width + (1e-5 if k == n - 1 else 0.0)) for k, x in enumerate(lower)]
 
 
 def assign_static_bucket(df: DataFrame, ranges: list[tuple[float, float]],
@@ -344,8 +315,8 @@ def plan_batches(assigned: DataFrame, batch_sizes: list[int], order: list[str])
     The position inside a bin uses the global index (no per-bin window, so a bin
     holding a third of the rows is still spread over many tasks)."""
     sizes = F.array(*[F.lit(int(b)) for b in batch_sizes])
-    ix = with_index(assigned.filter(F.col("bin_id").isNotNull()), ["bin_id", *order], col="_g")
-    pos = index_in_group(ix, ["bin_id"], idx="_g", col="pos_in_bin").drop("_g")
+    pos = with_index(assigned.filter(F.col("bin_id").isNotNull()), ["bin_id", *order], col="_g", group=1,
+                     pos="pos_in_bin").drop("_g")
     bs = F.element_at(sizes, F.col("bin_id") + 1)
     return pos.withColumn("batch", F.floor(F.col("pos_in_bin") / bs).cast("long"))
 
@@ -392,24 +363,50 @@ def _chains(eff, limit: float):
     return n, tot
 
 
+def _joined(chunks, limit: float):
+    """Summary of a stretch of chunks from theirs, in order: what a close at each row of its head leads
+    to at the stretch's end.  The head goes on into the next chunk as long as nothing closes
+    for sure; joining summaries of summaries gives the same as joining all chunks."""
+    import numpy as np
+    head, closed, left, sure = np.zeros(0), np.zeros(0, dtype=np.int64), np.zeros(0), False
+    for h, n, o in chunks:
+        tot, grown, done = left.copy(), closed.copy(), np.zeros(len(left), dtype=bool)
+        end, count = tot.copy(), grown.copy()
+        for j, e in enumerate(h.tolist()):
+            now = ~done & (tot > 0) & (tot + e > limit)
+            end[now], count[now] = o[j], grown[now] + n[j]
+            done |= now
+            tot = tot + e
+            if done.all():
+                break
+        end[~done] = tot[~done]
+        left, closed = end, count
+        if not sure:
+            head, left, closed = np.concatenate([head, h]), np.concatenate([left, o]), np.concatenate([closed, n])
+            sure = _first_close(h.tolist(), limit, 0.0)[0] >= 0
+    return head, closed, left
+
+
 def plan_batches_capped(assigned: DataFrame, cap: float = 360.0, quadratic: float = 15.0,
                         buffer: int = 20000, order: list[str] | None = None,
-                        dur: str = "duration") -> DataFrame:
+                        dur: str = "duration", fan: int = 64) -> DataFrame:
     """WIN13: per bin, close a batch before the running sum of effective durations
     ``d + d^2/quadratic`` would pass ``cap``.  ``batch`` counts from 0 in every bin, which is
     one run of batches; ``batch_in_chunk`` counts from the one open where the chunk starts.
     Bins are worked on in chunks of ``buffer`` rows, on which ``batch`` does not depend.  Every
     chunk is first reduced to its head (the rows up to the first that closes a batch whatever
-    is open) and to what follows from a close at each of them; one pass over these heads,
-    streamed in order, gives each chunk its open sum and batch number; then the chunks are
-    filled side by side.  No task holds a whole bin; sums are added row by row as in one run."""
+    is open) and to what follows from a close at each of them, and ``fan`` chunks to one such summary
+    of them all.  These, one for ``fan * buffer`` rows, are streamed in order to give each
+    stretch its open sum and batch number; then stretches are walked chunk by chunk and chunks filled,
+    all side by side.  No task holds a whole bin; sums are added row by row as in one run."""
     order = order or [dur, "utt_id"]
-    ix = with_index(assigned.filter(F.col("bin_id").isNotNull()), ["bin_id", *order], col="_g")
-    pos = index_in_group(ix, ["bin_id"], idx="_g", col="pos_in_bin").drop("_g")
+    pos = with_index(assigned.filter(F.col("bin_id").isNotNull()), ["bin_id", *order], col="_g", group=1,
+                     pos="pos_in_bin").drop("_g")
     eff = F.col(dur) + F.col(dur) * F.col(dur) / F.lit(float(quadratic))
-    small = pos.select("bin_id", F.floor(F.col("pos_in_bin") / buffer).cast("long").alias("chunk"), "pos_in_bin",
-                       eff.alias("eff"))
+    chunk = F.floor(F.col("pos_in_bin") / buffer).cast("long")
+    small = written(pos.select("bin_id", chunk.alias("chunk"), "pos_in_bin", eff.alias("eff")), "lengths")
     limit = float(cap)
+    summary = "bin_id int, {} long, head array<double>, closed array<long>, open array<double>"
 
     def heads(pdf):
         import pandas as pd
@@ -418,28 +415,51 @@ def plan_batches_capped(assigned: DataFrame, cap: float = 360.0, quadratic: floa
         return pd.DataFrame({"bin_id": pdf["bin_id"].iloc[:1].to_numpy(), "chunk": pdf["chunk"].iloc[:1].to_numpy(),
                              "head": [v[:len(n)]], "closed": [n], "open": [tot]})
 
+    def stretch(pdf):
+        import pandas as pd
+        pdf = pdf.sort_values("chunk")
+        head, closed, left = _joined(pdf[["head", "closed", "open"]].itertuples(index=False, name=None), limit)
+        return pd.DataFrame({"bin_id": pdf["bin_id"].iloc[:1].to_numpy(), "part": pdf["part"].iloc[:1].to_numpy(),
+                             "head": [head], "closed": [closed], "open": [left]})
+
+    def walk(rows, tot, b):
+        """(open sum, batch number) before each summary, from those before the first."""
+        out = []
+        for head, closed, left in rows:
+            out.append((tot, b))
+            j, end = _first_close(head.tolist(), limit, tot)
+            tot, b = (end, b) if j < 0 else (float(left[j]), b + int(closed[j]))
+        return out, tot, b
+
     def carried(frames):
         import pandas as pd
         now, tot, b = None, 0.0, 0
         for pdf in frames:
             rows = []
-            for bin_id, chunk, head, closed, left in pdf.itertuples(index=False):
+            for bin_id, part, *one in pdf.itertuples(index=False):
                 if bin_id != now:
                     now, tot, b = bin_id, 0.0, 0
-                rows.append((bin_id, chunk, tot, b))
-                j, end = _first_close(head.tolist(), limit, tot)
-                tot, b = (end, b) if j < 0 else (float(left[j]), b + int(closed[j]))
-            yield pd.DataFrame(rows, columns=["bin_id", "chunk", "tot", "first"])
+                before, tot, b = walk([one], tot, b)
+                rows.append((bin_id, part, *before[0]))
+            yield pd.DataFrame(rows, columns=["bin_id", "part", "tot", "first"])
+
+    def inside(pdf):
+        pdf = pdf.sort_values("chunk")
+        rows, _, _ = walk(pdf[["head", "closed", "open"]].itertuples(index=False, name=None), float(pdf["tot"].iloc[0]), int(pdf["first"].iloc[0]))
+        return pdf.assign(tot=[t for t, _ in rows], first=[b for _, b in rows])[["bin_id", "chunk", "tot", "first"]]
 
     def fill(pdf):
         pdf = pdf.sort_values("pos_in_bin")
         got = _fill(pdf["eff"].to_numpy(), limit, float(pdf["tot"].iloc[0]))
         return pdf.assign(batch_in_chunk=got, batch=got + pdf["first"])[["bin_id", "chunk", "pos_in_bin", "batch_in_chunk", "batch"]]
 
-    state = (small.groupBy("bin_id", "chunk").applyInPandas(
-        heads, "bin_id int, chunk long, head array<double>, closed array<long>, open array<double>")
-        .repartition("bin_id").sortWithinPartitions("bin_id", "chunk")
-        .mapInPandas(carried, "bin_id int, chunk long, tot double, first long"))
+    chunks = written(small.groupBy("bin_id", "chunk").applyInPandas(heads, summary.format("chunk"))
+                     .withColumn("part", F.floor(F.col("chunk") / fan).cast("long")), "chunks")
+    parts = chunks.groupBy("bin_id", "part").applyInPandas(stretch, summary.format("part"))
+    state = (parts.repartition("bin_id").sortWithinPartitions("bin_id", "part")
+             .mapInPandas(carried, "bin_id int, part long, tot double, first long"))
+    state = chunks.join(state, ["bin_id", "part"]).groupBy("bin_id", "part").applyInPandas(
+        inside, "bin_id int, chunk long, tot double, first long")
     batches = small.join(state, ["bin_id", "chunk"]).groupBy("bin_id", "chunk").applyInPandas(
         fill, "bin_id int, chunk long, pos_in_bin long, batch_in_chunk long, batch long")
     return pos.join(batches, ["bin_id", "pos_in_bin"])

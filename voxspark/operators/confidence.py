@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.naming import experiment_name
+from ..session import written
 from .index import running_sums
 
 # Fixed values.
@@ -76,9 +77,8 @@ def confidence_metrics(df: DataFrame, by: list[str], score: str = "score",
     metric is derived from that histogram, whose size is bounded by the number of
     distinct scores per group, whatever the row count."""
     y = F.col(correct).cast("long")
-    hist = (df.groupBy(*by, F.col(score).alias("s"))
-            .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    hist = written(df.groupBy(*by, F.col(score).alias("s"))
+                   .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")), "scores")
     s = F.col("s")
     cnt = F.col("pos") + F.col("neg")
     clipped = F.least(F.greatest(s, F.lit(EPS)), F.lit(1 - EPS))

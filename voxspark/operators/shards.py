@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .index import index_in_group, with_index
+from .index import indexed, with_index
 from .manifest import path_ext, squash
 
 
@@ -27,22 +27,19 @@ def shard_even(df: DataFrame, num_shards: int, order) -> tuple[DataFrame, DataFr
     ``n - k*num_shards`` rows are dropped (returned as the second frame)."""
     if num_shards < 1:
         raise ValueError("num_shards must be >= 1")           # D-3
-    ix = with_index(df, order)
-    n = ix.count()
+    ix, n = indexed(df, order)
     if 0 < n < num_shards:                                    # D-2
         raise ValueError(f"{n} rows cannot fill {num_shards} shards")
     k = n // num_shards if n else 1
     kept = (ix.filter(F.col("idx") < k * num_shards)
-            .withColumn("shard_id", (F.col("idx") / F.lit(k)).cast("int"))
-            .withColumn("shard_size", F.lit(k).cast("long")))   # rows per shard (a literal)
+            .withColumn("shard_id", (F.col("idx") / F.lit(k)).cast("int")))
     return kept, ix.filter(F.col("idx") >= k * num_shards)
 
 
 def shard_append(new: DataFrame, per_shard: int, first_shard: int, order):
     """WIN2: append rows to an existing set: shard size from its metadata, ids continue
     after the existing shards, the remainder is dropped (all kept when it is 0, D-1)."""
-    ix = with_index(new, order)
-    m = ix.count()
+    ix, m = indexed(new, order)
     full = (m // per_shard) * per_shard
     kept = ix.filter(F.col("idx") < full).withColumn(
         "shard_id", (F.lit(first_shard) + (F.col("idx") / F.lit(per_shard)).cast("int")).cast("int"))
@@ -55,36 +52,20 @@ def shard_fixed(df: DataFrame, size: int, order) -> DataFrame:
     return ix.withColumn("shard_id", (F.col("idx") / F.lit(size)).cast("int"))
 
 
-def order_in_shard(sharded: DataFrame, sort_by_duration: bool = True,
-                   first_shard: int = 0) -> DataFrame:
+def order_in_shard(sharded: DataFrame, sort_by_duration: bool = True) -> DataFrame:
     """WIN4: position inside each shard; by duration (ties in shard order) when
-    ``sort_in_shards`` is on, else the shard order itself.
-
-    Even shards are contiguous blocks of ``shard_size`` rows in shard order (the column
-    ``shard_even`` adds), so a position is the index in (shard, order) minus
-    ``(shard_id - first_shard) * shard_size``: no group-start join.  Without that column
-    the start is joined back."""
-    known = "shard_size" in sharded.columns
-    start = (F.col("shard_id") - first_shard) * F.col("shard_size") if known else None
-    if not sort_by_duration:
-        if known:
-            return sharded.withColumn("pos", F.col("idx") - start)
-        return index_in_group(sharded, ["shard_id"], idx="idx", col="pos")
-    ix = with_index(sharded.withColumnRenamed("idx", "shard_idx"),
-                    ["shard_id", "duration", "shard_idx"], col="sidx")
-    if known:
-        out = ix.withColumn("pos", F.col("sidx") - start)
-    else:
-        out = index_in_group(ix, ["shard_id"], idx="sidx", col="pos")
-    return out.drop("sidx").withColumnRenamed("shard_idx", "idx")
+    ``sort_in_shards`` is on, else the shard order itself.  Only shard, duration and index are
+    sorted; a null shard is a shard like others."""
+    order = ["shard_id", "duration", "idx"] if sort_by_duration else ["shard_id", "idx"]
+    return with_index(sharded, order, col="_g", group=1).drop("_g")
 
 
 def number_repeats(df: DataFrame, file: str = "audio_filepath") -> DataFrame:
     """WIN5 + PRJ8: member name inside a shard.  The first row of a squashed name keeps
-    it, the n-th repeat (shard order ``pos``) becomes ``base-sub{n}.ext``."""
+    it, the n-th repeat (shard order ``pos``) becomes ``base-sub{n}.ext``.  Rows without a
+    file are numbered among themselves and keep a null name."""
     sq = df.withColumn("member", squash(F.col(file)))
-    ix = with_index(sq, ["shard_id", "member", "pos"], col="_g")
-    rep = index_in_group(ix, ["shard_id", "member"], idx="_g", col="repeat").drop("_g")
+    rep = with_index(sq, ["shard_id", "member", "pos"], col="_g", group=2, pos="repeat").drop("_g")
     ext = path_ext(F.col("member"))
     base = F.substring(F.col("member"), F.lit(1), F.length("member") - F.length(ext))
     renamed = F.concat(base, F.lit("-sub"), F.col("repeat").cast("string"), ext)

@@ -101,15 +101,13 @@ cb(bin_id, pos_in_bin, tot, batch) AS (
          CASE WHEN cb.tot > 0 AND cb.tot + q.eff > {CAP} THEN q.eff ELSE cb.tot + q.eff END,
          CASE WHEN cb.tot > 0 AND cb.tot + q.eff > {CAP} THEN cb.batch + 1 ELSE cb.batch END
   FROM cb JOIN q ON q.bin_id = cb.bin_id AND q.pos_in_bin = cb.pos_in_bin + 1)
-SELECT q.utt_id, CAST(q.bin_id AS INTEGER) AS bin_id, q.pos_in_bin, CAST(0 AS BIGINT) AS chunk,
-       CAST(cb.batch AS BIGINT) AS batch_in_chunk
+SELECT q.utt_id, CAST(q.bin_id AS INTEGER) AS bin_id, q.pos_in_bin, CAST(cb.batch AS BIGINT) AS batch
 FROM q JOIN cb ON q.bin_id = cb.bin_id AND q.pos_in_bin = cb.pos_in_bin""")
 def win13_capped_batches(spark, sf):
     b = _bounds_1d(spark, sf)
     a = B.assign_bin_1d(V.v_manifest(spark, sf), b)
-    p = B.plan_batches_capped(a, CAP, QUAD)
-    # a bin is one run of batches, so one chunk, whatever buffer it is worked on by
-    return p.select("utt_id", "bin_id", "pos_in_bin", F.lit(0).cast("long").alias("chunk"), F.col("batch").alias("batch_in_chunk"))
+    # chunks that the bins of sf0.01 already run over; the batches do not depend on them
+    return B.plan_batches_capped(a, CAP, QUAD, buffer=64).select("utt_id", "bin_id", "pos_in_bin", "batch")
 
 
 @query("win14_merge_bins", covers=("WIN14",),
@@ -180,7 +178,8 @@ z AS (SELECT *, t / d AS tps, avg(t / d) OVER (PARTITION BY b) AS mu,
 tagged AS (SELECT *, (sigma = 0 OR sigma IS NULL OR (tps - mu) / sigma <= {THR}) AS keep FROM z),
 stats AS (SELECT b, count(*) AS rows, min(CASE WHEN keep THEN t END) AS min_tokens,
                  max(CASE WHEN keep THEN t END) AS max_tokens, max(CASE WHEN keep THEN tps END) AS max_tps,
-                 CAST(count_if(NOT keep) AS BIGINT) AS outliers FROM tagged GROUP BY b),
+                 CAST(count_if(NOT keep) AS BIGINT) AS outliers, min(CASE WHEN NOT keep THEN tps END) AS min_outlier_tps,
+                 max(CASE WHEN NOT keep THEN tps END) AS max_outlier_tps FROM tagged GROUP BY b),
 kept AS (SELECT b, t, row_number() OVER (PARTITION BY b ORDER BY t, d, utt_id) AS rn2 FROM tagged WHERE keep),
 sh AS (SELECT b, sum(t) / {NSUB} AS share FROM kept GROUP BY b),
 tw(b, rn2, t, tot, sb) AS (
@@ -212,11 +211,13 @@ def win10_bins_2d(spark, sf):
 
 @query("agg9_bucket_stats", covers=("AGG9", "FLT7"),
        sql=f"""{WALK_2D}
-SELECT CAST(b AS INTEGER) AS bucket, rows, min_tokens, max_tokens, round(max_tps, 6) AS max_tps, outliers FROM stats""")
+SELECT CAST(b AS INTEGER) AS bucket, rows, min_tokens, max_tokens, round(max_tps, 6) AS max_tps, outliers,
+       round(min_outlier_tps, 6) AS min_outlier_tps, round(max_outlier_tps, 6) AS max_outlier_tps FROM stats""")
 def agg9_bucket_stats(spark, sf):
     _, st = _bins_2d(spark, sf)
     return st.select("bucket", F.col("rows").cast("long").alias("rows"), "min_tokens", "max_tokens",
-                     r6("max_tps").alias("max_tps"), F.col("outliers").cast("long").alias("outliers"))
+                     r6("max_tps").alias("max_tps"), F.col("outliers").cast("long").alias("outliers"),
+                     r6("min_outlier_tps").alias("min_outlier_tps"), r6("max_outlier_tps").alias("max_outlier_tps"))
 
 
 def _bin_list(bins_df):

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
@@ -56,6 +58,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_scopes = threading.local()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back: later passes see the same rows in
+    the same order of files, and a lost executor costs a re-read.  Inside a ``scratch_scope``
+    the files go when it ends."""
+    path = scratch_path(df.sparkSession, name)
+    if getattr(_scopes, "open", None):
+        _scopes.open[-1].append(path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """``(file system, path)`` of Hadoop's API on the driver: any scheme that Spark itself reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Deletes what ``written`` made inside once the results are out, as in each batch of a stream."""
+    _scopes.open = getattr(_scopes, "open", []) + [[]]
+    try:
+        yield
+    finally:
+        for path in _scopes.open.pop():
+            fs, p = hadoop_path(spark, path)
+            fs.delete(p, True)
+
+
 def spread(df, key: str | None = None):
     """Hash-spread rows over the cluster's cores when the scan produced fewer partitions
     than the session's default parallelism (one large file or row group).  At scale
