@@ -25,15 +25,11 @@ def merge_custom(left: Column, right: Column) -> Column:
     return F.map_concat(F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k)), right)
 
 
-def attach_custom(all_rows: DataFrame, keep: DataFrame, key: str = "utt_id",
-                  order: str | None = None) -> DataFrame:
+def attach_custom(all_rows: DataFrame, keep: DataFrame, key: str = "utt_id", *,
+                  order: str) -> DataFrame:
     """JOIN2: inner join with the subset; its custom fields override per key.  With
-    duplicate ids on the right the last one (by ``order``) wins (WIN6)."""
-    right = keep.select(key, "custom", *([order] if order else []))
-    if order:
-        right = latest(right, key, order).select(key, "custom")
-    else:
-        right = right.dropDuplicates([key])
+    duplicate ids on the right the last one by its column ``order`` wins (WIN6)."""
+    right = latest(keep.select(key, "custom", order), key, order).select(key, "custom")
     j = all_rows.join(right.withColumnRenamed("custom", "_rc"), key, "inner")
     left = F.col("custom") if "custom" in all_rows.columns else _empty_map()
     return j.withColumn("custom", merge_custom(left, F.col("_rc"))).drop("_rc")

@@ -11,6 +11,8 @@ from ..operators import joins as J
 from ..operators import manifest as M
 from ..operators import shards as H
 from ..session import scratch_path
+from ..sinks import build as BD
+from ..sinks import shards as KS
 from ..sinks import tar as T
 from ..sources import shards as SS
 from . import views as V
@@ -106,12 +108,13 @@ SELECT CAST(idx // k AS INTEGER) AS shard_id,
        CAST(44 + 2 * (duration * 16) AS BIGINT) AS size
 FROM a, k WHERE idx < k * 5""")
 def snk5_tar_shards(spark, sf):
-    a = J.with_audio(V.v_manifest(spark, sf), V.v_audio(spark, sf))
-    kept, _ = H.shard_even(a, 5, H.shuffle_key(42))
-    pos = H.order_in_shard(kept, sort_by_duration=False)
-    rows = H.number_repeats(pos)
+    """Rows with audio, planned over their keys; the bytes join the plan on their way to the tars."""
+    files = V.v_audio(spark, sf)
+    have = V.v_manifest(spark, sf).join(files.select(F.col("path").alias("audio_filepath")), "audio_filepath", "left_semi")
+    cfg = KS.config(num_shards=5, shuffle=True, shuffle_seed=42, sort_in_shards=False)
+    plan, _, _ = BD.plan_shards(have, cfg)
     path = scratch_path(spark, "tars")
-    T.write_tar_shards(rows, path)
+    T.write_tar_shards(J.with_audio(plan, files), path)
     return SS.read_shards(spark, path).select("shard_id", "member", "size")
 
 

@@ -158,14 +158,17 @@ def snk4_write_shards(spark, sf):
     return back.select("utt_id", "shard_id", "audio_filepath", "duration", "text")
 
 
-@query("snk6_metadata_versions", covers=("SNK6", "SCL19", "AGG11"),
+@query("snk6_metadata_versions", covers=("SNK6", "AGG11"),
        sql=f"""{MANIFEST},
 c AS (SELECT CAST(count_if(split = 'train') // 10 AS INTEGER) AS per, count_if(split <> 'train') AS m FROM v_manifest)
-SELECT 1 AS version, per AS num_samples_per_shard, false AS is_concatenated_manifest,
-       10 AS num_shards, 0 AS n_history FROM c
+SELECT 0 AS version, CAST(NULL AS INTEGER) AS num_samples_per_shard, false AS is_concatenated_manifest,
+       -1 AS num_shards, 0 AS n_history, false AS shuffle, true AS sort_in_shards, CAST(NULL AS INTEGER) AS shuffle_seed FROM c
 UNION ALL
-SELECT 2, per, true, CAST(10 + m // per AS INTEGER), 1 FROM c""")
+SELECT 1, per, false, 10, 0, true, true, {SEED} FROM c
+UNION ALL
+SELECT 2, per, true, CAST(10 + m // per AS INTEGER), 1, true, true, {SEED} FROM c""")
 def snk6_metadata_versions(spark, sf):
+    """The blank record, then two versions of a data set."""
     m = V.v_manifest(spark, sf)
     path = scratch_path(spark, "metadata")
     base_plan = H.shard_plan(m.filter(F.col("split") == "train"), 10).first()
@@ -175,9 +178,16 @@ def snk6_metadata_versions(spark, sf):
     new_rows = H.shard_plan(m.filter(F.col("split") != "train"), 1).first()["n"]
     meta = KS.append_version(spark, path, {"num_shards": 10 + int(new_rows) // per,
                                            "shuffle": True, "shuffle_seed": SEED}, per, True)
-    return meta.select("version", "num_samples_per_shard", "is_concatenated_manifest",
-                       F.col("dataset_config.num_shards").alias("num_shards"),
-                       F.size("history").alias("n_history"))
+    return KS.default_record(spark).unionByName(meta).select(
+        "version", "num_samples_per_shard", "is_concatenated_manifest", F.col("dataset_config.num_shards").alias("num_shards"),
+        F.size("history").alias("n_history"), F.col("dataset_config.shuffle").alias("shuffle"),
+        F.col("dataset_config.sort_in_shards").alias("sort_in_shards"), F.col("dataset_config.shuffle_seed").alias("shuffle_seed"))
+
+
+@query("scl19_stamp", covers=("SCL19",),
+       sql="SELECT event_id, strftime(ts, '%m-%d-%Y %H-%M-%S') AS stamp FROM events")
+def scl19_stamp(spark, sf):
+    return V.table(spark, sf, "events").select("event_id", KS.stamp(F.col("ts")).alias("stamp"))
 
 
 @query("lim1_first_n", covers=("LIM1",),

@@ -248,6 +248,27 @@ def v_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
         wav_bytes(F.col("n_chars")).alias("content"))
 
 
+def v_shared_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audio store of ``v_repeats``: (path, content), one WAV per shared file."""
+    from ..functions.naming import wav_bytes
+    d = table(spark, sf_dir, "documents").groupBy((F.col("doc_id") % 50).alias("k")).agg(F.max(F.col("n_chars") % 4096).alias("n"))
+    return d.select(F.concat(F.lit("clips/shared/"), F.col("k").cast("string"), F.lit(".wav")).alias("path"),
+                    wav_bytes(F.col("n")).alias("content"))
+
+
+def _sql_le(e: str, width: int) -> str:
+    """Little-endian hex digits of a number."""
+    return " || ".join(f"printf('%02X', CAST(({e} >> {8 * i}) & 255 AS INTEGER))" for i in range(width))
+
+
+#: Size and digest of the same files, byte for byte.
+V_SHARED_AUDIO = f"""v_shared_audio AS (
+  SELECT k, 44 + 2 * n AS size,
+         md5(unhex('52494646' || {_sql_le('(2 * n + 36)', 4)} || '57415645666D7420' || '10000000' || '0100' || '0100' || '10000000'
+             || '20000000' || '0200' || '1000' || '64617461' || {_sql_le('(2 * n)', 4)} || repeat('0000', n))) AS digest
+  FROM (SELECT doc_id % 50 AS k, CAST(max(n_chars % 4096) AS BIGINT) AS n FROM documents GROUP BY 1))"""
+
+
 # ---------------------------------------------------------------- v_token_scores
 def v_token_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens = words of the hypothesis by position; correct when equal to the reference
@@ -279,7 +300,7 @@ V_TOKEN_SCORES = f"""v_token_scores AS (
 def with_views(*names: str) -> str:
     """WITH clause holding the named views (and what they need)."""
     order = ["v_manifest", "v_repeats", "v_tokens", "v_pairs", "v_keep", "v_scores",
-             "v_token_scores"]
+             "v_token_scores", "v_shared_audio"]
     need = {"v_repeats": {"v_manifest"}, "v_tokens": {"v_manifest"},
             "v_pairs": {"v_manifest"}, "v_token_scores": {"v_pairs", "v_manifest"}}
     want = set(names)
@@ -287,5 +308,5 @@ def with_views(*names: str) -> str:
         want |= need.get(n, set())
     text = {"v_manifest": V_MANIFEST, "v_repeats": V_REPEATS, "v_tokens": V_TOKENS,
             "v_pairs": V_PAIRS, "v_keep": V_KEEP, "v_scores": V_SCORES,
-            "v_token_scores": V_TOKEN_SCORES}
+            "v_token_scores": V_TOKEN_SCORES, "v_shared_audio": V_SHARED_AUDIO}
     return "WITH " + ",\n".join(text[n] for n in order if n in want)
