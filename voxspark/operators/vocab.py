@@ -230,12 +230,12 @@ def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
             nxt = nxt.persist()                       # filled by the next pair count
             prev = table
         table = nxt
-    rows = [(p, 0.0) for p in specials] + [(p, -float(i)) for i, p in enumerate(merges)]
+    rows = [(p, 0.0) for p in specials] + [(p, float(-i)) for i, p in enumerate(merges)]
     seen = {p for p, _ in rows}
     k = len(merges)
     for p in base:
         if p not in seen:
-            rows.append((p, -float(k)))
+            rows.append((p, float(-k)))
             seen.add(p)
             k += 1
     return spark.createDataFrame([(i, p, s) for i, (p, s) in enumerate(rows)],

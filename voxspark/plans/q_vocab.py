@@ -124,6 +124,65 @@ def tok3_train_wordpiece(spark, sf):
     return VO.train_subwords(_texts(spark, sf), BPE_SIZE, wordpiece=True, coverage=COVERAGE)
 
 
+MERGES = 24
+
+
+def _sql_train(wordpiece: bool) -> str:
+    """The plain rule, one merge a step: count neighbours over all words, join the most frequent pair
+    (ties by symbols) in every word.  Each symbol stands between blanks of its own, so that
+    ``replace`` goes from left to right without overlaps."""
+    first = VO.WORD_START if not wordpiece else ""
+    cont = VO.WPE_CONT if wordpiece else ""
+    joined = "a || b" if not wordpiece else "a || substr(b, 3)"
+    split = "regexp_extract_all(word, '(?s).')"
+    sym = (f"list_transform({split}, lambda c, i: CASE WHEN i = 1 THEN c ELSE '{cont}' || c END)" if wordpiece
+           else f"list_prepend('{first}', {split})")
+    steps = [f"""w0 AS (SELECT ' ' || array_to_string({sym}, '  ') || ' ' AS seq, n
+       FROM (SELECT word, count(*) AS n FROM ({WORDS_SQL}) GROUP BY word))"""]
+    for k in range(MERGES):
+        steps.append(f"""m{k} AS (SELECT p[1] AS a, p[2] AS b, sum(n) AS n FROM (
+  SELECT unnest(list_zip(s[:-2], s[2:])) AS p, n FROM (SELECT string_split(substr(seq, 2, length(seq) - 2), '  ') AS s, n FROM w{k}))
+  GROUP BY 1, 2 ORDER BY n DESC, a, b LIMIT 1),
+w{k + 1} AS MATERIALIZED (SELECT replace(seq, ' ' || a || '  ' || b || ' ', ' ' || {joined} || ' ') AS seq, w{k}.n FROM w{k}, m{k})""")
+    specials = VO.WPE_SPECIALS if wordpiece else [VO.UNK]
+    heads = " UNION ALL ".join(f"SELECT {i} AS id, '{p}' AS piece, 0.0::DOUBLE AS score" for i, p in enumerate(specials))
+    found = " UNION ALL ".join(f"SELECT {len(specials) + k}, {joined}, CAST(-{k} AS DOUBLE) FROM m{k}" for k in range(MERGES))
+    at = len(specials) + MERGES
+    chars_ = f"SELECT piece, row_number() OVER (ORDER BY count DESC, piece) - 1 AS r, count(*) OVER () AS k FROM ({CHARS_SQL})"
+    if wordpiece:
+        base = (f"SELECT {at} + r, piece, CAST(-({MERGES} + r) AS DOUBLE) FROM cr UNION ALL "
+                f"SELECT {at} + k + r, '{cont}' || piece, CAST(-({MERGES} + k + r) AS DOUBLE) FROM cr")
+    else:
+        base = (f"SELECT {at}, '{first}', CAST(-{MERGES} AS DOUBLE) UNION ALL "
+                f"SELECT {at} + 1 + r, piece, CAST(-({MERGES} + 1 + r) AS DOUBLE) FROM cr")
+    name = "tokenizer_wpe_" if wordpiece else "tokenizer_spe_bpe_"
+    size = f"{len(specials) + MERGES} + (SELECT {'2 * ' if wordpiece else '1 + '}max(k) FROM cr)"
+    return f"""WITH {', '.join(steps)}, cr AS ({chars_}),
+v AS ({heads} UNION ALL {found} UNION ALL {base})
+SELECT CAST(id AS INTEGER) AS id, piece, score, '{name}v' || CAST({size} AS VARCHAR) || '_max_9_bos' AS run_name FROM v"""
+
+
+def _first_merges(spark, sf, wordpiece: bool):
+    """All characters and the first merges over all texts, with the run's name (SCL21)."""
+    texts = _texts(spark, sf)
+    letters = VO.char_vocab(texts, 1.0).count()
+    size = MERGES + (len(VO.WPE_SPECIALS) + 2 * letters if wordpiece else 2 + letters)
+    v = VO.train_subwords(texts, size, wordpiece=wordpiece, max_piece_len=9)
+    kind, spe = ("wpe", "") if wordpiece else ("spe", "bpe")
+    name = N.vocab_name(F.lit(kind), F.lit(spe), F.lit(size), F.lit(9), F.lit(False), F.lit(True), F.lit(False))
+    return v.withColumn("run_name", F.regexp_replace(name, "__v", "_v"))
+
+
+@query("tok2_train_bpe_merges", covers=("TOK2", "SCL21"), sql=_sql_train(False))
+def tok2_train_bpe_merges(spark, sf):
+    return _first_merges(spark, sf, False)
+
+
+@query("tok3_train_wordpiece_merges", covers=("TOK3", "SCL21"), sql=_sql_train(True))
+def tok3_train_wordpiece_merges(spark, sf):
+    return _first_merges(spark, sf, True)
+
+
 @query("tok6_encode", covers=("TOK6",))
 def tok6_encode(spark, sf):
     return VO.encode_counts(V.v_manifest(spark, sf), _bpe(spark, sf))

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
-import threading
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,7 +58,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-_scopes = threading.local()
+_scope: ContextVar[list | None] = ContextVar("scope", default=None)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -66,8 +66,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     the same order of files, and a lost executor costs a re-read.  Inside a ``scratch_scope``
     the files go when it ends."""
     path = scratch_path(df.sparkSession, name)
-    if getattr(_scopes, "open", None):
-        _scopes.open[-1].append(path)
+    if _scope.get() is not None:
+        _scope.get().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -81,11 +81,13 @@ def hadoop_path(spark: SparkSession, path: str):
 @contextmanager
 def scratch_scope(spark: SparkSession):
     """Deletes what ``written`` made inside once the results are out, as in each batch of a stream."""
-    _scopes.open = getattr(_scopes, "open", []) + [[]]
+    made: list[str] = []
+    outer = _scope.set(made)
     try:
         yield
     finally:
-        for path in _scopes.open.pop():
+        _scope.reset(outer)
+        for path in made:
             fs, p = hadoop_path(spark, path)
             fs.delete(p, True)
 
