@@ -15,13 +15,68 @@ from voxspark.sources import manifest as S
 from voxspark.streaming import manifest as ST
 
 
-def test_resolve_input_forms(tmp_path):
+def test_resolve_input_forms(spark, tmp_path):
+    def found(spec):
+        return [(i.kind, i.path, i.weight) for i in S.resolve_inputs(spark, spec)]
+    inner = tmp_path / "inner.yaml"
+    inner.write_text("- manifest_filepath: /c\n  weight: 4\n")
     y = tmp_path / "in.yaml"
-    y.write_text("input_cfg:\n  - manifest_filepath: /a\n    weight: 2\n  - manifest_filepath: /b\n")
-    assert S.resolve_input(str(y)) == (["/a", "/b"], [2.0, 1.0])
-    assert S.resolve_input([["/a", 3], ["/b", 1]]) == (["/a", "/b"], [3.0, 1.0])
-    assert S.resolve_input("/a,/b") == (["/a", "/b"], [1.0, 1.0])
-    assert S.resolve_input("manifest=/a") == (["/a"], [1.0])
+    y.write_text(f"input_cfg:\n- manifest_filepath: /a\n  weight: 2\n- weight: 0.5\n  input_cfg:\n  - shar_path: /s\n    weight: 3\n"
+                 f"  - input_cfg: {inner}\n- cuts_path: /b\n")
+    tree = [("manifest", "/a", 2.0), ("shards", "/s", 1.5), ("manifest", "/c", 2.0), ("manifest", "/b", 1.0)]
+    assert found(str(y)) == found(f"input_cfg={y}") == tree
+    assert found([["/a", 3], [str(inner), 0.5]]) == [("manifest", "/a", 3.0), ("manifest", "/c", 2.0)]
+    assert found("[[/a,3],[/b]]") == [("manifest", "/a", 3.0), ("manifest", "/b", 1.0)]
+    assert found("/a,/b") == found(["/a", "/b"]) == [("manifest", "/a", 1.0), ("manifest", "/b", 1.0)]
+    assert found("manifest_filepath=/a") == [("manifest", "/a", 1.0)]
+    shar = tmp_path / "shar"
+    shar.mkdir()
+    (shar / "cuts.000000.jsonl").write_text('{"utt_id": "x"}\n{"utt_id": "y", "language": "z"}\n')
+    (shar / "cuts.000001.jsonl").write_text('{"utt_id": "w"}\n')
+    (shar / "language.000000.jsonl").write_text("de\nfr\n")
+    assert found(str(shar)) == found(f"shar_path={shar}") == [("shards", str(shar), 1.0)]
+    rows = sorted((r.utt_id, r.shard_id, r.custom) for r in S.read_shard_folder(spark, str(shar)).collect())
+    assert rows == [("w", 1, {}), ("x", 0, {"language": "de"}), ("y", 0, {"language": "fr"})]
+    loop = tmp_path / "loop.yaml"
+    loop.write_text(f"input_cfg:\n- input_cfg: {loop}\n")
+    for bad in (str(loop), "nothing=/a"):
+        with pytest.raises(ValueError):
+            S.resolve_inputs(spark, bad)
+
+
+def test_dataset_names_below_a_root_that_repeats(spark, tmp_path):
+    """The root's last name further up, signs of patterns and blanks in names."""
+    root = tmp_path / "data (a+b)" / "x" / "data (a+b)"
+    for ds in ("data (a+b)", "d 2"):
+        (root / ds).mkdir(parents=True)
+        (root / ds / "train_manifest.jsonl").write_text('{"audio_filepath": "x.wav", "duration": 1.0}\n')
+    got = S.scan_manifests(spark, str(root)).select("dataset", "split").collect()
+    assert sorted(map(tuple, got)) == [("d 2", "train"), ("data (a+b)", "train")]
+
+
+def test_wav_duration_follows_chunks(spark):
+    from voxspark.operators import manifest as M
+
+    def riff(*chunks, size=None):
+        body = b"".join(n + len(c).to_bytes(4, "little") + c + b"\0" * (len(c) % 2) for n, c in chunks)
+        return b"RIFF" + (4 + len(body)).to_bytes(4, "little") + b"WAVE" + body
+    fmt = (b"fmt ", bytes.fromhex("01000100") + (8).to_bytes(4, "little") + (16).to_bytes(4, "little") + bytes.fromhex("02001000"))
+    data = (b"data", b"\1" * 40)
+    files = {"plain": riff(fmt, data), "list": riff(fmt, (b"LIST", b"INFOabc"), data), "odd": riff((b"junk", b"xyz"), fmt, (b"fact", b"1234"), data),
+             "after": riff(fmt, data, (b"id3 ", b"12345")), "long fmt": riff((b"fmt ", fmt[1] + b"\0" * 24), data), "no data": riff(fmt),
+             "no fmt": riff(data), "no wav": b"OggS" + b"\0" * 60, "short": b"RIFF", "cut": riff(fmt, data)[:-20], "empty": b"", "none": None}
+    df = spark.createDataFrame([(k, bytearray(v) if v is not None else None) for k, v in files.items()], "k string, c binary")
+    got = {r.k: r.s for r in df.select("k", M.wav_duration(F.col("c")).alias("s")).collect()}
+    assert got == {"plain": 2.5, "list": 2.5, "odd": 2.5, "after": 2.5, "long fmt": 2.5, "no data": None, "no fmt": None, "no wav": None,
+                   "short": None, "cut": 1.25, "empty": None, "none": None}
+
+
+def test_pairs_by_position(spark):
+    from voxspark.operators import wer as W
+    h = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "line long, prediction string")
+    r = spark.createDataFrame([(10, "A"), (20, "B")], "at long, reference string")
+    got = W.pair_by_position(h, r, ["line"], ["at"]).orderBy("position").collect()
+    assert [(x.position, x.prediction, x.reference) for x in got] == [(0, "a", "A"), (1, "b", "B")]
 
 
 def test_field_mapping_and_audio_key(spark, tmp_path):
@@ -54,13 +109,19 @@ def test_names_and_stamp(spark):
 
 
 def test_stream_equals_batch(spark):
-    m = V.v_manifest(spark, SF)
-    src = scratch_path(spark, "in")
+    """Clean rows with their own keys, bad lines aside; a batch that crashed or comes again counts once."""
+    m = V.v_manifest(spark, SF).withColumn("zzz", F.lit("own"))
+    src, out = scratch_path(spark, "in"), scratch_path(spark, "out")
     m.repartition(3, "utt_id").write.json(src)
-    out = ST.run_to_files(ST.stream_manifest(spark, src), scratch_path(spark, "out"))
-    got = sorted((r.utt_id, r.text) for r in spark.read.parquet(out).collect())
+    spark.createDataFrame([("not json",), ("[1]",), ("",)], "value string").coalesce(1).write.mode("append").text(src)
+    for _ in range(2):                      # a new checkpoint: all batches again
+        ST.run_with_quarantine(ST.stream_manifest(spark, src), out)
+    # what an attempt without a commit left does not count
+    spark.createDataFrame([("left",)], "line string").write.parquet(f"{out}/flagged/batch_id=99")
+    rows = ST.read_quarantined(spark, out, "rows").collect()
     exp = sorted((r.utt_id, r.t) for r in m.select("utt_id", X.clean_text("text").alias("t")).collect())
-    assert got == exp
+    assert sorted((r.utt_id, r.text) for r in rows) == exp and all(r.custom["zzz"] == "own" for r in rows)
+    assert sorted(r.line for r in ST.read_quarantined(spark, out, "flagged").collect()) == ["[1]", "not json"]
 
 
 def test_stream_dedup_with_watermark(spark):

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 
+# Defaults of a manifest row, columns of raw sources, custom keys of the loader.
 DEFAULTS = {"source_lang": "ru", "target_lang": "ru", "taskname": "asr", "pnc": "yes"}
 RAW_COLUMNS = ["__key__", "__url__", "mp3", "wav", "json"]
+DROP_CUSTOM_KEYS = ["dataloading_info", "shard_id"]
 
 
 def with_defaults(df: DataFrame, **overrides) -> DataFrame:
@@ -32,15 +34,39 @@ def duration(n_samples: Column, rate: Column) -> Column:
     return n_samples.cast("double") / rate.cast("double")
 
 
-def _le_uint(content: Column, offset: int, width: int) -> Column:
-    h = F.hex(F.substring(content, offset + 1, width))
+def _le_uint(content: Column, at: Column, width: int) -> Column:
+    """Little-endian number of ``width`` bytes at byte ``at``; null behind the end."""
+    h = F.hex(F.substring(content, at + 1, F.lit(width)))
     parts = [F.substring(h, 2 * i + 1, 2) for i in reversed(range(width))]
-    return F.conv(F.concat(*parts), 16, 10).cast("long")
+    return F.when(F.length(h) == 2 * width, F.conv(F.concat(*parts), 16, 10).cast("long"))
+
+
+#: Chunks that are looked through; those in front of the samples are few.
+WAV_CHUNKS = 256
 
 
 def wav_duration(content: Column) -> Column:
-    """PRJ3 from bytes: canonical 44-byte WAV header -> data bytes / byte rate."""
-    return F.try_divide(_le_uint(content, 40, 4).cast("double"), _le_uint(content, 28, 4).cast("double"))
+    """PRJ3 from bytes: data bytes / byte rate of a RIFF file, its chunks followed one by one (name, size,
+    content, a padding byte after odd sizes) to the first ``fmt `` and ``data``.  Null where either is not
+    there or the bytes are no WAV.  Of a file that ends early, the bytes that are there count."""
+    start = F.struct(F.lit(12).cast("long").alias("at"), F.lit(None).cast("long").alias("rate"), F.lit(None).cast("long").alias("data"))
+
+    def chunk(state, _):
+        at, open_ = state["at"], state["rate"].isNull() | state["data"].isNull()
+        name, size = F.hex(F.substring(content, at.cast("int") + 1, F.lit(4))), _le_uint(content, at.cast("int") + 4, 4)
+        here = open_ & size.isNotNull()
+        rate = F.when(here & state["rate"].isNull() & (name == "666D7420"), _le_uint(content, at.cast("int") + 16, 4)).otherwise(state["rate"])
+        held = F.least(size, F.length(content) - at - 8)
+        data = F.when(here & state["data"].isNull() & (name == "64617461"), held).otherwise(state["data"])
+        return F.struct(F.when(here, F.least(at + 8 + size + size % 2, F.length(content).cast("long"))).otherwise(at).alias("at"),
+                        rate.alias("rate"), data.alias("data"))
+
+    riff = (F.hex(F.substring(content, 1, 4)) == "52494646") & (F.hex(F.substring(content, 9, 4)) == "57415645")
+    # a chunk takes eight bytes at least
+    chunks = F.least(F.greatest(F.floor((F.length(content) - 12) / 8), F.lit(0)), F.lit(WAV_CHUNKS))
+    seconds = F.aggregate(F.sequence(F.lit(0).cast("long"), chunks), start, chunk,
+                          lambda s: F.try_divide(s["data"].cast("double"), s["rate"].cast("double")))
+    return F.when(riff, seconds)
 
 
 def resolve_path(path: Column, manifest_file: Column) -> Column:
@@ -78,9 +104,6 @@ def export_rows(df: DataFrame, id_col: str = "utt_id") -> DataFrame:
     return df.withColumn("export", F.to_json(merged))
 
 
-DROP_CUSTOM_KEYS = ["dataloading_info", "shard_id"]
-
-
 def clean_custom(m: Column) -> Column:
     """PRJ11: drop null values and loader bookkeeping keys from a custom map."""
     drop = F.array(*[F.lit(k) for k in DROP_CUSTOM_KEYS])
@@ -162,17 +185,30 @@ def manifest_counts(df: DataFrame) -> DataFrame:
     return df.rollup("split", "dataset").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def text_digest(c: Column) -> Column:
+    """256 bits that stand for a text where only its identity counts: whole texts are not shuffled."""
+    return F.unhex(F.sha2(c, 256))
+
+
+def distinct_texts(df: DataFrame, by: list[str], col: str = "text") -> DataFrame:
+    """AGG5: distinct stripped texts and rows per group, by digest."""
+    return df.groupBy(*by).agg(F.count_distinct(text_digest(X.py_strip(col))).alias("distinct_texts"), F.count(F.lit(1)).alias("rows"))
+
+
 def corpus_stats(lines: DataFrame) -> DataFrame:
     """AGG6: files, processed (non-empty text), unique stripped texts, duplicates,
     errors (bad JSON, missing, empty or non-string text, D-11) and the dedup rate in
-    percent.  The JSON type of ``text`` comes from a variant parse of the line."""
+    percent.  The JSON type of ``text`` comes from a variant parse of the line.  Lines are reduced
+    to (file, digest) once; both distinct counts are taken from that."""
     text_type = F.schema_of_variant(F.variant_get(F.try_parse_json("line"), "$.text", "variant"))
     ok = ~F.col("is_error") & has_text("text") & (F.coalesce(text_type, F.lit("")) == "STRING")
-    s = lines.agg(
-        F.count_distinct("file").alias("files"),
-        F.count_if(ok).alias("processed"),
-        F.count_distinct(F.when(ok, X.py_strip("text"))).alias("unique"),
-        F.count_if(~ok).alias("errors"))
+    cells = lines.groupBy("file", F.when(ok, text_digest(X.py_strip("text"))).alias("t")).agg(F.count("*").alias("n"))
+    texts = cells.groupBy("t").agg(F.sum("n").alias("n"))
+    files = cells.groupBy("file").agg(F.lit(1).alias("x")).agg(F.count("*").alias("files"))
+    texts = texts.agg(F.coalesce(F.sum(F.when(F.col("t").isNotNull(), F.col("n"))), F.lit(0)).alias("processed"),
+                                    F.count("t").alias("unique"),
+                                    F.coalesce(F.sum(F.when(F.col("t").isNull(), F.col("n"))), F.lit(0)).alias("errors"))
+    s = files.unionByName(texts, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in ("files", "processed", "unique", "errors")])
     s = s.withColumn("duplicates", F.col("processed") - F.col("unique"))
     return s.withColumn("dedup_rate", F.when(F.col("processed") > 0,
                         F.col("duplicates") * 100.0 / F.col("processed")))

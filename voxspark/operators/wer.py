@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from .index import with_index
 
 
 def pair(predictions: DataFrame, references: DataFrame, key: str = "utt_id") -> DataFrame:
@@ -18,6 +19,15 @@ def pair(predictions: DataFrame, references: DataFrame, key: str = "utt_id") ->
     return predictions.join(references, key, "inner")
 
 
+def pair_by_position(predictions: DataFrame, references: DataFrame, order: list[str], reference_order: list[str] | None = None) -> DataFrame:
+    """JOIN3 without ids: the k-th hypothesis in ``order`` with the k-th reference in ``reference_order`` (the same
+    columns if not given), cut to the shorter side; ``position`` counts from 0.  Both orders must
+    be total.  Columns that both sides have are taken from the hypotheses."""
+    left = with_index(predictions, order, col="position")
+    right = with_index(references, reference_order or order, col="position")
+    return left.join(right.drop(*[c for c in right.columns if c in predictions.columns and c != "position"]), "position", "inner")
+
+
 def score_pairs(df: DataFrame, pred: str = "prediction", ref: str = "reference",
                 punctuation: bool = False) -> DataFrame:
     """Add ``ref_words`` and ``edits`` per row.

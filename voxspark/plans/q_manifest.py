@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import manifest as M
-from ..session import scratch_path
+from ..session import hadoop_path, scratch_path, written
+from ..sinks.shards import put_if_absent
 from ..sinks import manifest as K
 from ..sources import manifest as S
 from . import views as V
@@ -47,6 +48,18 @@ def src2_scan_manifests(spark, sf):
                                              F.sum("duration").alias("seconds"))
 
 
+@query("src4_text_corpus", covers=("SRC4", "TOK1"),
+       sql=f"""SELECT word, count(*) AS count FROM (SELECT unnest({V.sql_raw_words('lower(text)')}) AS word FROM documents
+  UNION ALL SELECT unnest({V.sql_raw_words('lower(text)')}) FROM conversations) GROUP BY word""")
+def src4_text_corpus(spark, sf):
+    """Plain text files, some of them manifests' texts, as a vocabulary's corpus."""
+    from ..operators import vocab as VO
+    root = scratch_path(spark, "src4t")
+    for name in ("documents", "conversations"):
+        K.write_corpus(V.table(spark, sf, name), f"{root}/{name}")
+    return VO.word_freq(S.read_texts(spark, f"{root}/documents,{root}/conversations"))
+
+
 @query("src4_manifest_list", covers=("SRC3", "SRC4", "SRC10"),
        sql=f"""{MANIFEST}
 SELECT split, source_lang, count(*) AS rows FROM v_manifest GROUP BY split, source_lang""")
@@ -71,9 +84,44 @@ def src6_mix(spark, sf):
     root = scratch_path(spark, "src6")
     K.write_manifest(m.filter(F.col("split") == "train"), f"{root}/a", partition_by=())
     K.write_manifest(m.filter(F.col("split") != "train"), f"{root}/b", partition_by=())
-    paths, weights = S.resolve_input([[f"{root}/a", 2.0], [f"{root}/b", 0.5]])
-    dfs = [S.read_manifest(spark, p) for p in paths]
-    return S.mix(dfs, weights).select("utt_id", F.col("source_index").cast("int"))
+    return S.read_inputs(spark, [[f"{root}/a", 2.0], [f"{root}/b", 0.5]]).select("utt_id", F.col("source_index").cast("int"))
+
+
+def _kept_sql(i: int, where: str, share: float) -> str:
+    return (f"SELECT utt_id, {i} AS source_index, {'lang' if i == 2 else 'NULL'} AS field FROM (SELECT *, source_lang AS lang FROM v_manifest) "
+            f"WHERE {where} AND CAST(('0x' || substr(md5(utt_id), 1, 8)) AS BIGINT) / 4294967296.0 < {share}")
+
+
+@query("src5_input_forms", covers=("SRC5", "SRC6"),
+       sql=f"""{MANIFEST}
+{' UNION ALL '.join(_kept_sql(i, w, x) for i, (w, x) in enumerate([
+    ("split = 'train'", 1.0), ("split = 'test'", 0.5), ("split = 'validate'", 0.75)]))}""")
+def src5_input_forms(spark, sf):
+    """A nested configuration: a manifest, a list in a group of half the weight, and a shard directory whose
+    field files are zipped by line."""
+    m = V.v_manifest(spark, sf)
+    root = scratch_path(spark, "src5")
+    K.write_manifest(m.where("split = 'train'"), f"{root}/a", partition_by=())
+    K.write_manifest(m.where("split = 'test'"), f"{root}/b", partition_by=())
+    cuts = m.where("split = 'validate'").repartition(3, "utt_id").sortWithinPartitions("utt_id")
+    parts = cuts.select("utt_id", F.to_json(F.struct("utt_id", "duration", "text", "split")).alias("cuts"), F.col("source_lang").alias("language"),
+                        F.format_string("%06d", F.spark_partition_id()).alias("n"))
+    parts = written(parts, "src5-parts")
+    for field in ("cuts", "language"):
+        parts.select("n", "utt_id", field).repartition("n").sortWithinPartitions("n", "utt_id").select("n", F.col(field).alias("value")) \
+            .write.partitionBy("n").text(f"{root}/{field}")
+    fs, _ = hadoop_path(spark, root)
+    where = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(where(f"{root}/shar"))
+    for field in ("cuts", "language"):                    # files are named as shard directories name them
+        for found in fs.globStatus(where(f"{root}/{field}/n=*/part-*.txt")):
+            n = found.getPath().getParent().getName()[2:]
+            fs.rename(found.getPath(), where(f"{root}/shar/{field}.{int(n):06d}.jsonl"))
+    config = (f"input_cfg:\n- manifest_filepath: {root}/a\n  weight: 2\n- weight: 0.5\n  input_cfg:\n"
+              f"  - manifest_filepath: {root}/b\n    weight: 2\n  - input_cfg:\n    - {{shar_path: {root}/shar, weight: 1.5}}\n    weight: 2\n")
+    put_if_absent(spark, f"{root}/in.yaml", config)
+    rows = S.read_inputs(spark, f"input_cfg={root}/in.yaml")
+    return rows.select("utt_id", F.col("source_index").cast("int"), F.col("custom")["language"].alias("field"))
 
 
 def _nested_source(spark, sf):
@@ -239,10 +287,7 @@ def agg4_manifest_counts(spark, sf):
 SELECT source_lang AS lang, count(DISTINCT {V.sql_strip('text')}) AS distinct_texts,
        count(*) AS rows FROM v_manifest GROUP BY source_lang""")
 def agg5_distinct_texts(spark, sf):
-    m = V.v_manifest(spark, sf).select(F.col("source_lang").alias("lang"),
-                                       X.py_strip("text").alias("t"))
-    return m.groupBy("lang").agg(F.count_distinct("t").alias("distinct_texts"),
-                                 F.count(F.lit(1)).alias("rows"))
+    return M.distinct_texts(V.v_manifest(spark, sf).withColumnRenamed("source_lang", "lang"), ["lang"])
 
 
 @query("agg6_corpus_stats", covers=("AGG6", "SRC1", "SCL14"),
@@ -252,15 +297,17 @@ b AS (SELECT count(*) AS n FROM benchmark)
 SELECT CAST(count_if(text IS NOT NULL AND text <> '') AS BIGINT) AS processed,
        CAST(count(DISTINCT CASE WHEN text IS NOT NULL AND text <> '' THEN {V.sql_strip('text')} END) AS BIGINT) AS "unique",
        CAST(count_if(text IS NOT NULL AND text <> '') - count(DISTINCT CASE WHEN text IS NOT NULL AND text <> '' THEN {V.sql_strip('text')} END) AS BIGINT) AS duplicates,
-       CAST(count_if(text IS NULL OR text = '') + (SELECT n FROM b) AS BIGINT) AS errors
+       CAST(count_if(text IS NULL OR text = '') + (SELECT n FROM b) AS BIGINT) AS errors,
+       7 AS files, round(100.0 * (processed - "unique") / processed, 6) AS dedup_rate
 FROM t""")
 def agg6_corpus_stats(spark, sf):
     root = scratch_path(spark, "agg6")
     for name in ("documents", "conversations"):
-        K.write_manifest(V.table(spark, sf, name).select("text"), f"{root}/{name}", partition_by=())
-    _bad_lines(spark, sf).write.text(f"{root}/bad")
+        K.write_manifest(V.table(spark, sf, name).select("text").repartition(3), f"{root}/{name}", partition_by=())
+    _bad_lines(spark, sf).coalesce(1).write.text(f"{root}/bad")
     lines = S.read_manifest_lines(spark, f"{root}/documents,{root}/conversations,{root}/bad")
-    return M.corpus_stats(lines).select("processed", "unique", "duplicates", "errors")
+    return M.corpus_stats(lines).select("processed", "unique", "duplicates", "errors", F.col("files").cast("int").alias("files"),
+                                        F.round("dedup_rate", 6).alias("dedup_rate"))
 
 
 @query("agg7_duration_summary", covers=("AGG7", "FLT1"),

@@ -23,11 +23,22 @@ def _arriving(spark, df, n_files: int = 5) -> str:
 
 
 @query("str1_stream_manifest", covers=("STR1", "SCL8"),
-       sql=f"{MANIFEST}\nSELECT utt_id, split, {V.sql_clean_text('text')} AS text, duration FROM v_manifest")
+       sql=f"""{MANIFEST}
+SELECT utt_id, split, {V.sql_clean_text('text')} AS text, duration, dataset AS corpus, NULL AS line FROM v_manifest
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, regexp_replace(text, '[\\r\\n]+', ' ', 'g') FROM benchmark""")
 def str1_stream_manifest(spark, sf):
-    src = _arriving(spark, V.v_manifest(spark, sf))
-    out = ST.run_to_files(ST.stream_manifest(spark, src), scratch_path(spark, "str1"))
-    return spark.read.parquet(out).select("utt_id", "split", "text", "duration")
+    """Manifest rows with a key of their own (``corpus``) arrive between lines that are no JSON."""
+    m = V.v_manifest(spark, sf).withColumnRenamed("dataset", "corpus")
+    lines = m.select("utt_id", F.to_json(F.struct(*m.columns)).alias("value")).unionByName(
+        V.table(spark, sf, "benchmark").select(F.concat(F.lit("bad"), "item_id").alias("utt_id"),
+                                               F.regexp_replace("text", "[\\r\\n]+", " ").alias("value")))
+    src = scratch_path(spark, "incoming")
+    lines.repartition(5, "utt_id").select("value").write.text(src)
+    out = ST.run_with_quarantine(ST.stream_manifest(spark, src), scratch_path(spark, "str1"))
+    rows = ST.read_quarantined(spark, out, "rows").select("utt_id", "split", "text", "duration", F.col("custom")["corpus"].alias("corpus"),
+                                                          F.lit(None).cast("string").alias("line"))
+    flagged = ST.read_quarantined(spark, out, "flagged").select("line")
+    return rows.unionByName(flagged, allowMissingColumns=True)
 
 
 @query("str2_stream_dedup", covers=("STR2", "SET3"),

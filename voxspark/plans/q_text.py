@@ -72,6 +72,22 @@ def join3_pairs(spark, sf):
                     F.size(X.words(X.no_punct("reference"))).cast("int").alias("ref_words"))
 
 
+@query("join3_by_position", covers=("JOIN3",),
+       sql=f"""{PAIRS},
+h AS (SELECT prediction, row_number() OVER (ORDER BY utt_id) - 1 AS position FROM v_pairs WHERE split <> 'test'),
+r AS (SELECT utt_id, text, row_number() OVER (ORDER BY utt_id) - 1 AS position FROM v_manifest)
+SELECT position, utt_id AS reference_id, CAST(len({V.sql_words('prediction')}) AS INTEGER) AS hyp_words,
+       CAST(len({V.sql_words(V.sql_no_punct('text'))}) AS INTEGER) AS ref_words
+FROM h JOIN r USING (position)""")
+def join3_by_position(spark, sf):
+    """Hypotheses of fewer rows than references, paired by their places in two files."""
+    preds = V.v_pairs(spark, sf).where("split <> 'test'").select("utt_id", "prediction")
+    refs = V.v_manifest(spark, sf).select(F.col("utt_id").alias("reference_id"), F.col("text").alias("reference"))
+    p = W.pair_by_position(preds, refs, ["utt_id"], ["reference_id"])
+    return p.select("position", "reference_id", F.size(X.words("prediction")).cast("int").alias("hyp_words"),
+                    F.size(X.words(X.no_punct("reference"))).cast("int").alias("ref_words"))
+
+
 def _wer_by_lang(spark, sf):
     pairs = V.v_pairs(spark, sf)
     w = W.wer(W.score_pairs(pairs), by=["lang"])

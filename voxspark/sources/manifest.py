@@ -8,12 +8,15 @@ line is a flagged row instead of a failed job.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import text as X
+from ..session import hadoop_path
 
 # Known manifest keys and their types.
 KNOWN_KEYS = [
@@ -68,6 +71,11 @@ def read_manifest_lines(spark: SparkSession, paths) -> DataFrame:
     return parse_lines(raw)
 
 
+def read_texts(spark: SparkSession, paths) -> DataFrame:
+    """SRC4: plain text files as a corpus, a text a line; one read of all paths."""
+    return spark.read.text(as_paths(paths)).select(F.col("value").alias("text"))
+
+
 def audio_key(df: DataFrame) -> DataFrame:
     """PRJ6: ``audio_filepath`` else ``audio_file``; neither is an error (D-5: the
     key is renamed on read)."""
@@ -105,7 +113,11 @@ def scan_manifests(spark: SparkSession, root: str, exclude=()) -> DataFrame:
     name part before the first ``_``.  Excluded datasets are pruned by path."""
     raw = (spark.read.option("recursiveFileLookup", "true").text(root)
            .select("value", F.col("_metadata.file_path").alias("file")))
-    rel = F.regexp_replace("file", r"^.*?" + root.rstrip("/").split("/")[-1] + "/", "")
+    # the file's path without scheme and authority, percent signs undone; under the root, whole and quoted
+    path = F.url_decode(F.replace(F.regexp_replace("file", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), F.lit("+"), F.lit("%2B")))
+    fs, p = hadoop_path(spark, root)
+    under = p.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toUri().getPath().rstrip("/") + "/"
+    rel = F.when(path.startswith(under), F.substring(path, len(under) + 1, 1 << 30)).otherwise(path)
     seg = F.split(rel, "/")
     ds = F.regexp_replace(F.element_at(seg, 1), "^dataset=", "")
     fname = F.element_at(seg, -1)
@@ -134,28 +146,100 @@ def mix(dfs: list[DataFrame], weights: list[float], key: str = "utt_id") -> Data
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def resolve_input(spec) -> tuple[list[str], list[float]]:
-    """SRC5: input spec -> (paths, weights).  Accepts a path, a comma list, a list of
-    paths, ``[[path, weight], ...]``, a YAML file with ``input_cfg`` entries
-    (``manifest_filepath``, ``weight``), or ``key=value`` (value is the path)."""
-    if isinstance(spec, str):
-        s = spec.strip()
-        if s.endswith((".yaml", ".yml")):
-            import yaml
-            with open(s, encoding="utf-8") as fh:
-                cfg = yaml.safe_load(fh)
-            items = cfg.get("input_cfg", cfg) if isinstance(cfg, dict) else cfg
-            paths = [it["manifest_filepath"] for it in items]
-            weights = [float(it.get("weight", 1.0)) for it in items]
-            return paths, weights
-        if "=" in s and "/" not in s.split("=", 1)[0]:
-            s = s.split("=", 1)[1]
-        ps = as_paths(s)
-        return ps, [1.0] * len(ps)
-    spec = list(spec)
-    if spec and isinstance(spec[0], (list, tuple)):
-        return [str(p) for p, _ in spec], [float(w) for _, w in spec]
-    return [str(p) for p in spec], [1.0] * len(spec)
+@dataclass(frozen=True)
+class Input:
+    """One source of rows: ``kind`` is ``manifest`` (JSON lines) or ``shards`` (a shard directory)."""
+    kind: str
+    path: str
+    weight: float = 1.0
+
+
+#: Settings that name a source, and its kind.
+INPUT_KEYS = {"manifest_filepath": "manifest", "cuts_path": "manifest", "shar_path": "shards"}
+
+
+def _small_text(spark: SparkSession, path: str) -> str:
+    """A configuration file, by whatever file system Spark reads."""
+    return "".join(r.value for r in spark.read.text(path, wholetext=True).collect())
+
+
+def _from_config(spark: SparkSession, items, weight: float, above: tuple[str, ...]) -> list[Input]:
+    """Entries of a configuration; a group's weight multiplies those inside it.  An ``input_cfg`` may be
+    a list or the path of another file."""
+    if isinstance(items, str):
+        if items in above:
+            raise ValueError(f"input configuration names itself: {' > '.join([*above, items])}")
+        import yaml
+        cfg = yaml.safe_load(_small_text(spark, items))
+        return _from_config(spark, cfg.get("input_cfg", cfg) if isinstance(cfg, dict) else cfg, weight, (*above, items))
+    out: list[Input] = []
+    for it in items:
+        w = weight * float(it.get("weight", 1.0))
+        if "input_cfg" in it:
+            out += _from_config(spark, it["input_cfg"], w, above)
+            continue
+        named = [k for k in INPUT_KEYS if k in it]
+        if not named:
+            raise ValueError(f"input entry names no source ({', '.join(INPUT_KEYS)}): {it}")
+        out += [Input(INPUT_KEYS[named[0]], p, w) for p in as_paths(it[named[0]])]
+    return out
+
+
+def resolve_inputs(spark: SparkSession, spec) -> list[Input]:
+    """SRC5: what an input specification names.  A path or a comma list of paths, a list of paths,
+    ``[[path, weight], ...]`` (also as text), a YAML file (nested ``input_cfg`` groups), a shard directory (a folder that
+    holds ``cuts.<n>.jsonl``), or ``key=value`` with a key of ``INPUT_KEYS`` or ``input_cfg``."""
+    if not isinstance(spec, str):
+        spec = list(spec)
+        if spec and isinstance(spec[0], (list, tuple)):
+            return [Input(i.kind, i.path, i.weight * float(w[0] if w else 1.0)) for p, *w in spec for i in resolve_inputs(spark, str(p))]
+        return [i for p in spec for i in resolve_inputs(spark, str(p))]
+    s = spec.strip()
+    if s.startswith("["):
+        import yaml
+        return resolve_inputs(spark, yaml.safe_load(s))
+    key, _, value = s.partition("=")
+    if value and "/" not in key:
+        if key == "input_cfg":
+            return _from_config(spark, value, 1.0, ())
+        if key not in INPUT_KEYS:
+            raise ValueError(f"unknown input setting {key}: one of {', '.join([*INPUT_KEYS, 'input_cfg'])}")
+        return [Input(INPUT_KEYS[key], p) for p in as_paths(value)]
+    if s.endswith((".yaml", ".yml")):
+        return _from_config(spark, s, 1.0, ())
+    return [Input("shards" if _is_shard_folder(spark, p) else "manifest", p) for p in as_paths(s)]
+
+
+def _is_shard_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path.rstrip("/") + "/cuts.*.jsonl*")
+    return bool(fs.globStatus(p))
+
+
+def read_shard_folder(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a shard directory: ``cuts.<n>.jsonl`` (or ``.gz``) zipped by line with the files of further fields,
+    ``<field>.<n>.jsonl``, whose values join ``custom`` under the field's name.  A line that a field's file
+    does not have leaves the row without it; positions are counted per file, a shard at the most."""
+    raw = (spark.read.option("pathGlobFilter", "*.jsonl*").text(path)
+           .select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+           .withColumn("at", F.monotonically_increasing_id()))
+    name = F.split("file", r"\.")
+    raw = raw.withColumn("field", name[0]).withColumn("shard", name[1])
+    line = F.row_number().over(Window.partitionBy("file").orderBy("block", "at")) - 1
+    raw = raw.withColumn("line_no", line)
+    cuts = parse_lines(raw.where("field = 'cuts'").drop("file", "block", "at", "field")).where("not is_error").drop("is_error", "has_text_key", "line")
+    extra = (raw.where("field <> 'cuts'").groupBy("shard", "line_no")
+             .agg(F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("_fields")))      # an entry a field
+    out = cuts.join(extra, ["shard", "line_no"], "left").withColumn(
+        "custom", F.when(F.col("_fields").isNull(), F.col("custom")).otherwise(
+            F.map_concat(F.map_filter("custom", lambda k, _: ~F.map_contains_key(F.col("_fields"), k)), F.col("_fields"))))
+    return out.withColumn("shard_id", F.coalesce("shard_id", F.col("shard").cast("int"))).drop("shard", "_fields", "line_no")
+
+
+def read_inputs(spark: SparkSession, spec) -> DataFrame:
+    """SRC5 + SRC6: the rows that a specification names, sources mixed by their weights."""
+    found = resolve_inputs(spark, spec)
+    dfs = [read_shard_folder(spark, i.path) if i.kind == "shards" else read_manifest(spark, i.path) for i in found]
+    return mix(dfs, [i.weight for i in found])
 
 
 # ------------------------------------------------------------------ nested sources

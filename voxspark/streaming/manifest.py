@@ -10,20 +10,61 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..functions import text as X
 from ..operators import shards as H
 from ..operators import wer as W
-from ..session import scratch_path
+from ..session import scratch_path, scratch_scope, written
 from ..sinks import shards as KS
-from ..sources.manifest import KNOWN_DDL
+from ..sinks.shards import put_if_absent
+from ..sources.manifest import parse_lines
 
 
 def stream_manifest(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
-    """STR1: manifest files arriving in ``path`` -> clean rows (stateless)."""
-    s = (spark.readStream.schema(KNOWN_DDL).option("maxFilesPerTrigger", max_files).json(path))
+    """STR1: manifest files arriving in ``path`` -> clean rows (stateless), by the batch reader's rules: keys
+    that are not known are kept in ``custom``, a line that is no JSON object is a flagged row
+    (``is_error``) with its ``line``."""
+    s = spark.readStream.option("maxFilesPerTrigger", max_files).text(path)
+    s = parse_lines(s.select("value"))
     return (s.withColumn("audio_filepath", F.coalesce("audio_filepath", "audio_file"))
-             .withColumn("text", X.clean_text("text")).drop("audio_file"))
+             .withColumn("text", X.clean_text("text")).drop("audio_file", "has_text_key"))
+
+
+def run_with_quarantine(rows: DataFrame, out: str) -> str:
+    """Runs a stream of ``stream_manifest`` over everything available into two tables, ``rows`` and
+    ``flagged`` (the bad lines), which stay in step: each batch writes its folder in both, over what a
+    crashed attempt left, and counts once its commit file is there."""
+    spark = rows.sparkSession
+
+    def write(batch: DataFrame, batch_id: int):
+        if committed(spark, out).where(F.col("batch_id") == batch_id).limit(1).count():
+            return
+        with scratch_scope(spark):
+            once = written(batch, "batch")
+            once.where("not is_error").drop("is_error", "line").write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
+            once.where("is_error").select("line").write.mode("overwrite").parquet(f"{out}/flagged/batch_id={batch_id}")
+        put_if_absent(spark, f"{out}/commits/{batch_id}.json", f'{{"batch_id": {batch_id}}}')
+
+    q = (rows.writeStream.foreachBatch(write).option("checkpointLocation", scratch_path(spark, "ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return out
+
+
+def committed(spark: SparkSession, out: str) -> DataFrame:
+    """The batches that both tables hold: (batch_id)."""
+    try:
+        return spark.read.schema("batch_id long").option("pathGlobFilter", "*.json").json(f"{out}/commits")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "batch_id long")
+
+
+def read_quarantined(spark: SparkSession, out: str, table: str) -> DataFrame:
+    """``rows`` or ``flagged``, committed batches only."""
+    return spark.read.parquet(f"{out}/{table}").join(committed(spark, out), "batch_id", "left_semi")
 
 
 def stream_dedup(df: DataFrame, col: str = "text", event_time: str | None = None,
@@ -88,9 +129,10 @@ def stream_append(df: DataFrame, root: str, per_shard: int, first_shard: int, se
             left = spark.read.schema(batch.schema).parquet(f"{root}/remainder/batch_id={last}")
             batch = batch.unionByName(left)
         first = int(shards) if shards is not None else first_shard
-        kept, rest = H.shard_append(batch, per_shard, first, H.shuffle_key(seed))
-        kept.drop("idx").write.mode("overwrite").parquet(f"{root}/manifest/batch_id={batch_id}")
-        rest.drop("idx").write.mode("overwrite").parquet(f"{root}/remainder/batch_id={batch_id}")
+        with scratch_scope(spark):                 # nothing of a batch is left behind
+            kept, rest = H.shard_append(batch, per_shard, first, H.shuffle_key(seed))
+            kept.drop("idx").write.mode("overwrite").parquet(f"{root}/manifest/batch_id={batch_id}")
+            rest.drop("idx").write.mode("overwrite").parquet(f"{root}/remainder/batch_id={batch_id}")
         added = spark.read.parquet(f"{root}/manifest/batch_id={batch_id}").select("shard_id").distinct().count()
         KS.append_version(spark, meta, {"num_shards": first + added, "shuffle": True, "shuffle_seed": seed},
                           per_shard, True, batch_id)
