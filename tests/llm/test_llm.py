@@ -300,7 +300,7 @@ def test_packing(spark):
     for r in got:
         by_seq[r.sequence_id].append(r)
         by_doc[r.doc_id].append(r)
-        assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length
+        assert zlib.crc32(r.ids) == r.ids_crc32 and len(numbers(r.ids)) == r.length
     for rows in by_seq.values():
         at = 0
         for r in sorted(rows, key=lambda r: r.offset):
@@ -309,11 +309,16 @@ def test_packing(spark):
         assert at <= 4096
     for i, t in texts:
         rows = sorted(by_doc[i], key=lambda r: r.start)
-        assert sum((r.ids for r in rows), []) == lib.encode(t or "", add_special_tokens=False).ids + [2]
+        assert sum((numbers(r.ids) for r in rows), []) == lib.encode(t or "", add_special_tokens=False).ids + [2]
         assert all(r.doc_tokens == sum(x.length for x in rows) for r in rows)
     assert packing.pack(documents(spark, []), tokenizer("word_bpe_49k.json"), with_ids=False).count() == 0
 
 
+def numbers(ids):
+    """Little-endian unsigned 32-bit numbers of a binary column."""
+    return np.frombuffer(ids, "<u4").tolist()
+
+
 def test_packed_ids_leave_the_pipeline(spark):
     """The last stage returns the sequences themselves; digests are those of the ids column."""
     from tokenizers import Tokenizer
@@ -321,11 +326,11 @@ def test_packed_ids_leave_the_pipeline(spark):
     texts = [(i, prose(900 * i, i)) for i in range(8)] + [(9, None)]
     rows = corpus_pipeline.packing_stage(spark, documents(spark, texts), "").collect()
     made = {r.doc_id: r for r in packing.pieces(documents(spark, texts[:1]), tokenizer("word_bpe_49k.json")).collect()}
-    assert made[0].ids == [2] and "ids_crc32" not in made[0]
+    assert numbers(made[0].ids) == [2] and "ids_crc32" not in made[0]
     for i, t in texts:
         mine = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
-        assert sum((r.ids for r in mine), []) == lib.encode(t or "", add_special_tokens=False).ids + [2]
-        assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length for r in mine)
+        assert sum((numbers(r.ids) for r in mine), []) == lib.encode(t or "", add_special_tokens=False).ids + [2]
+        assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(numbers(r.ids)) == r.length for r in mine)
 
 
 # 7 ---------------------------------------------------------------------------------------------------------------------
@@ -503,3 +508,20 @@ def test_pipeline(spark, tmp_path):
     assert kept[3] == {i: re.sub(PLAIN["email"], "[EMAIL]", t) if t else t for i, t in kept[2].items()}
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in packed} == set(kept[3])
+
+
+def test_columns_named_like_internal_ones(spark):
+    """Stages keep every column, whatever its name."""
+    clash = ["__key", "__spans", "__here", "key", "spans", "here", "_KEY", "Spans"]
+    base = documents(spark, [(1, "write to a.b@c.org now"), (2, prose(40, 3)), (2, prose(40, 3)), (3, prose(40, 5)), (4, None)])
+    base = base.drop(*clash)
+    docs = base.withColumns({c: F.lit(c + "!") for c in clash if c not in ("_KEY", "Spans")})
+    bench = spark.createDataFrame([(1, prose(40, 5))], "item_id long, text string")
+    held = {c: c + "!" for c in docs.columns if c in clash}
+    got = pii.sanitise(docs).collect()
+    assert len(got) == 5 and {r.text for r in got if r.doc_id == 1} == {"write to [EMAIL] now"}
+    kept = decontaminate.clean(docs, bench).collect()
+    assert sorted(r.doc_id for r in kept) == [1, 2, 2, 4]
+    once = corpus_pipeline.dedup_stage(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in once) == [1, 2, 3, 4]
+    assert all(r[c] == v for rows in (got, kept, once) for r in rows for c, v in held.items())

@@ -15,11 +15,9 @@ numbers hold the partition in their upper bits, so a retried task numbers them t
 from __future__ import annotations
 
 import heapq
-import zlib
 from array import array
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -86,11 +84,11 @@ def ids_of(text: str, path: str, end_id: int = END_ID) -> bytes:
 
 def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
            end_id: int = END_ID, batch: int = BATCH) -> DataFrame:
-    """One row per piece: id, start, doc_tokens, sequence_id, offset and ids (``array<int>``); the ids
-    in order of ``(sequence_id, offset)`` are the packed sequences."""
+    """One row per piece: id, start, doc_tokens, sequence_id, offset and ids (``binary``: little-endian unsigned
+    32-bit numbers); the ids in order of ``(sequence_id, offset)`` are the packed sequences."""
     src = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     kind = src.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, start long, doc_tokens long, sequence_id long, offset long, ids array<int>"
+    schema = f"id {kind}, start long, doc_tokens long, sequence_id long, offset long, ids binary"
     id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(kind, pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,9 +112,8 @@ def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
         def out() -> pa.RecordBatch:
             *cols, ids = zip(*rows)
-            ends = np.cumsum([0, *[len(x) // 4 for x in ids]], dtype=np.int32)
-            made_of = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-            got = pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(cols, [id_type, *[pa.int64()] * 4])], made_of],
+            got = pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(cols, [id_type, *[pa.int64()] * 4])],
+                                              pa.array(ids, pa.binary())],
                                              ["id", "start", "doc_tokens", "sequence_id", "offset", "ids"])
             rows.clear()
             return got
@@ -144,19 +141,8 @@ def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
 def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
          end_id: int = END_ID, batch: int = BATCH, with_ids: bool = True) -> DataFrame:
-    """The pieces with the length and digest of their ids column: id, start, length, ids_crc32 (of the
-    ids as little-endian 32-bit numbers), doc_tokens, sequence_id, offset and, if asked, ids."""
+    """The pieces with the length and digest of their ids column: id, start, length, ids_crc32 (of its
+    bytes), doc_tokens, sequence_id, offset and, if asked, ids."""
     made = pieces(df, path, id_col, text_col, capacity, end_id, batch)
-    names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids]
-    types = {f.name: f.dataType.simpleString() for f in made.schema} | {"length": "bigint", "ids_crc32": "bigint"}
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            have = dict(zip(b.schema.names, b.columns))
-            ids = have["ids"]
-            ends, raw = ids.offsets.to_numpy(), memoryview(np.ascontiguousarray(ids.values.to_numpy(), "<i4")).cast("B")
-            have["length"] = pa.array(np.diff(ends).astype(np.int64))
-            have["ids_crc32"] = pa.array([zlib.crc32(raw[4 * x:4 * y]) for x, y in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.int64())
-            yield pa.RecordBatch.from_arrays([have[n] for n in names], names)
-
-    return made.mapInArrow(digest, ", ".join(f"`{n}` {types[n]}" for n in names))
+    return made.select(id_col, "start", F.floor(F.octet_length("ids") / 4).cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"),
+                       "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids)
