@@ -28,7 +28,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import free_names, written
 
 WINDOW, ERRORS = 13, 2
 MASKS = ((0, 1, 2, 3, 4, 6), (0, 1, 3, 8, 9, 10))
@@ -144,10 +144,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
-    """``docs`` without the rows that overlap an item, all their columns kept."""
-    bad = overlaps(docs, benchmark, id_col, text_col, **params).select(F.col("key").alias("__key")).distinct()
+    """``docs`` without the rows that overlap an item, all their columns kept, whatever their names."""
+    (at,) = free_names(docs, "key")
+    bad = overlaps(docs, benchmark, id_col, text_col, **params).select(F.col("key").alias(at)).distinct()
     here = F.xxhash64(docs[id_col], docs[text_col])
-    return docs.join(bad, here == F.col("__key"), "left_anti")
+    return docs.join(bad, here == F.col(at), "left_anti")
 
 
 ORACLE_SQL = r"""

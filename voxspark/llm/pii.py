@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import free_names, written
 
 ALPHA, SUPPORT, REACH = 0.75, 3, 40
 BROADCAST_TERMS = 100_000
@@ -247,13 +247,14 @@ def sanitised(text: Column, spans: Column, remove: bool = False) -> Column:
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove: bool = False, **params) -> DataFrame:
-    """``docs`` with its text sanitised, all columns kept.  Rows without spans are not moved."""
+    """``docs`` with its text sanitised, all columns kept, whatever their names.  Rows without spans are not moved."""
     found = find(docs, id_col, text_col, **params).where(F.size("all") > 0)
-    found = written(found.select(F.col("key").alias("__key"), F.col("all").alias("__spans")).dropDuplicates(["__key"]), "found")
+    at, spans = free_names(docs, "key", "spans")
+    found = written(found.select(F.col("key").alias(at), F.col("all").alias(spans)).dropDuplicates([at]), "found")
     here = F.xxhash64(docs[id_col], docs[text_col])
     if found.count() <= BROADCAST_TERMS:        # checked size; else the join shuffles
         found = F.broadcast(found)
-    marked = docs.join(found, here == F.col("__key"), "left")
-    text = F.when(F.col("__spans").isNotNull(), sanitised(F.coalesce(docs[text_col], F.lit("")), F.col("__spans"), remove)) \
+    marked = docs.join(found, here == F.col(at), "left")
+    text = F.when(F.col(spans).isNotNull(), sanitised(F.coalesce(docs[text_col], F.lit("")), F.col(spans), remove)) \
         .otherwise(docs[text_col])
     return marked.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
