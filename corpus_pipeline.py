@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxspark.llm import decontaminate, jaccard, packing, pii, quality
-from voxspark.llm.common import importable, table, written
+from voxspark.llm.common import free_names, importable, table, written
 from voxspark.llm.queries import tokenizer
 
 
@@ -28,9 +28,10 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard.groups(docs, n=5, num=80, den=100)
     first = F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key"))
     keep = found.where("component is not null").groupBy("component").agg(first.alias("key")).select("key")
-    keep = written(keep.union(found.where("component is null").select("key")).distinct().withColumnRenamed("key", "__key"), "keep")
-    kept = docs.withColumn("__here", F.xxhash64("doc_id", "text")).join(keep, F.col("__here") == F.col("__key"), "left_semi")
-    return kept.dropDuplicates(["__here"]).drop("__here")
+    here, at = free_names(docs, "here", "key")
+    keep = written(keep.union(found.where("component is null").select("key")).distinct().withColumnRenamed("key", at), "keep")
+    kept = docs.withColumn(here, F.xxhash64("doc_id", "text")).join(keep, F.col(here) == F.col(at), "left_semi")
+    return kept.dropDuplicates([here]).drop(here)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
