@@ -1,7 +1,10 @@
 """Near-duplicate vectors by spherical-cap filters with structured random product codes.
 
 Unit vectors are rotated at random and cut into two blocks; each block has a code of random
-directions, and a filter is a pair of them (``codes`` squared filters).  List decoding finds
+directions, and a filter is a pair of them (codes squared filters).  The number of directions is the
+root of the number of vectors that are compared with each other, counted per label and length
+(``code_size``), so that a filter holds about one publisher at any size: a vector then meets about N^(1/3)
+others on as many filters, where a fixed code would make it meet a fixed share of all.  List decoding finds
 all filters whose inner product with a vector exceeds a bound: first the directions of one
 block that can still reach it, then their partners.
 
@@ -9,7 +12,7 @@ A vector publishes itself on its best filter, and looks for others on every filt
 exceeds ``c * s - sigmas * sqrt(1 - c^2) * sqrt((1 - s^2) / (d - 1))`` with ``s`` its own best inner
 product.  Of a pair with cosine c the one with the larger ``s`` is found by the other unless
 the random rotation puts its best filter more than ``sigmas`` standard deviations off: below
-3e-7 for five, for every pair, whatever the data.  (``sigmas=None`` takes the worst case
+3e-7 for five, for every pair, whatever the data and the size of the code.  (``sigmas=None`` takes the worst case
 instead, which never misses, at some three times the rows.)
 
 Filters are joined by dealing and sorting rows on (label, filter, block).  A crowded filter's
@@ -37,6 +40,8 @@ from pyspark.sql import functions as F
 from .common import components, written
 
 THRESHOLD, CODES, SIGMAS, BLOCK, SEED = 0.98, 64, 5.0, 1024, 20_240
+#: Least and largest code: of a very large label a filter holds more publishers, in blocks as any crowded one.
+LEAST_CODE, MOST_CODE = 16, 8192
 BROADCAST_ROWS = 100_000
 
 _codes: dict = {}
@@ -52,6 +57,12 @@ def codes(dim: int, n: int = CODES, seed: int = SEED) -> tuple[np.ndarray, list[
     return _codes[(dim, n, seed)]
 
 
+def code_size(n: Column) -> Column:
+    """Directions a block for ``n`` vectors: the power of two next above the root of ``n``."""
+    two = F.pow(F.lit(2.0), F.ceil(F.log2(F.sqrt(n.cast("double")))))
+    return F.least(F.greatest(two, F.lit(float(LEAST_CODE))), F.lit(float(MOST_CODE))).cast("int")
+
+
 def decode(x: np.ndarray, threshold: float = THRESHOLD, n: int = CODES, sigmas: float | None = SIGMAS,
            seed: int = SEED) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For unit rows ``x``: best filter, its inner product, and (row, filter) of all that exceed
@@ -83,8 +94,9 @@ def _sketch(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 ROLES = "label long, dim int, filter int, publishes boolean, vid long, s double, sketch binary, scale double, err double"
 
 
-def roles(vectors: DataFrame, threshold: float, n: int, sigmas: float | None) -> DataFrame:
-    """One row per vector that it publishes, and one per filter on which it seeks."""
+def roles(vectors: DataFrame, threshold: float, sigmas: float | None) -> DataFrame:
+    """One row per vector that it publishes, and one per filter on which it seeks, by the code whose
+    size the row names."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in batches:
             for b in (big.slice(i, 512) for i in range(0, big.num_rows, 512)):
@@ -92,9 +104,9 @@ def roles(vectors: DataFrame, threshold: float, n: int, sigmas: float | None) ->
                 values = b.column(2)
                 ends = np.asarray(values.offsets)
                 flat = values.values.to_numpy(zero_copy_only=False).astype(np.float64)
-                sizes = np.diff(ends)
-                for dim in np.unique(sizes):
-                    pick = np.nonzero(sizes == dim)[0]
+                sizes, wide = np.diff(ends), b.column(3).to_numpy()
+                for dim, n in np.unique(np.stack([sizes, wide], 1), axis=0).tolist():
+                    pick = np.nonzero((sizes == dim) & (wide == n))[0]
                     x = flat[ends[pick][:, None] + np.arange(dim)[None, :]]
                     x /= np.abs(x).max(1, keepdims=True)        # no overflow in the norm
                     x /= np.linalg.norm(x, axis=1, keepdims=True)
@@ -112,7 +124,7 @@ def roles(vectors: DataFrame, threshold: float, n: int, sigmas: float | None) ->
                          sketch, pa.array(scale[row]), pa.array(err[row])],
                         ["label", "dim", "filter", "publishes", "vid", "s", "sketch", "scale", "err"])
 
-    return vectors.select("vid", "label", "vector").mapInArrow(run, ROLES)
+    return vectors.select("vid", "label", "vector", "codes").mapInArrow(run, ROLES)
 
 
 def _near(threshold: float):
@@ -174,11 +186,22 @@ def usable(v: Column) -> Column:
     return F.coalesce(v.isNotNull() & (F.size(v) > 0) & sound & F.exists(v, lambda e: e != 0), F.lit(False))
 
 
-def links(classes: DataFrame, threshold: float = THRESHOLD, n: int = CODES, sigmas: float | None = SIGMAS,
+def sized(classes: DataFrame, n: int | None = None) -> DataFrame:
+    """``classes`` with the size of their label's code, or ``n`` for all: one count per label and length."""
+    if n is not None:
+        return classes.withColumn("codes", F.lit(n))
+    counts = classes.groupBy("label", F.size("vector").alias("dim")).agg(code_size(F.count("*")).alias("codes"))
+    counts = written(counts, "codes")
+    if counts.count() <= BROADCAST_ROWS:        # checked size; else the join shuffles
+        counts = F.broadcast(counts)
+    return classes.withColumn("dim", F.size("vector")).join(counts, ["label", "dim"]).drop("dim")
+
+
+def links(classes: DataFrame, threshold: float = THRESHOLD, n: int | None = None, sigmas: float | None = SIGMAS,
           block: int = BLOCK) -> DataFrame:
     """Distinct pairs ``(a, b)`` of ids of ``classes`` (vid, label, vector) with cosine at or above
-    the threshold."""
-    r = written(roles(classes, threshold, n, sigmas), "roles")
+    the threshold; ``n`` fixes the size of all codes."""
+    r = written(roles(sized(classes, n), threshold, sigmas), "roles")
     crowd = (r.where("publishes").groupBy("label", "dim", "filter").agg(F.count("*").alias("n"))
              .select("label", "dim", "filter", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
     dealt = (r.join(crowd, ["label", "dim", "filter"])
