@@ -230,6 +230,9 @@ def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
             nxt = nxt.persist()                       # filled by the next pair count
             prev = table
         table = nxt
+    for df in (words, table, prev):
+        if df is not None:
+            df.unpersist()
     rows = [(p, 0.0) for p in specials] + [(p, float(-i)) for i, p in enumerate(merges)]
     seen = {p for p, _ in rows}
     k = len(merges)
