@@ -11,8 +11,13 @@ chance matches; the few units beyond H + 1 are slack.
 
 Frequent entries.  An entry shared by more than ``crowd`` sets (a passage, a family of copies)
 is not expanded.  A set that has no more units of empty segments and frequent entries than
-the slack covers is still found through another entry.  The other sets (members of dense
-families, mostly) are compared in blocks of bounded size within the entry's group, by parity
+the slack covers is still found through another entry.  The other sets are indexed anew by
+their rarest elements: similar sets of n elements share t * n or more, so under any one order of all
+elements, here by rising count among these sets, they meet in their first n - ceil(t * n) + 1.
+A shared passage is at the end of that order; only sets that are common text almost whole meet
+by the hundred.  Those are compared within the group of their element's first set, in blocks of
+bounded size.  Members of a group's largest component are held in one block each and only the
+others visit every block, so a settled family costs its own rows.  Blocks compare parity
 sketches: about a bit an element, each flipped once per element that falls on it, so two
 sketches (the wider folded) differ in no more bits than the sets do in elements, and more
 bits than H rule a pair out for certain.  Sets whose
@@ -43,6 +48,8 @@ from .common import components, written
 CROWD, BLOCK, LEVELS, RATIO = 32, 512, 3, 1.7
 SKETCH = 256                    # fewest bits of a sketch
 BROADCAST_ROWS = 300_000
+HEAVY = 20_000                  # fewer keys than this can hold more than one row in HEAVY each
+SEEN = 200_000                  # classes a task remembers, so that copies among them go out once
 U = np.uint64
 _M1, _M2, _G = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB), U(0x9E3779B97F4A7C15)
 
@@ -212,7 +219,7 @@ def _entries(n: int, num: int, den: int):
                 c = class_of(s)
                 if not len(s) or c in seen:
                     continue
-                if len(seen) > 1_000_000:
+                if len(seen) > SEEN:
                     seen.clear()
                 seen.add(c)
                 for k, t in entries(s, num, den):
@@ -280,7 +287,7 @@ def _sets(n: int):
         seen: set = set()               # repeated rows give one set a task
         for b in (p for x in batches for p in _parts(x)):
             sets = shingle_sets(b.column(0), n)
-            if len(seen) > 1_000_000:
+            if len(seen) > SEEN:
                 seen.clear()
             sets = list({c: s for s in sets if (c := class_of(s)) not in seen}.values())
             seen.update(map(class_of, sets))
@@ -301,38 +308,39 @@ def _bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _blocks(num: int, den: int, best: bool):
-    """Rows sorted by (leader, i, j, side): holds side 0 of one block pair, streams side 1; yields
+    """Rows sorted by (leader, i, side): holds side 0 of one block, streams side 1; yields
     pairs in different components that the sketches do not rule out, of each streamed row the
-    likeliest only if ``best``."""
+    likeliest only if ``best``.  Two rows that both visit every block are compared in one of them."""
     def run(batches):
         key, held, by_width = None, [], None
         for b in batches:
             if not b.num_rows:
                 continue
-            g = np.stack([b.column(i).to_numpy() for i in range(3)], 1)
-            side = b.column(3).to_numpy()
-            cls, comp, n = (b.column(i).to_numpy() for i in (4, 5, 6))
+            g = np.stack([b.column(i).to_numpy() for i in range(2)], 1)
+            side = b.column(2).to_numpy()
+            cls, comp, n = (b.column(i).to_numpy() for i in (3, 4, 5))
+            stays = b.column(6).to_numpy(zero_copy_only=False)
             sk = b.column(7).to_pylist()
             change = np.flatnonzero((g[1:] != g[:-1]).any(1) | (side[1:] != side[:-1])) + 1
             left, right = [], []
             for lo, hi in zip([0, *change], [*change, b.num_rows]):
                 if key != (k := tuple(g[lo])):
                     key, held, by_width = k, [], None
-                part = (cls[lo:hi], comp[lo:hi], n[lo:hi], sk[lo:hi])
+                part = (cls[lo:hi], comp[lo:hi], n[lo:hi], stays[lo:hi], sk[lo:hi])
                 if side[lo] == 0:
                     held.append(part)
                     continue
                 if not held:
                     continue
                 if by_width is None:
-                    hc, hp, hn = (np.concatenate([x[i] for x in held]) for i in range(3))
-                    hs = [s for x in held for s in x[3]]
+                    hc, hp, hn, ht = (np.concatenate([x[i] for x in held]) for i in range(4))
+                    hs = [s for x in held for s in x[4]]
                     words = np.array([len(s) // 8 for s in hs])
                     by_width = [(w, at, _matrix(hs, at)) for w in np.unique(words) for at in [np.flatnonzero(words == w)]]
                 for i in range(hi - lo):
-                    c, p, m, s = (x[i] for x in part)
+                    c, p, m, _, s = (x[i] for x in part)
                     s = np.frombuffer(s, U)
-                    ok = (hp != p) & ((hc < c) if k[1] == k[2] else True) & (hn * den >= m * num) & (hn * num <= m * den)
+                    ok = (hp != p) & (ht | (hc < c)) & (hn * den >= m * num) & (hn * num <= m * den)
                     hits = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
                     for w, at, some in by_width:
                         at, some = at[ok[at]], some[ok[at]]
@@ -433,16 +441,18 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     edges = written(_verified(_sketched(closest, sets, num, den), sets, num, den), "edges")
     found = components(edges).toDF("cls", "comp")
 
-    # then: pairs of other components, from entries with few sets ...
-    few = shared.where("not hot").select("key", "cls").join(found, "cls", "left").select("key", "cls", F.coalesce("comp", "cls").alias("comp"))
+    # then: pairs of other components, from entries and rare elements with few sets ...
+    rare = _rare(shared.where("hot and need").select("cls").distinct(), sets, num, den, crowd)
+    few = shared.where("not hot").select("key", "cls").union(rare.where("not hot").select("key", "cls"))
+    few = few.join(found, "cls", "left").select("key", "cls", F.coalesce("comp", "cls").alias("comp"))
     mixed = few.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     few = few.join(mixed, "key", "left_semi")
     pairs = (few.toDF("key", "a", "ca").join(few.toDF("key", "b", "cb"), "key").where("a < b and ca <> cb").select("a", "b").distinct())
     pairs = _sketched(pairs, sets, num, den)
 
-    # ... and from crowded ones, between the sets that need them: twice each row's best
-    # candidate only, which joins most of what belongs together, then all that is left
-    hot = written(shared.where("hot and need").select("leader", "cls").distinct(), "hot")
+    # ... and from elements with many: twice each row's best candidate only, which joins most
+    # of what belongs together, then all that is left
+    hot = written(rare.where("hot").select("leader", "cls").distinct(), "hot")
     for step, best in enumerate((True, True, False)):
         some = _crowded(hot, sets, found, num, den, block, best)
         some = some if step else some.union(pairs).distinct()
@@ -453,6 +463,33 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     return members, edges, found
 
 
+def _matched(rows: DataFrame, counts: DataFrame, key: str, n: str) -> DataFrame:
+    """``rows`` with the columns of ``counts``, one row a key, of the keys it has.  Keys that hold more than one
+    row in HEAVY of all (``n``) are fewer than HEAVY, so they are broadcast; the rest is an
+    equi join without hot keys."""
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    heavy = F.col(n) * HEAVY > total
+    some = rows.join(F.broadcast(counts.where(heavy)), key, "left")
+    return some.where(F.col(n).isNotNull()).unionByName(
+        some.where(F.col(n).isNull()).select(rows.columns).join(counts.where(~heavy), key))
+
+
+def _rare(need: DataFrame, sets: DataFrame, num: int, den: int, crowd: int) -> DataFrame:
+    """``need``'s sets by the elements of their prefix that another prefix holds too: (key, cls, leader, hot),
+    ``leader`` the first set with the element, ``hot`` whether more than ``crowd`` have it."""
+    need = written(need, "need")
+    if need.count() <= BROADCAST_ROWS:          # checked size; else the join shuffles
+        need = F.broadcast(need)
+    elements = sets.join(need, "cls", "left_semi").select("cls", "n", F.explode("tokens").alias("key"))
+    counts = written(elements.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "counts")
+    # elements of one set only come first in the order and meet nothing: they only shorten the prefix
+    mine = (_matched(elements, counts, "key", "c").groupBy("cls", "n").agg(F.sort_array(F.collect_list(F.struct("c", "key"))).alias("e"))
+            .withColumn("length", F.expr(f"greatest(0L, size(e) - (n * {num} + {den - 1}) div {den} + 1)").cast("int")))
+    prefix = written(mine.select("cls", F.explode(F.slice("e", F.lit(1), F.col("length"))).alias("e")).select("e.key", "cls"), "prefix")
+    met = written(prefix.groupBy("key").agg(F.count("*").alias("k"), F.min("cls").alias("leader")).where("k > 1"), "met")
+    return written(_matched(prefix, met, "key", "k").select("key", "cls", "leader", (F.col("k") > crowd).alias("hot")), "rare")
+
+
 def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
     """``found`` after the edges ``more``: the components of components, one edge for each edge."""
     ends = more.select(F.col("a").alias("cls")).union(more.select("b")).distinct()
@@ -463,17 +500,18 @@ def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
 
 
 def _crowded(hot: DataFrame, sets: DataFrame, found: DataFrame, num: int, den: int, block: int, best: bool) -> DataFrame:
-    """Pairs of different components in the groups of crowded entries that sketches allow."""
+    """Pairs of different components in the groups of crowded elements that sketches allow."""
     group = hot.join(found, "cls", "left").select("leader", "cls", F.coalesce("comp", "cls").alias("comp"))
-    crowds = (group.groupBy("leader").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-              .where("lo <> hi").select("leader", F.ceil(F.col("size") / block).cast("int").alias("blocks")))
-    group = group.join(crowds, "leader").join(sets.select("cls", "n", "sketch"), "cls")
-    sides = F.concat(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(
-        F.least(F.col("i"), j).alias("i"), F.greatest(F.col("i"), j).alias("j"), F.when(j < F.col("i"), 1).otherwise(0).alias("side"))),
-        F.array(F.struct("i", F.col("i").alias("j"), F.lit(1).alias("side"))))
-    dealt = (group.withColumn("i", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")).withColumn("x", F.explode(sides))
-             .select("leader", "x.i", "x.j", "x.side", "cls", "comp", "n", "sketch")
-             .repartition("leader", "i", "j").sortWithinPartitions("leader", "i", "j", "side"))
+    crowds = (group.groupBy("leader", "comp").agg(F.count("*").alias("c")).groupBy("leader").agg(
+        F.sum("c").alias("size"), F.count("*").alias("comps"), F.max_by("comp", F.struct("c", "comp")).alias("main"))
+        .where("comps > 1").select("leader", "size", "main", F.ceil(F.col("size") / block).cast("int").alias("blocks")))
+    group = (_matched(group, written(crowds, "crowds"), "leader", "size").join(sets.select("cls", "n", "sketch"), "cls")
+             .withColumn("stays", F.col("comp") == F.col("main")))
+    held = F.array(F.struct(F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("i"), F.lit(0).alias("side")))
+    visits = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(j.alias("i"), F.lit(1).alias("side")))
+    dealt = (group.withColumn("x", F.explode(F.when(F.col("stays"), held).otherwise(F.concat(held, visits))))
+             .select("leader", "x.i", "x.side", "cls", "comp", "n", "stays", "sketch")
+             .repartition("leader", "i").sortWithinPartitions("leader", "i", "side"))
     return (dealt.mapInArrow(_blocks(num, den, best), "a long, b long")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 

@@ -44,15 +44,16 @@ _BYTE = byte_characters()
 
 
 class Coder:
-    """Chunks and ids for one tokenizer file, with a bounded memo of chunks."""
+    """Chunks and ids for one tokenizer file, with a memo of chunks bounded by its bytes."""
 
-    def __init__(self, path: str, words: bool, memo: int = 1_000_000):
+    def __init__(self, path: str, words: bool, memo: int = 64 << 20):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.words, self.limit = words, memo
         self.memo: dict = {}
+        self.used = 0                   # bytes of the memo, about
 
     def chunks(self, text: str) -> list[str] | None:
         """The chunks of a text, or None if the library has to take it whole."""
@@ -78,13 +79,17 @@ class Coder:
         """Memo entries of ``chunks``; ``entry`` makes that of a new chunk."""
         got = list(map(self.memo.get, chunks))
         if None in got:
-            if len(self.memo) + len(got) > self.limit:
-                self.memo.clear()
             memo = self.memo
             for i, g in enumerate(got):
                 if g is None:
                     c = chunks[i]
-                    got[i] = memo[c] = memo[c] if c in memo else entry(c)
+                    if c not in memo:
+                        self.used += 200 + 16 * len(c)
+                        if self.used > self.limit:
+                            memo.clear()
+                            self.used = 200 + 16 * len(c)
+                        memo[c] = entry(c)
+                    got[i] = memo[c]
         return got
 
 
