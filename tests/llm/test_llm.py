@@ -374,6 +374,33 @@ def test_personal_data(spark):
     assert pii.report(df.limit(0)).count() == 0
 
 
+def plain_sanitised(t):
+    out, at = "", 0
+    for a, k, b in plain_spans(t):
+        if a >= at:
+            out += t[at:a] + f"[{list(PLAIN)[k].upper()}]"
+        at = max(at, b)
+    return out + t[at:]
+
+
+def test_running_merges(spark):
+    r = np.random.default_rng(5)
+    arrays = [r.integers(0, 1000, n).tolist() for n in (0, 1, 63, 64, 65, 4095, 4097, 9000)]
+    df = spark.createDataFrame([(v,) for v in arrays], "v array<int>")
+    for levels in (1, 3):
+        for got in df.select("v", pii.running(F.col("v"), pii._plus, levels).alias("s"), pii.running(F.col("v"), pii._later, levels).alias("m")).collect():
+            assert got.s == [0, *np.cumsum(got.v).tolist()][:len(got.v)]
+            assert got.m == [0, *np.maximum.accumulate(got.v).tolist()][:len(got.v)]
+
+
+def test_texts_with_thousands_of_spans(spark):
+    """Overlapping kinds, characters of two to four bytes, pieces crossed, long stretches without spans."""
+    dense = " ".join(f"{'ü€😀'[i % 3]} u{i}.1.2.3.4@mail{i % 7}.example.com" for i in range(3000))
+    texts = [*enumerate([*PERSONAL, dense, "€" * 5000 + dense[:3000] + " é" * 3000 + " x@y.zz", "1.1.1.1 " * 2000])]
+    clean = {r.doc_id: r.text for r in pii.sanitise(documents(spark, texts)).collect()}
+    assert all(clean[i] == (t and plain_sanitised(t)) for i, t in texts)
+
+
 def test_disclosing_terms(spark):
     """A rare name that always stands with one address is a span; a common word is not."""
     texts = [(i, f"{prose(20, 900 + i)} zebulon writes from zeb@mail.example.com about {WORDS[i]} stones") for i in range(6)]

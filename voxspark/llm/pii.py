@@ -27,6 +27,9 @@ from .common import free_names, written
 
 ALPHA, SUPPORT, REACH = 0.75, 3, 40
 BROADCAST_TERMS = 100_000
+BROADCAST_SPANS = 1_000_000     # spans and rows, at most 48 bytes each
+STEP, LEVELS = 64, 3            # entries a block, and levels of blocks, of running()
+PIECE = 1024                    # code points a piece of a cut text
 
 # The kinds in order, with the text that a match needs and its pattern.  The quantifiers are
 # possessive where nothing can be given back, so long runs cost neither time nor stack.
@@ -66,22 +69,58 @@ def _valid(kind: str, m: Column) -> Column:
     return n.between(10, 15) if kind == "phone" else F.lit(True)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column, merge, levels: int = LEVELS) -> Column:
+    """Before each entry of an int array, all earlier ones merged (an associative function, 0 for none).
+    Blocks of STEP entries are merged first and run over by the same rule, so an entry costs at most
+    STEP steps a level, however many there are."""
+    def all_of(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), merge)
+
+    def run(v: Column) -> Column:
+        if not levels:
+            return F.transform(v, lambda _, i: all_of(F.slice(v, F.lit(1), i)))
+        blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(v) / STEP).cast("int")), lambda j: all_of(F.slice(v, j * STEP + 1, F.lit(STEP))))
+        return _let(running(blocks, merge, levels - 1), lambda high: F.transform(v, lambda _, i: merge(
+            F.get(high, F.floor(i / STEP).cast("int")), all_of(F.slice(v, i - i % STEP + 1, i % STEP)))))
+    return _let(values, run)
+
+
+def _plus(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _later(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _cut(text: Column) -> Column:
+    """The text in pieces of PIECE code points: a substring of a long text is counted from its start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(.{{1,{PIECE}}})"), F.lit(1))
+
+
+def _part(pieces: Column, start: Column, n: Column) -> Column:
+    """``n`` code points of a cut text from ``start`` (0 for the first)."""
+    first = F.floor(start / PIECE).cast("int")
+    some = F.slice(pieces, first + 1, F.floor((start + n) / PIECE).cast("int") - first + 1)
+    return F.substr(F.array_join(some, ""), start % PIECE + 1, n)
+
+
 def matches(text: Column, pattern: str, kind: int) -> Column:
     """All matches of a pattern as spans: start and end in code points, end exclusive."""
     found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    sizes = F.transform(found, lambda m: F.length(m))
-    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
-
-    def add(values: Column, n: Column) -> Column:
-        return F.aggregate(F.slice(values, F.lit(1), n), F.lit(0), lambda a, x: a + x)
+    both = F.zip_with(found, F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), lambda m, g: F.struct(
+        m.alias("value"), F.length(g).alias("gap"), F.length(m).alias("n")))
 
     def spans(x: Column) -> Column:
-        return F.transform(x["f"], lambda m, i: F.struct(
-            (add(x["g"], i + 1) + add(x["s"], i)).alias("start"), F.lit(kind).alias("kind"),
-            (add(x["g"], i + 1) + add(x["s"], i + 1)).alias("end"), m.alias("value")))
+        return F.zip_with(x, running(F.transform(x, lambda w: w["gap"] + w["n"]), _plus), lambda w, at: F.struct(
+            (at + w["gap"]).alias("start"), F.lit(kind).alias("kind"), (at + w["gap"] + w["n"]).alias("end"), w["value"].alias("value")))
 
-    some = F.transform(F.array(F.struct(found.alias("f"), sizes.alias("s"), gaps.alias("g"))), spans)[0]
-    return F.when(text.rlike(pattern), some).otherwise(F.array().cast(SPAN))
+    return F.when(text.rlike(pattern), _let(both, spans)).otherwise(F.array().cast(SPAN))
 
 
 def base_spans(text: Column) -> Column:
@@ -104,22 +143,26 @@ def _entity(s: Column) -> Column:
                     F.when(s["kind"] >= 2, _digits(s["value"])).otherwise(F.lower(s["value"])))
 
 
-def _context(text: Column, spans: Column, reach: int) -> Column:
-    """For every span its entity and the terms whole inside ``reach`` characters either side."""
-    def one(s: Column) -> Column:
+def _context(text: Column, spans: Column, free: Column, reach: int) -> Column:
+    """For every span its entity and the terms whole inside ``reach`` characters either side that no
+    span overlaps; ``free`` is the masked text."""
+    def one(x: Column, s: Column) -> Column:
         lo = F.greatest(F.lit(0), s["start"] - reach)
-        hi = F.least(F.length(text), s["end"] + reach)
-        left, right = F.substr(text, lo + 1, s["start"] - lo), F.substr(text, s["end"] + 1, hi - s["end"])
+        hi = F.least(x["n"], s["end"] + reach)
+        left, right = _part(x["text"], lo, s["start"] - lo), _part(x["text"], s["end"], hi - s["end"])
 
-        def terms(part: Column, at: Column, cut) -> Column:
-            return F.transform(F.filter(matches(part, _TERM, len(KINDS)), cut), lambda t: F.struct(
+        def terms(part: Column, masked: Column, at: Column, cut) -> Column:
+            some = F.filter(matches(part, _TERM, len(KINDS)), lambda t: cut(t) & ~F.contains(
+                F.substr(masked, t["start"] + 1, t["end"] - t["start"]), F.lit(_MARK)))
+            return F.transform(some, lambda t: F.struct(
                 F.lower(t["value"]).alias("term"), (t["start"] + at).alias("start"), (t["end"] + at).alias("end")))
 
-        both = F.concat(terms(left, lo, lambda t: (t["start"] > 0) | (lo == 0)),
-                        terms(right, s["end"], lambda t: (t["end"] < F.length(right)) | (hi == F.length(text))))
-        free = F.filter(both, lambda t: ~F.exists(spans, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-        return F.struct(_entity(s).alias("entity"), F.xxhash64(left, right).alias("place"), free.alias("terms"))
-    return F.transform(spans, one)
+        both = F.concat(
+            terms(left, _part(x["free"], lo, s["start"] - lo), lo, lambda t: (t["start"] > 0) | (lo == 0)),
+            terms(right, _part(x["free"], s["end"], hi - s["end"]), s["end"], lambda t: (t["end"] < F.length(right)) | (hi == x["n"])))
+        return F.struct(_entity(s).alias("entity"), F.xxhash64(left, right).alias("place"), both.alias("terms"))
+    whole = F.struct(_cut(text).alias("text"), _cut(free).alias("free"), F.length(text).alias("n"), spans.alias("spans"))
+    return _let(whole, lambda x: F.transform(x["spans"], lambda s: one(x, s)))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -127,14 +170,21 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def _rewritten(text: Column, spans: Column, piece) -> Column:
+    """The text with ``piece(text before, span, end of all spans before)`` for every span, and the rest."""
+    def run(x: Column) -> Column:
+        ends = F.transform(x["spans"], lambda s: s["end"])
+        parts = F.zip_with(x["spans"], running(ends, _later), lambda s, at: piece(
+            _part(x["text"], at, F.greatest(F.lit(0), s["start"] - at)), s, at))
+        rest = _let(F.aggregate(ends, F.lit(0), _later), lambda at: _part(x["text"], at, F.greatest(F.lit(0), x["n"] - at)))
+        return F.concat(F.array_join(parts, ""), rest)
+    return _let(F.struct(_cut(text).alias("text"), F.length(text).alias("n"), spans.alias("spans")), run)
+
+
 def _masked(text: Column, spans: Column) -> Column:
     """The text with every base span overwritten by ``_MARK``, so that positions stay."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(spans, start, lambda a, s: F.struct(
-        F.greatest(a["at"], s["end"]).alias("at"),
-        F.concat(a["out"], F.substr(text, a["at"] + 1, F.greatest(F.lit(0), s["start"] - a["at"])),
-                 F.repeat(F.lit(_MARK), F.greatest(F.lit(0), s["end"] - F.greatest(a["at"], s["start"])))).alias("out")),
-        lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1, F.greatest(F.lit(0), F.length(text) - a["at"]))))
+    return _rewritten(text, spans, lambda before, s, at: F.concat(
+        before, F.repeat(F.lit(_MARK), F.greatest(F.lit(0), s["end"] - F.greatest(at, s["start"])))))
 
 
 def _words(text: Column, pattern: str = _TERM) -> Column:
@@ -201,10 +251,11 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha:
     keyed = _keyed(docs, id_col, text_col)
     spans = keyed.withColumn("base", base_spans(F.col("text")))
     some = F.size("base") > 0
+    spans = spans.withColumn("free", F.when(some, _masked(F.col("text"), F.col("base"))))
     base = written(spans.select(
         F.monotonically_increasing_id().alias("row"), "id", "key", "base", F.xxhash64("text").alias("copy"),
-        F.when(some, _context(F.col("text"), F.col("base"), reach)).alias("contexts"), F.when(some, _words(F.col("text"))).alias("all_words"),
-        F.when(some, _masked(F.col("text"), F.col("base"))).alias("free")), "spans")
+        F.when(some, _context(F.col("text"), F.col("base"), F.col("free"), reach)).alias("contexts"),
+        F.when(some, _words(F.col("text"))).alias("all_words"), "free"), "spans")
     held = (base.where(some).withColumn("words", _words(F.col("free"), _FREE_TERM))
             .withColumn("inside", F.array_except("all_words", "words"))
             .withColumn("entities", F.array_distinct(F.transform("contexts", lambda c: c["entity"]))))
@@ -238,21 +289,18 @@ def sanitised(text: Column, spans: Column, remove: bool = False) -> Column:
     """The text with every span generalised to ``[KIND]`` or removed; of overlapping spans the
     first names the kind and both go."""
     names = F.array(*[F.lit("" if remove else f"[{k.upper()}]") for k in (*KINDS, "term")])
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(spans, start, lambda a, s: F.struct(
-        F.greatest(a["at"], s["end"]).alias("at"),
-        F.when(s["start"] >= a["at"], F.concat(a["out"], F.substr(text, a["at"] + 1, s["start"] - a["at"]), F.get(names, s["kind"])))
-        .otherwise(a["out"]).alias("out")),
-        lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1, F.greatest(F.lit(0), F.length(text) - a["at"]))))
+    return _rewritten(text, spans, lambda before, s, at: F.when(
+        s["start"] >= at, F.concat(before, F.get(names, s["kind"]))).otherwise(F.lit("")))
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove: bool = False, **params) -> DataFrame:
     """``docs`` with its text sanitised, all columns kept, whatever their names.  Rows without spans are not moved."""
     found = find(docs, id_col, text_col, **params).where(F.size("all") > 0)
     at, spans = free_names(docs, "key", "spans")
-    found = written(found.select(F.col("key").alias(at), F.col("all").alias(spans)).dropDuplicates([at]), "found")
+    places = F.transform("all", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    found = written(found.select(F.col("key").alias(at), places.alias(spans)).dropDuplicates([at]), "found")
     here = F.xxhash64(docs[id_col], docs[text_col])
-    if found.count() <= BROADCAST_TERMS:        # checked size; else the join shuffles
+    if (found.agg(F.sum(F.size(spans) + 1)).first()[0] or 0) <= BROADCAST_SPANS:    # checked size; else the join shuffles
         found = F.broadcast(found)
     marked = docs.join(found, here == F.col(at), "left")
     text = F.when(F.col(spans).isNotNull(), sanitised(F.coalesce(docs[text_col], F.lit("")), F.col(spans), remove)) \
