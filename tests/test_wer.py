@@ -37,3 +37,21 @@ def test_quality_report_has_both_rates(spark):
     rep = W.quality_report(V.v_pairs(spark, SF), ["split"]).collect()
     assert {r.split for r in rep} == {"train", "test", "validate"}
     assert all(r.wer >= 0 and r.wer_no_punct >= 0 for r in rep)
+
+
+def test_both_rates_take_their_distances_in_one_python_pass(spark):
+    """Each further pass is a further worker per core that holds its batches."""
+    pairs = spark.createDataFrame([("1", "a b", "a, c")], "utt_id string, prediction string, reference string")
+    rep = W.quality_report(pairs)
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("ArrowEvalPython") == 2        # NFKC, distances
+    r = rep.first()
+    assert (r.samples, r.wer, r.wer_no_punct) == (1, 1.0, 0.5)
+
+
+def test_band_normalises_each_text_once(spark):
+    from voxspark.plans.q_text import scl13_wer_band
+    plan = scl13_wer_band(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan                        # a filter's argument is not compiled
+    assert plan.count("transform(") == 1                # the prediction is made once
+    assert plan.count("lower(") == 3                    # text, its prediction, the prediction

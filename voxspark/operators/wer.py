@@ -34,14 +34,17 @@ def score_pairs(df: DataFrame, pred: str = "prediction", ref: str = "reference",
 
     ``punctuation=False``: texts go through ``no_punct`` (SCL10) first; ``True``: raw
     white-space words (the with-punctuation WER of AGG3)."""
-    if punctuation:
-        p, r = X.raw_words(pred), X.raw_words(ref)
-    else:
-        p, r = X.words(X.no_punct(pred)), X.words(X.no_punct(ref))
-    return (df.withColumn("_p", p).withColumn("_r", r)
-            .withColumn("ref_words", F.size("_r").cast("long"))
-            .withColumn("edits", X.word_distance("_p", "_r").cast("long"))
-            .drop("_p", "_r"))
+    f = X.raw_words if punctuation else (lambda c: X.words(X.no_punct(c)))
+    return _scored(df, pred, ref, {"": f})
+
+
+def _scored(df: DataFrame, pred: str, ref: str, kinds: dict) -> DataFrame:
+    """``ref_words`` and ``edits`` of every kind of words (suffix of the columns -> words of a text):
+    all texts are split in one projection and all distances taken in one Python pass."""
+    split = df.withColumns({f"_{s}{k}": f(c) for k, f in kinds.items() for s, c in (("p", pred), ("r", ref))})
+    out = split.withColumns({f"ref_words{k}": F.size(f"_r{k}").cast("long") for k in kinds}
+                            | {f"edits{k}": X.word_distance(f"_p{k}", f"_r{k}") for k in kinds})
+    return out.drop(*[f"_{s}{k}" for k in kinds for s in "pr"])
 
 
 def wer_value(edits: Column, words: Column) -> Column:
@@ -60,11 +63,9 @@ def wer(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
 def quality_report(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
     """AGG3: per group WER with punctuation (raw words), without (SCL10), samples,
     band and text of the punctuation-free value (SCL13)."""
-    raw = score_pairs(pairs, punctuation=True)
-    raw = raw.withColumnRenamed("edits", "edits_raw").withColumnRenamed("ref_words", "words_raw")
-    both = score_pairs(raw)
+    both = _scored(pairs, "prediction", "reference", {"_raw": X.raw_words, "": lambda c: X.words(X.no_punct(c))})
     g = both.groupBy(*(by or []))
-    out = g.agg(F.sum("edits_raw").alias("e_raw"), F.sum("words_raw").alias("w_raw"),
+    out = g.agg(F.sum("edits_raw").alias("e_raw"), F.sum("ref_words_raw").alias("w_raw"),
                 F.sum("edits").alias("e_np"), F.sum("ref_words").alias("w_np"),
                 F.count(F.lit(1)).alias("samples"))
     out = (out.withColumn("wer", wer_value(F.col("e_raw"), F.col("w_raw")))

@@ -164,8 +164,9 @@ def scl13_wer_band(spark, sf):
     """Band of the length-difference ratio per utterance (a lower bound of its WER),
     which SQL can check; inf when the reference is empty."""
     p = V.v_pairs(spark, sf)
-    h = F.size(X.words(X.no_punct("prediction")))
-    w = F.size(X.words(X.no_punct("reference")))
+    # columns of their own: the band's branches would each normalise the texts anew
+    p = p.select("utt_id", F.size(X.words(X.no_punct("prediction"))).alias("h"), F.size(X.words(X.no_punct("reference"))).alias("w"))
+    h, w = F.col("h"), F.col("w")
     r = F.when(w == 0, F.lit(float("inf"))).otherwise(
         F.abs(h - w).cast("double") / F.greatest(w, F.lit(1)))
-    return p.select("utt_id", X.wer_band(r).alias("band"))
+    return p.withColumn("r", r).select("utt_id", X.wer_band("r").alias("band"))
