@@ -95,3 +95,18 @@ def test_aggregate_vocab_offsets(spark):
     v = spark.createDataFrame([("ru", 0, "a"), ("ru", 1, "b"), ("en", 0, "c")], "lang string, id int, piece string")
     got = sorted((r.lang, r.id, r.global_id) for r in VO.aggregate_vocab(v, ["en", "ru"]).collect())
     assert got == [("en", 0, 0), ("ru", 0, 1), ("ru", 1, 2)]
+
+
+def test_encoding_hands_rows_on_in_small_batches():
+    """A batch of many long texts comes out by slices: a task holds one slice's pieces at a time."""
+    import pyarrow as pa
+    text = "ab a\u00a0?b " * 5_000
+    batch = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(40)]), pa.array([text, None] * 20, pa.string())], ["key", "text"])
+    pieces = {"\u2581a": -1.0, "ab": -0.5, "\u2581": -9.0, "a": -9.0, "b": -9.0}
+    got = list(VO._coder(pieces, False)(iter([batch])))
+    assert len(got) >= 5 and max(b.num_rows for b in got) <= 8
+    assert [k for b in got for k in b.column(0).to_pylist()] == [str(i) for i in range(40)]
+    first = got[0].column(1)[0].as_py()
+    assert first[:7] == ["\u2581", "ab", "\u2581a", "\u2581", "<unk>", "b", "\u2581"] and got[0].column(1)[1].as_py() == []
+    counts = list(VO._coder(pieces, True)(iter([batch])))
+    assert [n for b in counts for n in b.column(1).to_pylist()] == [len(first), 0] * 20

@@ -9,9 +9,11 @@ to be those of one merge at a time, which the tests compare.
 from __future__ import annotations
 
 import heapq
+from array import array
+from collections.abc import Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -293,6 +295,7 @@ def aggregate_vocab(vocabs: DataFrame, langs: list[str]) -> DataFrame:
 
 # ------------------------------------------------------------------ encoding
 MEMO = 200_000              # words a task remembers before it starts anew
+SLICE = 1 << 17             # characters of text that a task encodes before it hands on the rows
 
 
 def _word_pieces(word: str, pieces: dict[str, float]) -> list[str]:
@@ -323,37 +326,79 @@ def _word_pieces(word: str, pieces: dict[str, float]) -> list[str]:
     return [s for s in syms if s is not None]
 
 
-def encode(texts: DataFrame, vocab: DataFrame, key: str = "utt_id",
-           col: str = "text", lower: bool = True) -> DataFrame:
-    """TOK6: ``key, pieces, text_tokens`` of every row in one Arrow pass without a shuffle.  A
-    task encodes a word once and remembers it; the vocabulary travels in the closure
-    (bounded by its size).  Null and empty texts have no pieces."""
+def _coder(pieces: dict[str, float], counts: bool):
+    """Batches ``(key, text)`` -> small batches of the key and the pieces, or their number: a task
+    encodes a word once and remembers it, and hands rows on by about ``SLICE`` characters,
+    however large the batches are that come in."""
+    names = list(dict.fromkeys([*pieces, UNK]))
+    number = {p: i for i, p in enumerate(names)}
+
+    def coded(word: str):
+        got = _word_pieces(word, pieces)
+        return len(got) if counts else array("i", [number[p] for p in got])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo: dict = {}
+        listed = pa.array(names, pa.string())
+
+        def one(text: str | None) -> list:
+            words = (text or "").split()
+            got = list(map(memo.get, words))
+            if None in got:
+                for i, g in enumerate(got):
+                    if g is None:
+                        w = words[i]
+                        if w not in memo:
+                            if len(memo) >= MEMO:
+                                memo.clear()
+                            memo[w] = coded(w)
+                        got[i] = memo[w]
+            return got
+
+        def out(keys: pa.Array, rows: list) -> pa.RecordBatch:
+            if counts:
+                return pa.RecordBatch.from_arrays([keys, pa.array(map(sum, rows), pa.int64())], ["key", "text_tokens"])
+            flat, ends = array("i"), [0]
+            for row in rows:
+                for ids in row:
+                    flat.extend(ids)
+                ends.append(len(flat))
+            col = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), listed.take(pa.Array.from_buffers(pa.int32(), len(flat), [None, pa.py_buffer(flat)])))
+            return pa.RecordBatch.from_arrays([keys, col], ["key", "pieces"])
+
+        for b in batches:
+            at, size, rows = 0, 0, []
+            for k, text in enumerate(b.column(1), 1):
+                text = text.as_py()
+                rows.append(one(text))
+                size += len(text or "")
+                if size >= SLICE or k == len(b):
+                    yield out(b.column(0).slice(at, k - at), rows)
+                    at, size, rows = k, 0, []
+
+    return run
+
+
+def _encoded(texts: DataFrame, vocab: DataFrame, key: str, col: str, lower: bool, counts: bool) -> DataFrame:
+    """One Arrow pass without a shuffle; the vocabulary travels in the closure (bounded by its size)."""
     pieces = {r["piece"]: r["score"] for r in vocab.select("piece", "score").collect()}
-    memo: dict[str, list[str]] = {}
-
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def encoded(rows: pd.Series) -> pd.Series:
-        def one(words):
-            out: list[str] = []
-            for w in words if words is not None else ():
-                got = memo.get(w)
-                if got is None:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    got = memo[w] = _word_pieces(w, pieces)
-                out += got
-            return out
-        return rows.map(one)
+    src = texts.select(F.col(key).alias("key"), (F.lower(F.col(col)) if lower else F.col(col)).alias("text"))
+    value = T.StructField("text_tokens", T.LongType()) if counts else T.StructField("pieces", T.ArrayType(T.StringType()))
+    schema = T.StructType([T.StructField("key", src.schema["key"].dataType), value])
+    return src.mapInArrow(_coder(pieces, counts), schema).withColumnRenamed("key", key)
 
-    t = F.lower(F.col(col)) if lower else F.col(col)
-    out = texts.select(key, encoded(X.raw_words(F.coalesce(t, F.lit("")))).alias("pieces"))
+
+def encode(texts: DataFrame, vocab: DataFrame, key: str = "utt_id",
+           col: str = "text", lower: bool = True) -> DataFrame:
+    """TOK6: ``key, pieces, text_tokens`` of every row.  Null and empty texts have no pieces."""
+    out = _encoded(texts, vocab, key, col, lower, False)
     return out.withColumn("text_tokens", F.size("pieces").cast("long"))
 
 
 def encode_counts(texts: DataFrame, vocab: DataFrame, key: str = "utt_id",
                   col: str = "text", lower: bool = True) -> DataFrame:
-    """TOK6: text tokens per row."""
-    return encode(texts, vocab, key, col, lower).select(key, "text_tokens")
+    """TOK6: text tokens per row; the pieces are made as by ``encode`` and only their number kept."""
+    return _encoded(texts, vocab, key, col, lower, True)
 
 
 def token_count(df: DataFrame, encoded: DataFrame, slots: Column, key: str = "utt_id") -> DataFrame:
