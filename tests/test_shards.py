@@ -99,3 +99,21 @@ def test_scratch_scope_deletes_its_files(spark):
         files = [f for f in ix.inputFiles()]
         assert files and ix.count() == 100
     assert not any(os.path.exists(f.replace("file:", "").replace("//", "/", 1)) for f in files)
+
+
+def test_no_task_takes_a_shard_whole(spark, tmp_path):
+    """A shard of many rows is written by several tasks; its files, by name, hold the rows in order."""
+    from voxspark.sinks.shards import write_shards
+    df = spark.range(40_000).select((F.col("id") % 2).cast("int").alias("shard_id"), F.floor(F.col("id") / 2).alias("pos"),
+                                    F.concat(F.col("id").cast("string"), F.lit(".wav")).alias("member"),
+                                    F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        write_shards(df.repartition(6), str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    for shard in (0, 1):
+        files = sorted((tmp_path / f"out/sharded_manifests/shard_id={shard}").glob("part-*"))
+        rows = [line for f in files for line in f.read_text().splitlines()]
+        assert len(files) > 1 and len(rows) == 20_000
+        assert [int(r.split('"pos":')[1].split(",")[0]) for r in rows] == list(range(20_000))

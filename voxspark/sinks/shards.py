@@ -49,10 +49,12 @@ def stamp(at: Column | None = None) -> Column:
 def write_shards(df: DataFrame, path: str, shard_manifests: bool = True,
                  mode: str = "overwrite") -> str:
     """SNK4 without audio: one manifest per shard, rows in shard order (``pos``), or one folder for
-    all; ``audio_filepath`` is the member name inside the shard.  The folder of the shard manifests,
-    read whole, is the aggregate: it is written once."""
+    all; ``audio_filepath`` is the member name inside the shard.  A manifest is a folder of part
+    files that follow each other by name: a shard is cut by ranges of ``pos``, so that no task
+    takes a shard whole.  The folder of the shard manifests, read whole, is the aggregate: it is
+    written once."""
     out = df.withColumn("audio_filepath", F.col("member")).drop("member")
-    ordered = out.repartition("shard_id").sortWithinPartitions("shard_id", "pos")
+    ordered = out.repartitionByRange("shard_id", "pos").sortWithinPartitions("shard_id", "pos")
     if shard_manifests:
         ordered.write.mode(mode).partitionBy("shard_id").json(f"{path}/sharded_manifests")
     else:
