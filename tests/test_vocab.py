@@ -110,3 +110,40 @@ def test_encoding_hands_rows_on_in_small_batches():
     assert first[:7] == ["\u2581", "ab", "\u2581a", "\u2581", "<unk>", "b", "\u2581"] and got[0].column(1)[1].as_py() == []
     counts = list(VO._coder(pieces, True)(iter([batch])))
     assert [n for b in counts for n in b.column(1).to_pylist()] == [len(first), 0] * 20
+
+
+def test_rounds_rewrite_blocks_of_numbers():
+    """A round over blocks equals merging word by word: runs of equal symbols, breaks, words used up."""
+    import numpy as np
+    import pyarrow as pa
+    names = [VO.WORD_START, "a", "b", "c"]
+    words = {"aaaaa": 3, "abab": 5, "ab\u00e9aaab": 7, "c": 2, "\u00e9": 1, "bcca": 11}
+    batch = pa.RecordBatch.from_arrays([pa.array(list(words)), pa.array(list(words.values()), pa.int64())], ["word", "count"])
+    merges = [("a", "a", "aa"), ("b", "c", "bc")]
+    listed = names + [m for _, _, m in merges]
+    block, = VO._first_blocks(listed, False)(iter([batch]))
+    after, = VO._next_blocks(listed, [tuple(map(listed.index, m)) for m in merges])(iter([block.slice(0, 1)]))
+    first, then = Counter(), Counter()
+    for w, n in words.items():
+        s = [VO.WORD_START, *w]
+        for out in (first, then):
+            for p in zip(s, s[1:]):
+                if "\u00e9" not in p:
+                    out[p] += n
+            for a, b, ab in merges:
+                i, new = 0, []
+                while i < len(s):
+                    two = s[i:i + 2] == [a, b]
+                    new.append(ab if two else s[i])
+                    i += 2 if two else 1
+                s = new
+    for got, want in ((block, first), (after, then)):
+        assert {(r["a"], r["b"]): r["n"] for r in got.to_pylist() if r["symbols"] is None} == dict(want)
+    assert (np.frombuffer(after.column(0)[0].as_py(), np.int32) < 0).sum() * 8 == len(after.column(1)[0].as_py())
+
+
+def test_character_counts_come_from_words(spark):
+    texts = spark.createDataFrame([("Ab\u00a0aB  b\n",), (None,), ("",), ("\u1680 c",)], "text string")
+    assert {r["piece"]: r["count"] for r in VO.char_freq(texts).collect()} == {"a": 2, "b": 3, "c": 1}
+    plan = VO.char_freq(texts)._jdf.queryExecution().toString()
+    assert "word" in plan                   # one row a distinct word, not one a character of the texts

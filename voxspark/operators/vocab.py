@@ -1,8 +1,8 @@
 """Sub-word vocabularies (AGG12, AGG13, TOP1, TOK1-TOK9, SRC11, SCL21).
 
 Training runs on the distributed word-frequency table (one row per distinct word), so
-the corpus is read once; each merge round is a pair count (``explode`` + ``groupBy``)
-and an array rewrite.  A round takes several merges (H-4) as far as one count proves them
+the corpus is read once; each merge round rewrites blocks of words as arrays of numbers,
+whose pairs are summed in the block and then by ``groupBy``.  A round takes several merges (H-4) as far as one count proves them
 to be those of one merge at a time, which the tests compare.
 """
 
@@ -13,6 +13,7 @@ from array import array
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,11 +52,14 @@ def chars(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit("(?s)."), 0)
 
 
+def _char_counts(words: DataFrame) -> DataFrame:
+    """Characters of a word table: the counts of a pass over the texts, from their distinct words."""
+    return (words.select(F.explode(chars(F.col("word"))).alias("piece"), "count")
+            .groupBy("piece").agg(F.sum("count").alias("count")))
+
+
 def char_freq(texts: DataFrame, lower: bool = True, col: str = "text") -> DataFrame:
-    t = F.lower(F.col(col)) if lower else F.col(col)
-    ch = texts.select(F.explode(chars(t)).alias("piece"))
-    ch = ch.filter(~F.col("piece").rlike(f"^{X.WS_CLASS}$"))
-    return ch.groupBy("piece").agg(F.count(F.lit(1)).alias("count"))
+    return _char_counts(word_freq(texts, lower, col))
 
 
 def char_vocab(texts: DataFrame, coverage: float = 1.0, lower: bool = True) -> DataFrame:
@@ -72,7 +76,8 @@ def char_vocab(texts: DataFrame, coverage: float = 1.0, lower: bool = True) -> D
 
 
 # ------------------------------------------------------------------ merges
-# A word's symbols are kept as one space-separated string (words hold no white space).
+# A block holds many words: the numbers of their symbols, a break (-1) behind each word and in the
+# place of each symbol that never merges, and a count for each stretch between breaks.
 _META = set("\\^$.|?*+()[]{}")
 
 
@@ -80,36 +85,105 @@ def _re(sym: str) -> str:
     return "".join("\\" + ch if ch in _META else ch for ch in sym)
 
 
-def _apply_merges(seq: Column, merges: list[tuple[str, str]], wordpiece: bool) -> Column:
-    """One left-to-right pass applying a set of merges without chains (no symbol is the
-    second of one pair and the first of another).  Matches
-    consume both symbols, so a symbol made in this pass is not merged again in it (the
-    same result as applying the merges one after another to non-overlapping pairs)."""
-    alts, k = [], 2
-    for a, b in merges:
-        rb = _re(b[len(WPE_CONT):]) if wordpiece and b.startswith(WPE_CONT) else _re(b)
-        pre = _re(WPE_CONT) if wordpiece and b.startswith(WPE_CONT) else ""
-        alts.append(f"({_re(a)}) {pre}({rb})")
-        k += 2
-    pattern = "(^| )(?:" + "|".join(alts) + ")(?= |$)"
-    repl = "".join(f"${i}" for i in range(1, k))
-    return F.regexp_replace(seq, pattern, repl)
+BLOCK = 1 << 18             # symbols of a block of words, about
+BLOCK_SCHEMA = "symbols binary, counts binary, a string, b string, n long"
+
+
+def _tidy(symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches of one symbol (and none) go: they have no pairs.  ``symbols``: stretches, each with a
+    break (-1) behind it; ``counts``: one count a stretch."""
+    live = symbols >= 0
+    before, after = np.append(False, live[:-1]), np.append(live[1:], False)
+    ends = ~live & before & np.append([False, False], live[:-2])[:len(live)]
+    return symbols[(live & (before | after)) | ends], counts[ends[~live]]
+
+
+def _merged(symbols: np.ndarray, counts: np.ndarray, merges: list[tuple[int, int, int]], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """One left-to-right pass applying a set of merges ``(a, b, ab)`` without chains (no symbol is the
+    second of one pair and the first of another).  A symbol made in this pass is not merged again
+    in it (the same result as applying the merges one after another)."""
+    firsts, seconds = np.zeros(size, bool), np.zeros(size, bool)
+    firsts[[a for a, _, _ in merges]] = True
+    seconds[[b for _, b, _ in merges]] = True
+    at = np.flatnonzero(firsts[symbols[:-1]] & seconds[symbols[1:]] & (symbols[:-1] >= 0) & (symbols[1:] >= 0))
+    order = sorted((a * size + b, ab) for a, b, ab in merges)
+    keys, made = np.array([k for k, _ in order]), np.array([ab for _, ab in order], np.int32)
+    pair = symbols[at].astype(np.int64) * size + symbols[at + 1]
+    found = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+    hit = keys[found] == pair
+    at, found = at[hit], found[hit]
+    # only a pair of equal symbols can follow itself at once: every other one of such a run counts
+    start = np.append(True, np.diff(at) != 1)[:len(at)]
+    odd = (np.arange(len(at)) - np.maximum.accumulate(np.where(start, np.arange(len(at)), 0))) % 2 == 1
+    at, found = at[~odd], found[~odd]
+    symbols = symbols.copy()
+    symbols[at] = made[found]
+    return _tidy(np.delete(symbols, at + 1), counts)
+
+
+def _emit(symbols: np.ndarray, counts: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    """A block's row and a row of each of its pairs, summed."""
+    breaks = symbols < 0
+    n = counts[(np.cumsum(breaks) - breaks)]
+    both = ~breaks[:-1] & ~breaks[1:]
+    pair = symbols[:-1][both].astype(np.int64) * len(names) + symbols[1:][both]
+    sums = pa.table({"p": pair, "n": n[:-1][both]}).group_by("p").aggregate([("n", "sum")])
+    pair, listed = sums["p"].to_numpy(), pa.array(names, pa.string())
+    a, b = (pa.concat_arrays([pa.nulls(1, pa.string()), listed.take(pa.array(x))]) for x in np.divmod(pair, len(names)))
+    none = pa.nulls(len(pair), pa.binary())
+    cols = [pa.concat_arrays([pa.array([x.tobytes()], pa.binary()), none]) for x in (symbols, counts)]
+    total = pa.concat_arrays([pa.nulls(1, pa.int64()), sums["n_sum"].combine_chunks().cast(pa.int64())])
+    return pa.RecordBatch.from_arrays([*cols, a, b, total], ["symbols", "counts", "a", "b", "n"])
+
+
+def _first_blocks(names: list[str], wordpiece: bool):
+    """Batches ``(word, count)`` -> blocks and their pairs.  Characters without a number of their own
+    never merge: they are breaks."""
+    number = {p: i for i, p in enumerate(names)}
+    points = sorted({ord(p[-1]) for p in names})
+    first = np.array([number.get(chr(c), -1) for c in points], np.int32)
+    later = np.array([number.get((WPE_CONT if wordpiece else "") + chr(c), -1) for c in points], np.int32)
+    start = "" if wordpiece else WORD_START
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in batches:
+            if not len(b):
+                continue
+            text = "".join(f"{start}{w}\n" for w in b.column(0).to_pylist())
+            code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+            at = np.minimum(np.searchsorted(points, code), len(points) - 1)
+            ends = code == 10
+            heads = np.append(True, ends[:-1])
+            symbols = np.where(np.array(points)[at] == code, np.where(heads, first[at], later[at]), -1).astype(np.int32)
+            word = np.cumsum(ends) - ends
+            held.append(_tidy(symbols, b.column(1).to_numpy()[word[symbols < 0]]))
+            size += len(held[-1][0])
+            if size >= BLOCK:
+                yield _emit(*map(np.concatenate, zip(*held)), names)
+                held, size = [], 0
+        if size:
+            yield _emit(*map(np.concatenate, zip(*held)), names)
+
+    return run
+
 
+def _next_blocks(names: list[str], merges: list[tuple[int, int, int]]):
+    """Blocks -> the blocks after ``merges`` and their pairs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for symbols, counts in zip(b.column(0), b.column(1)):
+                block = _merged(np.frombuffer(symbols.as_buffer(), np.int32), np.frombuffer(counts.as_buffer(), np.int64), merges, len(names))
+                if len(block[0]):
+                    yield _emit(*block, names)
 
-def _pairs(table: DataFrame) -> DataFrame:
-    s = F.split(F.col("seq"), " ")
-    n = F.size(s) - 1
-    z = F.arrays_zip(F.slice(s, 1, n).alias("a"), F.slice(s, 2, n).alias("b"))
-    return (table.select(F.explode(z).alias("p"), "count")
-            .groupBy(F.col("p.a").alias("a"), F.col("p.b").alias("b"))
-            .agg(F.sum("count").alias("n")))
+    return run
 
 
 def _alphabet(words: DataFrame, coverage: float) -> list[str]:
     """Character coverage set from the word table (same counts as a pass over the
     texts, without reading them again); bounded by the alphabet."""
-    ch = (words.select(F.explode(chars(F.col("word"))).alias("piece"), "count")
-          .groupBy("piece").agg(F.sum("count").alias("count")))
+    ch = _char_counts(words)
     w = Window.orderBy(F.col("count").desc(), "piece")
     ch = (ch.withColumn("_cum", F.sum("count").over(w.rowsBetween(Window.unboundedPreceding, 0)))
             .withColumn("_tot", F.sum("count").over(Window.partitionBy())))
@@ -171,16 +245,6 @@ def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
     scratch_dir(spark)                        # checkpoint dir set (shared on a cluster)
     words = word_freq(texts, lower).persist()
     alphabet = _alphabet(words, coverage)
-    split = chars(F.col("word"))
-    if user:
-        whole = "|".join(_re(u.lower() if lower else u) for u in sorted(user, key=len, reverse=True))
-        split = F.regexp_extract_all(F.col("word"), F.lit(f"(?s){whole}|."), 0)
-    if wordpiece:
-        sym = F.transform(split, lambda c, i: F.when(i == 0, c).otherwise(
-            F.concat(F.lit(WPE_CONT), c)))
-    else:
-        sym = F.concat(F.array(F.lit(WORD_START)), split)
-    table = words.select(F.array_join(sym, " ").alias("seq"), "count").persist()
     specials = specials if specials is not None else (WPE_SPECIALS if wordpiece else [UNK])
     specials = list(dict.fromkeys([*specials, *user]))
     base = [WORD_START] + alphabet if not wordpiece else \
@@ -190,6 +254,13 @@ def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
         raise ValueError(f"vocab_size {vocab_size} is below the {vocab_size - target} special pieces and characters")
     merges: list[str] = []
     known = set(specials) | set(base)
+    # numbers of the symbols that can merge; "mergeable" also passes word starts and twice "#"
+    names = list(dict.fromkeys([WORD_START, *(c + x for x in [*alphabet, "#", WORD_START] for c in (["", WPE_CONT] if wordpiece else [""]))]))
+    number = {p: i for i, p in enumerate(names)}
+    split = F.col("word")
+    if user:                                  # words hold no white space: a blank is a break
+        split = F.regexp_replace(split, "|".join(_re(u.lower() if lower else u) for u in sorted(user, key=len, reverse=True)), " ")
+    table = words.select(split, "count").mapInArrow(_first_blocks(names, wordpiece), BLOCK_SCHEMA).persist()
     fixed = [f for u in user for x in (u, u.lower()) for f in (x, WPE_CONT + x)]
 
     allowed = "".join("\\" + c if c in _META | {"-", "&", "~"} else c for c in alphabet)
@@ -210,7 +281,8 @@ def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
 
     rounds, prev, ranked = 0, None, merges_per_round * 8
     while len(merges) < target:
-        pc = _pairs(table).filter((F.col("n") >= min_pair_count) & mergeable())
+        pc = (table.where("symbols is null").groupBy("a", "b").agg(F.sum("n").alias("n"))
+              .filter((F.col("n") >= min_pair_count) & mergeable()))
         # this job also fills the cache of the current table, so the previous one can go
         cand = pc.orderBy(F.col("n").desc(), "a", "b").limit(ranked).collect()
         if prev is not None:
@@ -222,9 +294,14 @@ def train_subwords(texts: DataFrame, vocab_size: int, wordpiece: bool = False,
         chosen = _provable_merges(cand, len(cand) < ranked, min(merges_per_round, target - len(merges)), known, piece)
         merges += [p for p in (piece(a, b) for a, b in chosen) if p not in old]
         rounds += 1
-        # words merged into a single symbol yield no more pairs: drop them
-        nxt = (table.withColumn("seq", _apply_merges(F.col("seq"), chosen, wordpiece))
-               .filter(F.col("seq").contains(" ")))
+        joined = []
+        for a, b in chosen:
+            if piece(a, b) not in number:
+                number[piece(a, b)] = len(names)
+                names.append(piece(a, b))
+            joined.append((number[a], number[b], number[piece(a, b)]))
+        nxt = (table.where("symbols is not null").select("symbols", "counts")
+               .mapInArrow(_next_blocks(list(names), joined), BLOCK_SCHEMA))
         if rounds % checkpoint_every == 0:
             nxt = nxt.checkpoint(eager=True)          # reliable: written to the shared dir
             table.unpersist()
