@@ -1,9 +1,11 @@
 """Corpus WER on whole texts against a plain DP (AGG1, AGG3, JOIN3)."""
+import random
 import string
 import unicodedata
 
 from brute import edit_distance
 from conftest import SF
+from voxspark.functions import text as X
 from voxspark.operators import wer as W
 from voxspark.plans import views as V
 
@@ -55,3 +57,24 @@ def test_band_normalises_each_text_once(spark):
     assert "filter(" not in plan                        # a filter's argument is not compiled
     assert plan.count("transform(") == 1                # the prediction is made once
     assert plan.count("lower(") == 3                    # text, its prediction, the prediction
+
+
+def test_pairs_side_by_side_keep_their_own_distances(monkeypatch):
+    """Pairs of any lengths, empty ones and carries at each lane's end; also where few fit at once."""
+    r = random.Random(4)
+    sides = [[r.randrange(v) for _ in range(n)] for v in (1, 2, 9) for n in (0, 1, 7, 8, 9, 15, 16, 17, 63, 64, 65, 90)]
+    pairs = [(x, y) for x in sides for y in sides]
+    r.shuffle(pairs)
+    want = [edit_distance(x, y) for x, y in pairs]
+    for lanes in (X.LANES, 5000):
+        monkeypatch.setattr(X, "LANES", lanes)
+        assert X._edits(pairs) == want
+
+
+def test_words_are_split_without_squeezing_first(spark):
+    texts = ["\u00a0A,  b\t\u2028c. ", "", None, " . ", "\x1cx\x85y"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", X.no_punct_words("t").alias("w"), X.words(X.no_punct("t")).alias("v"), X.raw_words("t").alias("r"))
+    for x in df.collect():
+        assert x.w == x.v == _norm(x.t).split() and x.r == (x.t or "").split()
+    assert "trim(" not in df.select("w", "r")._jdf.queryExecution().optimizedPlan().toString()

@@ -34,7 +34,7 @@ def score_pairs(df: DataFrame, pred: str = "prediction", ref: str = "reference",
 
     ``punctuation=False``: texts go through ``no_punct`` (SCL10) first; ``True``: raw
     white-space words (the with-punctuation WER of AGG3)."""
-    f = X.raw_words if punctuation else (lambda c: X.words(X.no_punct(c)))
+    f = X.raw_words if punctuation else X.no_punct_words
     return _scored(df, pred, ref, {"": f})
 
 
@@ -63,7 +63,7 @@ def wer(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
 def quality_report(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
     """AGG3: per group WER with punctuation (raw words), without (SCL10), samples,
     band and text of the punctuation-free value (SCL13)."""
-    both = _scored(pairs, "prediction", "reference", {"_raw": X.raw_words, "": lambda c: X.words(X.no_punct(c))})
+    both = _scored(pairs, "prediction", "reference", {"_raw": X.raw_words, "": X.no_punct_words})
     g = both.groupBy(*(by or []))
     out = g.agg(F.sum("edits_raw").alias("e_raw"), F.sum("ref_words_raw").alias("w_raw"),
                 F.sum("edits").alias("e_np"), F.sum("ref_words").alias("w_np"),
