@@ -2,7 +2,9 @@
 import math
 import random
 
+from conftest import SF
 from voxspark.operators import confidence as C
+from voxspark.plans import views as V
 
 
 def _brute(rows):
@@ -52,3 +54,8 @@ def test_word_confidence_aggregations(spark):
     got = {(r.word_id, r.aggregation): r.score for r in C.word_confidence(df, ["utt_id", "word_id"]).collect()}
     assert got[(0, "min")] == 0.25 and got[(0, "max")] == 0.5 and abs(got[(0, "prod")] - 0.125) < 1e-12
     assert got[(1, "prod")] == 0.0 and got[(0, "mean")] == 0.375
+
+
+def test_token_scores_normalise_each_text_once(spark):
+    plan = V.v_token_scores(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("ArrowEvalPython") == 1
