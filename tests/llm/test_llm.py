@@ -273,6 +273,16 @@ def test_ids_and_counts_are_the_library_s():
         assert token_count.count_one(t, b) == len(bytes_.encode(t, add_special_tokens=False).ids)
 
 
+def test_frequent_chunks_outlive_a_full_memo():
+    c = pretokens.Coder(tokenizer("word_bpe_49k.json"), True, memo=20_000)
+    made = []
+    for i in range(2000):
+        got = c.looked_up(["often", f"rare{i}", "often"], lambda x: made.append(x) or x.upper())
+        assert got == ["OFTEN", f"RARE{i}", "OFTEN"]
+    assert made.count("often") == 1 and len(made) == 2001
+    assert len(c.memo) + len(c.older) < 20_000 / 200
+
+
 def test_token_counts(spark):
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))

@@ -46,13 +46,14 @@ _BYTE = byte_characters()
 class Coder:
     """Chunks and ids for one tokenizer file, with a memo of chunks bounded by its bytes."""
 
-    def __init__(self, path: str, words: bool, memo: int = 64 << 20):
+    def __init__(self, path: str, words: bool, memo: int = 192 << 20):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.words, self.limit = words, memo
         self.memo: dict = {}
+        self.older: dict = {}           # the memo before, looked up when the present one has no entry
         self.used = 0                   # bytes of the memo, about
 
     def chunks(self, text: str) -> list[str] | None:
@@ -71,6 +72,8 @@ class Coder:
     def word_ids(self, chunk: str) -> list[int]:
         """Ids of a chunk of the word file."""
         low = chunk.lower()
+        if low.isalpha() and low.isascii() and chunk.isascii():
+            return [t.id for t in self.model.tokenize(low)]     # one pre-token, its bytes stand for themselves
         if _HIGH.search(low) or _HIGH.search(chunk):
             return self.whole(chunk)
         return [i for p in _WORD.findall(low) for i in self.merged(p)]
@@ -83,13 +86,17 @@ class Coder:
             for i, g in enumerate(got):
                 if g is None:
                     c = chunks[i]
-                    if c not in memo:
+                    g = memo.get(c)
+                    if g is None:
+                        g = self.older.get(c)
+                        if g is None:
+                            g = entry(c)
                         self.used += 200 + 16 * len(c)
-                        if self.used > self.limit:
-                            memo.clear()
-                            self.used = 200 + 16 * len(c)
-                        memo[c] = entry(c)
-                    got[i] = memo[c]
+                        if self.used > self.limit // 2:     # frequent chunks come back from the older half
+                            self.older, self.memo = memo, {}
+                            memo, self.used = self.memo, 200 + 16 * len(c)
+                        memo[c] = g
+                    got[i] = g
         return got
 
 
