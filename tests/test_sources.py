@@ -159,3 +159,44 @@ def test_tar_shards_round_trip(spark):
     T.write_tar_shards(df, path)
     back = sorted((r.shard_id, r.member, bytes(r.content)) for r in SS.read_shards(spark, path, with_content=True).collect())
     assert back == [(0, "a.wav", b"AAAA"), (0, "b.wav", b"BB"), (1, "c.wav", b"C" * 1000)]
+
+
+def test_corpus_stats_query_gives_no_task_a_manifest(spark, tmp_path, monkeypatch):
+    from voxspark.plans import q_manifest as Q
+    texts = [None, "", " a ", "a", "б"] + [f"text {i}" for i in range(25)]
+    for name, parts in (("documents", 6), ("conversations", 4), ("benchmark", 5)):
+        for i in range(parts):
+            rows = [(t if name != "benchmark" else f"bad\r\n{i} {t}",) for t in texts]
+            spark.createDataFrame(rows, "text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "sf" / f"{name}.parquet"))
+    monkeypatch.setattr(Q, "scratch_path", lambda spark, name: str(tmp_path / name))
+    s = Q.agg6_corpus_stats(spark, str(tmp_path / "sf")).first()
+    # 10 files of 30 texts: 28 a file are not empty, 27 of them differ, 2 are errors beside 150 bad lines
+    assert (s.processed, s.unique, s.duplicates, s.errors, s.files) == (280, 27, 253, 170, 7)
+    for name in ("documents", "conversations", "bad"):
+        sizes = [len(p.read_text(encoding="utf-8").splitlines()) for p in (tmp_path / "agg6" / name).rglob("part-*")]
+        assert sum(sizes) == 30 * {"documents": 6, "conversations": 4, "bad": 5}[name]
+        assert max(sizes) <= 30, name              # no part holds more than the rows of one input file
+
+
+def test_corpus_stats_query_takes_empty_tables(spark, tmp_path):
+    from voxspark.plans import q_manifest as Q
+    for name in ("documents", "conversations", "benchmark"):
+        spark.createDataFrame([], "text string").write.parquet(str(tmp_path / f"{name}.parquet"))
+    s = Q.agg6_corpus_stats(spark, str(tmp_path)).first()
+    assert (s.processed, s.unique, s.duplicates, s.errors, s.files) == (0, 0, 0, 0, 0) and s.dedup_rate is None
+
+
+def test_parts_of_a_written_manifest_count_as_one_file(spark, tmp_path):
+    from voxspark.operators import manifest as M
+    from voxspark.sinks import manifest as K
+    df = spark.range(0, 40, 1, 4).select(F.concat(F.lit("t"), (F.col("id") % 30).cast("string")).alias("text"))
+    K.write_manifest(K.dealt(df, 3), str(tmp_path / "m"), partition_by=("manifest",))
+    (tmp_path / "plain").mkdir()
+    for n in "ab":
+        (tmp_path / "plain" / f"{n}.jsonl").write_text('{"text": "t0"}\n', encoding="utf-8")
+    paths = [str(tmp_path / "m"), str(tmp_path / "plain")]
+    whole, parts = (M.corpus_stats(S.read_manifest_lines(spark, paths, folders=f)).first() for f in (True, False))
+    assert (whole.processed, whole.unique, whole.files) == (42, 30, 3 + 2)
+    assert (parts.processed, parts.unique, parts.files) == (42, 30, 4 * 3 + 2)
+    per = [r["count"] for r in S.read_manifest_lines(spark, paths[0], folders=True).groupBy("manifest").count().collect()]
+    assert sorted(per) == [13, 13, 14]

@@ -301,11 +301,12 @@ SELECT CAST(count_if(text IS NOT NULL AND text <> '') AS BIGINT) AS processed,
        7 AS files, round(100.0 * (processed - "unique") / processed, 6) AS dedup_rate
 FROM t""")
 def agg6_corpus_stats(spark, sf):
+    """Seven manifests, three of each table and one of bad lines, each a folder that all tasks write parts of."""
     root = scratch_path(spark, "agg6")
     for name in ("documents", "conversations"):
-        K.write_manifest(V.table(spark, sf, name).select("text").repartition(3), f"{root}/{name}", partition_by=())
-    _bad_lines(spark, sf).coalesce(1).write.text(f"{root}/bad")
-    lines = S.read_manifest_lines(spark, f"{root}/documents,{root}/conversations,{root}/bad")
+        K.write_manifest(K.dealt(V.table(spark, sf, name).select("text"), 3), f"{root}/{name}", partition_by=("manifest",))
+    _bad_lines(spark, sf).write.text(f"{root}/bad")
+    lines = S.read_manifest_lines(spark, f"{root}/documents,{root}/conversations,{root}/bad", folders=True)
     return M.corpus_stats(lines).select("processed", "unique", "duplicates", "errors", F.col("files").cast("int").alias("files"),
                                         F.round("dedup_rate", 6).alias("dedup_rate"))
 

@@ -16,6 +16,12 @@ def write_manifest(df: DataFrame, path: str, partition_by=("split",), mode: str
     return path
 
 
+def dealt(df: DataFrame, n: int, col: str = "manifest") -> DataFrame:
+    """Rows dealt in turn to ``n`` manifests, their number in ``col`` (a partition column for ``write_manifest``):
+    each task deals the rows it reads and adds its part to each folder, so no task holds a manifest whole."""
+    return df.withColumn(col, (F.monotonically_increasing_id() % n).cast("int"))
+
+
 def write_corpus(df: DataFrame, path: str, col: str = "text", mode: str = "overwrite"):
     """SNK3: one text per line."""
     df.select(F.col(col).cast("string")).write.mode(mode).text(path)

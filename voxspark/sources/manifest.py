@@ -62,11 +62,14 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
                            F.lit("text")).alias("has_text_key"))
 
 
-def read_manifest_lines(spark: SparkSession, paths) -> DataFrame:
-    """All non-blank lines with their file and parse result (for corpus statistics)."""
+def read_manifest_lines(spark: SparkSession, paths, folders: bool = False) -> DataFrame:
+    """All non-blank lines with their file and parse result (for corpus statistics).  ``folders``: a
+    manifest that Spark wrote is its folder, so ``file`` names the folder in place of each part file."""
+    file = F.col("_metadata.file_path")
+    if folders:
+        file = F.regexp_replace(file, "/part-[^/]*$", "")
     # one read per path so each keeps its own partition discovery (split=... folders)
-    parts = [spark.read.text(p).select("*", F.col("_metadata.file_path").alias("file"))
-             for p in as_paths(paths)]
+    parts = [spark.read.text(p).select("*", file.alias("file")) for p in as_paths(paths)]
     raw = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return parse_lines(raw)
 
