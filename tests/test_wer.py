@@ -3,6 +3,9 @@ import random
 import string
 import unicodedata
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 from brute import edit_distance
 from conftest import SF
 from voxspark.functions import text as X
@@ -78,3 +81,23 @@ def test_words_are_split_without_squeezing_first(spark):
     for x in df.collect():
         assert x.w == x.v == _norm(x.t).split() and x.r == (x.t or "").split()
     assert "trim(" not in df.select("w", "r")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scoring_holds_texts_and_takes_them_by_slices(spark, monkeypatch):
+    """Arrays of words weigh three times their text in the rows that wait for a batch and in the batch."""
+    texts = [("a, b", "A b c"), (None, "x"), ("\x1cx\x85y  ", "x, Y"), ("", None), ("ﬁn ½", "fin 1⁄2"), ("w " * 3000, "v " * 10)]
+    pairs = spark.createDataFrame([(str(k), p, r) for k, (p, r) in enumerate(texts)], "utt_id string, prediction string, reference string")
+    both = W._scored(pairs, "prediction", "reference", {"_raw": F.col, "": X.bare})
+    assert "split(" not in both._jdf.queryExecution().executedPlan().toString()
+    for r in both.collect():
+        raw, bare = ([f(t).split() for t in (r.prediction, r.reference)] for f in (lambda t: t or "", _norm))
+        assert (r.edits_raw, r.ref_words_raw) == (edit_distance(*raw), len(raw[1]))
+        assert (r.edits, r.ref_words) == (edit_distance(*bare), len(bare[1]))
+    batch = [pa.array([t[k] for t in texts] * 5) for k in (0, 1)]
+    whole = X._text_edits.func(*batch), X._nfkc_udf.func(batch[0])
+    for size in (1, 7, 5000):
+        monkeypatch.setattr(X, "SLICE", size)
+        assert sum(n for _, n in X._slices(*batch)) == len(batch[0])
+        assert (X._text_edits.func(*batch), X._nfkc_udf.func(batch[0])) == whole
+    assert whole[1].to_pylist() == [t and unicodedata.normalize("NFKC", t) for t, _ in texts] * 5
+    assert X._nfkc_udf.func(pa.array([], pa.string())).to_pylist() == []

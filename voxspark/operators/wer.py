@@ -34,17 +34,15 @@ def score_pairs(df: DataFrame, pred: str = "prediction", ref: str = "reference",
 
     ``punctuation=False``: texts go through ``no_punct`` (SCL10) first; ``True``: raw
     white-space words (the with-punctuation WER of AGG3)."""
-    f = X.raw_words if punctuation else X.no_punct_words
-    return _scored(df, pred, ref, {"": f})
+    return _scored(df, pred, ref, {"": F.col if punctuation else X.bare})
 
 
 def _scored(df: DataFrame, pred: str, ref: str, kinds: dict) -> DataFrame:
-    """``ref_words`` and ``edits`` of every kind of words (suffix of the columns -> words of a text):
-    all texts are split in one projection and all distances taken in one Python pass."""
-    split = df.withColumns({f"_{s}{k}": f(c) for k, f in kinds.items() for s, c in (("p", pred), ("r", ref))})
-    out = split.withColumns({f"ref_words{k}": F.size(f"_r{k}").cast("long") for k in kinds}
-                            | {f"edits{k}": X.word_distance(f"_p{k}", f"_r{k}") for k in kinds})
-    return out.drop(*[f"_{s}{k}" for k in kinds for s in "pr"])
+    """``ref_words`` and ``edits`` of every kind of words (suffix of the columns -> the text that is split into
+    them).  Raw texts are scored in the pass that normalises them, the others in the next one."""
+    out = df.withColumns({f"_d{k}": X.text_distance(f(pred), f(ref)) for k, f in kinds.items()})
+    out = out.withColumns({f"{c}{k}": F.col(f"_d{k}.{v}") for k in kinds for c, v in (("ref_words", "words"), ("edits", "edits"))})
+    return out.drop(*[f"_d{k}" for k in kinds])
 
 
 def wer_value(edits: Column, words: Column) -> Column:
@@ -63,7 +61,7 @@ def wer(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
 def quality_report(pairs: DataFrame, by: list[str] | None = None) -> DataFrame:
     """AGG3: per group WER with punctuation (raw words), without (SCL10), samples,
     band and text of the punctuation-free value (SCL13)."""
-    both = _scored(pairs, "prediction", "reference", {"_raw": X.raw_words, "": X.no_punct_words})
+    both = _scored(pairs, "prediction", "reference", {"_raw": F.col, "": X.bare})
     g = both.groupBy(*(by or []))
     out = g.agg(F.sum("edits_raw").alias("e_raw"), F.sum("ref_words_raw").alias("w_raw"),
                 F.sum("edits").alias("e_np"), F.sum("ref_words").alias("w_np"),
