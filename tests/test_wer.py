@@ -101,3 +101,23 @@ def test_scoring_holds_texts_and_takes_them_by_slices(spark, monkeypatch):
         assert (X._text_edits.func(*batch), X._nfkc_udf.func(batch[0])) == whole
     assert whole[1].to_pylist() == [t and unicodedata.normalize("NFKC", t) for t, _ in texts] * 5
     assert X._nfkc_udf.func(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_distances_near_the_diagonal_are_whole(monkeypatch):
+    """Rows are chosen anew every few columns; texts that share their words in another order pass the first bound."""
+    r = random.Random(8)
+    pairs = []
+    for v in (2, 30, 1000):
+        for part in (0.03, 0.2, 0.6):
+            x = [r.randrange(v) for _ in range(r.randrange(90, 220))]
+            pairs += [(x, [r.randrange(v) if r.random() < part else w for w in x if r.random() > part / 4]), (x[50:] + x[:50], x), (x, x[:7])]
+    want = [edit_distance(x, y) for x, y in pairs]
+    for steps in (1, 13, X.STEPS):
+        monkeypatch.setattr(X, "STEPS", steps)
+        assert X._edits(pairs) == want
+
+
+def test_texts_are_split_at_every_white_space():
+    texts = [f"a{c}{c}b{c}" for c in map(chr, range(1, 0x30000)) if not 0xD800 <= ord(c) <= 0xDFFF]
+    got = X._text_edits.func(pa.array([""] * len(texts)), pa.array(texts))
+    assert got.field("words").to_pylist() == got.field("edits").to_pylist() == [len(t.split()) for t in texts]
